@@ -375,13 +375,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every third message is delivered twice, and every thirteenth is cut in half and thus no JSON.
     """
-    schema = testbed.table(spark, sf_dir, "events").schema
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    arriving = spark.readStream.schema(testbed.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return as_messages(testbed.with_document(spark, sf_dir, arriving))
 
 
 def as_messages(joined: DataFrame) -> DataFrame:
-    event = normalise.event_from_submission(testbed.as_submissions(joined), F.col("ts"))
+    event = normalise.event_from_submission(joined.selectExpr(*testbed.SUBMISSION), F.col("ts"))
     number = F.substring("id", 2, 20).cast("long")
     half = F.expr("substring(value, 1, length(value) div 2)")
     deliveries = F.array_repeat(F.lit(1), F.when(number % 3 == 0, 2).otherwise(1))

@@ -20,56 +20,55 @@ AS_OF = "2024-01-31 00:00:00"
 SETTINGS = Settings(title_limit=None, body_limit=None, high=0.65)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def with_document(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+# --- Fixed values: layouts of the two driver tables, and post columns derived from them -------
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+DOCUMENTS = "doc_id long, text string, lang string, source string"
+SUBMISSION = """
+event_id
+cast(ts as timestamp) as ts
+concat('p', event_id) as id
+substring(text, 1, 80) as title
+nullif(substring(text, 81), '') as selftext
+lang as subreddit
+case when user_id % 50 = 1 then '[removed]' when user_id % 50 > 1 then concat('u', user_id) end as author
+cast(unix_timestamp(cast(ts as timestamp)) as double) as created_utc
+concat('https://example.org/p', event_id) as url
+concat('/', lang, '/p', event_id) as permalink
+event_id % 10 = 0 as over_18
+event_id % 17 = 0 as spoiler
+case event_id % 3 when 0 then source when 1 then '' end as link_flair_text
+floor(value) as score
+floor(value) + event_id % 5 as ups
+event_id % 5 as downs
+case when event_id % 97 <> 0 then 0.5d + (event_id % 50) / 100.0d end as upvote_ratio
+cast(get_json_object(props, '$.k') as bigint) as num_comments
+case when event_id % 41 <> 0 then event_id % 4 end as total_awards_received
+event_type = 'view' as is_video
+event_type in ('signup', 'error', 'click') as is_self
+case when event_id % 7 <> 0 then event_id % 2 = 0 end as is_original_content
+case when event_type = 'view' then '{"kind": "video"}' when event_id % 11 = 0 then '{}' end as media
+case when event_id % 23 = 0 then true when event_id % 5 <> 0 then false end as stickied
+""".strip().splitlines()
+
+
+def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
+def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
+
+
+def with_document(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Join on the document number. The file may be one split: spread its texts before work is done on them."""
+    documents = documents_table(spark, sf_dir)
     number = documents.select(F.count("*")).scalar()
-    return events.withColumn("doc_id", F.col("event_id") % number).join(
-        documents.select("doc_id", "text", "lang", "source"), "doc_id"
-    )
-
-
-def as_submissions(posts: DataFrame) -> DataFrame:
-    """Raw submission fields from event and document columns; `event_id` and `ts` (timestamp) stay."""
-    event_id, video = F.col("event_id"), F.col("event_type") == "view"
-    name = F.concat(F.lit("p"), event_id)
-    score = F.floor("value").cast("long")
-    ts = F.col("ts").cast("timestamp")
-    return posts.select(
-        event_id,
-        ts.alias("ts"),
-        name.alias("id"),
-        F.substring("text", 1, 80).alias("title"),
-        F.expr("nullif(substring(text, 81), '')").alias("selftext"),
-        F.col("lang").alias("subreddit"),
-        F.when(F.col("user_id") % 50 == 1, "[removed]")
-        .when(F.col("user_id") % 50 > 1, F.concat(F.lit("u"), "user_id"))
-        .alias("author"),
-        F.unix_timestamp(ts).cast("double").alias("created_utc"),
-        F.concat(F.lit("https://example.org/"), name).alias("url"),
-        F.concat(F.lit("/"), "lang", F.lit("/"), name).alias("permalink"),
-        (event_id % 10 == 0).alias("over_18"),
-        (event_id % 17 == 0).alias("spoiler"),
-        F.when(event_id % 3 == 0, F.col("source")).when(event_id % 3 == 1, "").alias("link_flair_text"),
-        score.alias("score"),
-        (score + event_id % 5).alias("ups"),
-        (event_id % 5).alias("downs"),
-        F.when(event_id % 97 != 0, F.lit(0.5) + (event_id % 50) / F.lit(100.0)).alias("upvote_ratio"),
-        F.get_json_object("props", "$.k").cast("long").alias("num_comments"),
-        F.when(event_id % 41 != 0, event_id % 4).alias("total_awards_received"),
-        video.alias("is_video"),
-        F.col("event_type").isin("signup", "error", "click").alias("is_self"),
-        F.when(event_id % 7 != 0, event_id % 2 == 0).alias("is_original_content"),
-        F.when(video, '{"kind": "video"}').when(event_id % 11 == 0, "{}").alias("media"),
-        F.when(event_id % 23 == 0, True).when(event_id % 5 != 0, False).alias("stickied"),
-    )
+    return rows.withColumn("doc_id", F.col("event_id") % number).join(documents.repartition("doc_id"), "doc_id")
 
 
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_submissions(with_document(spark, sf_dir, table(spark, sf_dir, "events")))
+    """Raw submission fields from event and document columns; `event_id` and `ts` stay."""
+    return with_document(spark, sf_dir, events_table(spark, sf_dir)).selectExpr(*SUBMISSION)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,11 +82,12 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hot_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third post as fetched an hour after its event, half of them again six hours later."""
-    posts = submissions(spark, sf_dir).filter(F.col("event_id") % 3 == 0)
-    return (
-        posts.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("event_id") % 2)))
-        .withColumn("fetched_at", F.col("ts") + F.make_dt_interval(hours=(F.col("copy") * 6 + 1).cast("int")))
-        .withColumn("score", F.col("score") + F.col("event_id") % 100 - F.col("copy") * 5)
+    posts = submissions(spark, sf_dir).filter("event_id % 3 = 0")
+    return posts.selectExpr("*", "explode(sequence(0, event_id % 2)) as copy").withColumns(
+        {
+            "fetched_at": F.expr("ts + make_dt_interval(0, cast(1 + 6 * copy as int))"),
+            "score": F.expr("score + event_id % 100 - copy * 5"),
+        }
     )
 
 
@@ -102,20 +102,16 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     `source_pos` is the place of the request, `listing_pos` the place in its answer.
     """
-    posts = submissions(spark, sf_dir).filter(F.col("event_id") % 3 == 0)
-    own = F.col("subreddit")
-    asked = F.when(F.col("event_id") % 6 == 0, F.array(F.lit("all"), own)).otherwise(F.array(own))
-    rows = posts.withColumn("listing", F.explode(asked)).withColumns(
-        {
-            "source_pos": F.when(F.col("listing") == "all", 0).otherwise(1),
-            "listing_pos": F.col("event_id"),
-        }
-    )
-    return normalise_listing(rows, F.lit(AS_OF))
+    posts = submissions(spark, sf_dir).filter("event_id % 3 = 0")
+    rows = posts.selectExpr(
+        "*",
+        "explode(if(event_id % 6 = 0, array('all', subreddit), array(subreddit))) as listing",
+        "event_id as listing_pos",
+    ).withColumn("source_pos", F.expr("if(listing = 'all', 0, 1)"))
+    return normalise_listing(rows, AS_OF)
 
 
 def requested_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested sources: every subreddit there is, `all`, and one that never answers."""
-    langs = table(spark, sf_dir, "documents").select(F.col("lang").alias("listing")).distinct()
-    others = F.explode(F.array(F.lit("all"), F.lit("nowhere"))).alias("listing")
-    return langs.unionByName(spark.range(1).select(others))
+    langs = documents_table(spark, sf_dir).select(F.col("lang").alias("listing")).distinct()
+    return langs.unionByName(spark.range(1).selectExpr("explode(array('all', 'nowhere')) as listing"))
