@@ -61,5 +61,5 @@ def run_extraction(
     write_gold(embedding_rows(tfidf_vectors(archetypes, cfg.tfidf_dims)), embeddings_path, fmt)
     window = recent_window(staged, as_of, cfg)
     summary = extraction_summary(merged.get["rows"], window, viral_tiered(window, cfg), archetypes, as_of, cfg)
-    write_summary(summary, f"{archetypes_path}/_metadata")
+    write_summary(summary, f"{archetypes_path}/_summary")
     return summary

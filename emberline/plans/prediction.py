@@ -50,5 +50,5 @@ def run_prediction(
     write_predictions(predictions, predictions_path, fmt=fmt, run_id=run_id)
     summary = prediction_summary(prediction_totals(predictions), archetypes, as_of, predictions_path, cfg)
     at = spark.range(1).select(compact_stamp(instant(as_of)).alias("at")).first()["at"]
-    write_summary(summary, f"{predictions_path}/_metadata_{at}")
+    write_summary(summary, f"{predictions_path}/_summary_{at}")
     return summary

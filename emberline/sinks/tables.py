@@ -59,7 +59,11 @@ def write_predictions(
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    """A one-row run summary as JSON. A folder name with a leading `_` keeps it out of table reads."""
+    """A one-row run summary as JSON.
+
+    A leading `_` in the folder name keeps it out of table reads, but for names that start with `_metadata`:
+    Spark takes those for files of the table.
+    """
     summary.coalesce(1).write.mode("overwrite").json(path)
 
 

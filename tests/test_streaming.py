@@ -1,0 +1,102 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from emberline.config import Settings
+from emberline.schemas import EVENT, SILVER, mismatches
+from emberline.streaming import counters, posts
+from tests.conftest import values
+
+
+def message(**changes):
+    event = dict(
+        id="a", title="t", selftext="body", subreddit="s", author="x", created_utc=1706600000.0, url="u", permalink="p",
+        over_18=False, spoiler=False, link_flair_text=None, score=7, ups=7, downs=0, ratio=0.5, num_comments=3,
+        num_awards=1, is_video=False, has_media=None, ingestion_timestamp="2024-01-30T10:00:00.000001",
+    )
+    assert list(event) == EVENT.names
+    return json.dumps({**event, **changes})
+
+
+LINES = [
+    message(id="a", title="t" * 600),
+    message(id="a", title="t" * 600),
+    message(id="b", selftext=None, author=None),
+    "{broken",
+    message(id=None),
+]
+
+
+def land(folder, name, lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def run_silver(spark, tmp_path, spread=16):
+    good, _ = posts.split_malformed(posts.read_post_stream(spark, str(tmp_path / "in")))
+    stream = posts.silver_stream(good, spread=spread)
+    posts.write_silver_stream(stream, str(tmp_path / "silver"), str(tmp_path / "ckpt")).awaitTermination()
+    return posts.read_silver(spark, str(tmp_path / "silver"))
+
+
+@pytest.mark.parametrize("spread", [1, 16])
+def test_intake(spark, tmp_path, spread):
+    land(tmp_path / "in", "1.jsonl", LINES)
+    stored = run_silver(spark, tmp_path, spread)
+    assert mismatches(stored.schema, SILVER) == []
+    rows = {r["id"]: r for r in stored.collect()}
+    assert sorted(rows) == ["a", "b"] and stored.count() == 2
+    assert len(rows["a"]["title"]) == 500
+    assert (rows["b"]["author"], rows["b"]["selftext"], rows["b"]["content_type"]) == ("[deleted]", "", "link")
+    assert rows["a"]["content_type"] == "text" and rows["a"]["link_flair_text"] == "unknown"
+    assert rows["a"]["engagement_score"] == pytest.approx(7 * 0.5 + 3 * 0.3 + 0.2)
+
+
+def test_restart_takes_new_files_only_and_late_posts_are_kept(spark, tmp_path):
+    land(tmp_path / "in", "1.jsonl", LINES)
+    run_silver(spark, tmp_path)
+    late = message(id="old", created_utc=1000.0, ingestion_timestamp="2001-01-01T00:00:00")
+    land(tmp_path / "in", "2.jsonl", [message(id="b"), message(id="c"), late])
+    assert values(run_silver(spark, tmp_path), "id") == ["a", "b", "c", "old"]
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    lines = [message(id=f"p{i % 70}", score=i % 70, title=f"Title, {i % 70}") for i in range(200)]
+    for part in range(4):
+        land(tmp_path / "in", f"{part}.jsonl", lines[part::4])
+    batch = posts.split_malformed(
+        spark.read.text(str(tmp_path / "in")).withColumn("timestamp", F.current_timestamp())
+    )[0].dropDuplicates(["id"])
+    from emberline.operators.normalise import normalise_event, silver_columns
+
+    wanted = silver_columns(normalise_event(batch, Settings()))
+    assert values(run_silver(spark, tmp_path), *SILVER.names) == values(wanted, *SILVER.names)
+
+
+def test_quarantine(spark, tmp_path):
+    land(tmp_path / "in", "1.jsonl", LINES)
+    _, bad = posts.split_malformed(posts.read_post_stream(spark, str(tmp_path / "in")))
+    posts.write_quarantine(bad, str(tmp_path / "bad"), str(tmp_path / "ckpt")).awaitTermination()
+    stored = spark.read.parquet(str(tmp_path / "bad"))
+    assert stored.columns == ["value", "timestamp"]
+    assert values(stored, "value") == sorted([LINES[3], LINES[4]])
+
+
+def test_counters_batch(spark):
+    rows = [(LINES[0], "2024-01-30 10:00:05"), (LINES[3], "2024-01-30 10:00:50"), (LINES[1], "2024-01-30 10:01:00")]
+    df = spark.createDataFrame(rows, "value string, t string").select("value", F.col("t").cast("timestamp").alias("timestamp"))
+    result = values(counters.stream_counters(df), "processed", "sent", "failed", "rate_per_second")
+    assert result == [(1, 1, 0, 1 / 60), (2, 1, 1, 1 / 60)]
+
+
+def test_counters_stream_keeps_the_last_state(spark, tmp_path):
+    source, total = str(tmp_path / "in"), 0
+    for name, lines in (("1.jsonl", LINES), ("2.jsonl", LINES[:3])):
+        land(tmp_path / "in", name, lines)
+        total += len(lines)
+        counted = counters.stream_counters(posts.read_post_stream(spark, source), "3650 days")
+        counters.write_counters(counted, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
+        stored = counters.read_counters(spark, str(tmp_path / "out"))
+        assert stored.agg(F.sum("processed")).first()[0] == total
+    assert values(stored, "processed", "sent", "failed") == [(8, 6, 2)]
