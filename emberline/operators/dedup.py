@@ -49,15 +49,26 @@ def drop_stickied(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce(F.col("stickied"), F.lit(False)))
 
 
-def slim_before(df: DataFrame, ts: str, since: Column, keep: Sequence[str]) -> DataFrame:
-    """Same rows and columns, but rows older than `since` hold null outside `keep`.
+def _boxed(df: DataFrame, keep: Sequence[str], rest: Column) -> DataFrame:
+    return df.select(*keep, rest.alias("_rest"))
+
+
+def _unboxed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    flat = df.select(*[c for c in df.columns if c != "_rest"], "_rest.*")
+    return flat.select(*columns)
+
+
+def box_history(df: DataFrame, ts: str, since: Column, keep: Sequence[str]) -> DataFrame:
+    """All rows, with `keep` as columns and the rest as one struct, which is null for rows older than `since`.
 
     Old rows can outrank a recent copy, so they must take part in a dedup, but their texts are never
-    needed. Each half is its own scan: the recent one prunes row groups, the old one reads `keep` only.
+    needed. Each half is its own scan: the recent one prunes row groups, the old one reads `keep` only,
+    and a shuffled old row holds `keep` and one null.
     """
-    recent = df.filter(F.col(ts) >= since)
-    old = df.filter((F.col(ts) < since) | F.col(ts).isNull()).select(*keep)
-    return recent.unionByName(old, allowMissingColumns=True).select(*df.columns)
+    rest = F.struct(*[c for c in df.columns if c not in keep])
+    recent = _boxed(df.filter(F.col(ts) >= since), keep, rest)
+    old = df.filter((F.col(ts) < since) | F.col(ts).isNull())
+    return recent.unionByName(_boxed(old, keep, F.lit(None).cast(recent.schema["_rest"].dataType)))
 
 
 def latest_hot(bronze: DataFrame) -> DataFrame:
@@ -80,6 +91,12 @@ def merge_history(
     with its sort columns alone, to be counted and then dropped by the recency filter.
     """
     since = hours_before(as_of, hours)
-    hot = slim_before(bronze, "fetch_ts", since, ["id", "fetch_timestamp", "fetch_ts", "score", "num_comments"])
-    stream = slim_before(silver, "processed_ts", since, ["id", "processed_ts", "score", "num_comments"])
-    return merge_sources(stream, hot, cfg)
+    # Every boxed column is used later: a half-used box would be opened before the shuffle.
+    used = bronze.drop("created_utc", "is_original_content", "fetch_source", "fetch_hour", "has_media")
+    copies = box_history(used, "fetch_ts", since, ["id", "fetch_timestamp", "fetch_ts", "score", "num_comments"])
+    hot = harmonise_hot(_unboxed(latest_hot(copies), used.columns), cfg)
+    keep = ["id", "processed_ts", "score", "num_comments", "data_source"]
+    rest = F.struct(*[c for c in hot.columns if c not in keep])
+    boxed = _boxed(hot, keep, F.when(F.col("processed_ts") >= since, rest))
+    stream = box_history(mark_stream(silver), "processed_ts", since, keep)
+    return _unboxed(dedup(stream.unionByName(boxed)), hot.columns)

@@ -237,6 +237,58 @@ words AS (SELECT id, unnest(regexp_split_to_array(text_combined, '\\s')) AS term
 tf AS (SELECT id, term, count(*) AS tf FROM words GROUP BY 1, 2),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1)"""
 
+
+
+# --- Fixed values: constants of the public 32-bit MurmurHash3, and the seed of the feature hash -----
+_C1, _C2, _ADD, _F1, _F2, _SEED = 0xCC9E2D51, 0x1B873593, 0xE6546B64, 0x85EBCA6B, 0xC2B2AE35, 42
+
+
+def _wrap(x: str) -> str:
+    return f"(({x}) % 4294967296::UBIGINT)"
+
+
+def _rotate(x: str, by: int) -> str:
+    return f"({_wrap(f'{x} * {1 << by}::UBIGINT')} + {x} // {1 << (32 - by)}::UBIGINT)"
+
+
+def _scramble(k: str) -> str:
+    first = _wrap(f"{k} * {_C1}::UBIGINT")
+    return _wrap(f"{_rotate(first, 15)} * {_C2}::UBIGINT")
+
+
+def _bytes(start: str, number: str) -> str:
+    """`number` bytes of the ASCII term from `start` (1-based), as a little-endian number."""
+    parts = [
+        f"CASE WHEN {at} < {number} THEN ascii(substring(term, {start} + {at}, 1)) * {256**at}::UBIGINT ELSE 0::UBIGINT END"
+        for at in range(4)
+    ]
+    return "(" + " + ".join(parts) + ")"
+
+
+# One step per common table expression; terms are ASCII, so characters are bytes.
+_HASHED = f"""
+vocabulary AS MATERIALIZED (SELECT DISTINCT term, length(term) AS size FROM words),
+blocks AS MATERIALIZED (
+  SELECT term, size, [{_scramble("k")} FOR k IN ks] AS ks, {_scramble("rest")} AS rest
+  FROM (SELECT term, size, [{_bytes("(4 * i + 1)::INT", "4")} FOR i IN range(size // 4)] AS ks,
+               {_bytes("(size // 4 * 4 + 1)::INT", "size % 4")} AS rest FROM vocabulary)),
+body AS MATERIALIZED (
+  SELECT term, size, rest,
+         list_reduce(ks, lambda h, k: {_wrap(f"{_rotate('xor(h, k)', 13)} * 5::UBIGINT + {_ADD}::UBIGINT")},
+                     {_SEED}::UBIGINT) AS h FROM blocks),
+final1 AS MATERIALIZED (SELECT term, xor(xor(h, rest), size::UBIGINT) AS h FROM body),
+final2 AS MATERIALIZED (SELECT term, {_wrap(f"xor(h, h // 65536::UBIGINT) * {_F1}::UBIGINT")} AS h FROM final1),
+final3 AS MATERIALIZED (SELECT term, {_wrap(f"xor(h, h // 8192::UBIGINT) * {_F2}::UBIGINT")} AS h FROM final2),
+final4 AS MATERIALIZED (SELECT term, xor(h, h // 65536::UBIGINT)::BIGINT AS h FROM final3),
+buckets AS MATERIALIZED (
+  SELECT term, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % 100 + 100) % 100 AS bucket FROM final4),
+counted AS MATERIALIZED (
+  SELECT id, bucket, count(*) AS tf FROM words JOIN buckets USING (term) GROUP BY 1, 2),
+spread AS (SELECT bucket, count(*) AS df FROM counted GROUP BY 1),
+weights AS (
+  SELECT id, bucket, tf * ln((n + 1e0) / (df + 1e0)) AS weight
+  FROM counted JOIN spread USING (bucket), (SELECT count(*) AS n FROM archetypes))"""
+
 _DAY_TOP = "viral_similarity_score DESC, id"
 
 _STREAM_SILVER = f"""
@@ -359,6 +411,10 @@ SELECT 'content_type', content_type, count(*), {_r("count(*) / 40e0")} FROM arch
 SELECT id, archetype_rank, title, md5(selftext) AS selftext, md5(text_combined) AS text_combined, subreddit,
        {_r("viral_score")} AS viral_score, content_type, md5(concat_ws(' | ', title, selftext)) AS embedding_text
 FROM archetypes""",
+        "tfidf_vectors": f"""WITH {_FOUND},{_TERMS},{_HASHED}
+SELECT w.id, a.archetype_rank, a.title, a.subreddit, {_r("a.viral_score")} AS viral_score,
+       '2024-01-31' AS extraction_date, w.bucket, {_r("w.weight")} AS weight
+FROM weights w JOIN archetypes a USING (id) WHERE w.weight <> 0""",
         "tfidf_terms": f"""WITH {_FOUND},{_TERMS}
 SELECT id, term, tf, df, {_r("ln((n + 1e0) / (df + 1e0))")} AS idf, {_r("tf * ln((n + 1e0) / (df + 1e0))")} AS tfidf
 FROM tf JOIN df USING (term), (SELECT count(*) AS n FROM archetypes)""",

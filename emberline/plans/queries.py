@@ -6,6 +6,7 @@
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, TimestampType
@@ -60,6 +61,7 @@ def archetypes(spark: SparkSession, sf_dir: str, cfg: Settings = CFG) -> DataFra
 
 
 def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled candidates. The archetypes are stored first, as the Gold table is."""
     return prediction.predict(testbed.silver(spark, sf_dir), archetypes(spark, sf_dir), AS_OF, CFG)
 
 
@@ -120,7 +122,7 @@ def source_counts(spark, sf_dir):
 
 
 def fetch_summary(spark, sf_dir):
-    fetched = intake.fetched_rows(testbed.listings(spark, sf_dir), CFG)
+    fetched = stage(intake.fetched_rows(testbed.listings(spark, sf_dir), CFG), "fetched")
     counts = audits.source_counts(fetched, testbed.requested_sources(spark, sf_dir))
     summary = summaries.fetch_summary(fetched, counts, AS_OF, "bronze")
     return summary.withColumn("fetch_stats", F.to_json("fetch_stats"))
@@ -260,10 +262,11 @@ def embedding_prep(spark, sf_dir):
 
 
 def tfidf_vectors(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-
+    """The embedding rows, their vectors unfolded to the entries that are not 0."""
     rows = textfeatures.embedding_rows(textfeatures.tfidf_vectors(archetypes(spark, sf_dir), CFG.tfidf_dims))
-    return rows.withColumn("tfidf_features", vector_to_array("tfidf_features"))
+    entries = F.posexplode(vector_to_array("tfidf_features")).alias("bucket", "weight")
+    others = [c for c in rows.columns if c != "tfidf_features"]
+    return rows.select(*others, entries).filter(F.col("weight") != 0)
 
 
 def tfidf_terms(spark, sf_dir):
@@ -474,7 +477,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries in comparable form. They read times in UTC and set the session so."""
+
     def shown(query):
-        return lambda spark, sf_dir: comparable(query(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return comparable(query(spark, sf_dir))
+
+        return run
 
     return {name: shown(query) for name, query in QUERIES.items()}
