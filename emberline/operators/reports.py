@@ -128,13 +128,17 @@ def top_high_posts(predicted: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def prediction_totals(predicted: DataFrame) -> DataFrame:
-    """One row: posts per label, mean and maximum similarity. Counts are 0 on empty input."""
+def total_columns() -> list[Column]:
+    """Posts per label, mean and maximum similarity. Counts are 0 on empty input."""
     label = F.col("viral_potential_label")
     names = dict(zip(LABELS, ("already_viral", "high_potential", "medium_potential", "low_potential")))
-    return predicted.agg(
+    return [
         _count("total_posts"),
         *[F.count_if(label == value).alias(name) for value, name in names.items()],
         F.avg("viral_similarity_score").alias("avg_similarity"),
         F.max("viral_similarity_score").alias("max_similarity"),
-    )
+    ]
+
+
+def prediction_totals(predicted: DataFrame) -> DataFrame:
+    return predicted.agg(*total_columns())

@@ -5,10 +5,10 @@ from pyspark.sql import DataFrame, SparkSession
 from emberline.config import Settings
 from emberline.functions.moments import AsOf, compact_stamp, instant
 from emberline.operators.dedup import dedup
-from emberline.operators.reports import prediction_totals
+from emberline.operators.reports import total_columns
 from emberline.operators.similarity import candidates, prediction_rows, score_posts
 from emberline.plans.summaries import prediction_summary
-from emberline.session import stage
+from emberline.schemas import TOTALS
 from emberline.sinks.tables import write_predictions, write_summary
 from emberline.sources.tables import FORMAT, read_optional, read_table, require_rows
 
@@ -45,10 +45,10 @@ def run_prediction(
     archetypes = require_rows(read_table(spark, archetypes_path, fmt), "no archetypes")
     if embeddings_path:
         read_optional(spark, embeddings_path, fmt)
-    silver = read_table(spark, silver_path, fmt)
-    predictions = stage(prediction_rows(predict(silver, archetypes, as_of, cfg), as_of), "predictions")
-    write_predictions(predictions, predictions_path, fmt=fmt, run_id=run_id)
-    summary = prediction_summary(prediction_totals(predictions), archetypes, as_of, predictions_path, cfg)
+    rows = prediction_rows(predict(read_table(spark, silver_path, fmt), archetypes, as_of, cfg), as_of)
+    totals = write_predictions(rows, predictions_path, fmt=fmt, run_id=run_id, metrics=total_columns())
+    one_row = spark.createDataFrame([tuple(totals[name] for name in TOTALS.names)], TOTALS)
+    summary = prediction_summary(one_row, archetypes, as_of, predictions_path, cfg)
     at = spark.range(1).select(compact_stamp(instant(as_of)).alias("at")).first()["at"]
     write_summary(summary, f"{predictions_path}/_summary_{at}")
     return summary

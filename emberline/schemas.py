@@ -78,6 +78,13 @@ PREDICTION = _layout(
 )
 PREDICTION_PARTITIONS = ("prediction_date", "viral_potential_label")
 
+TOTALS = _layout(
+    """
+    total_posts long, already_viral long, high_potential long, medium_potential long, low_potential long,
+    avg_similarity double, max_similarity double
+    """
+)
+
 EMBEDDING_PREP_COLUMNS = (
     "id", "archetype_rank", "title", "selftext", "text_combined", "subreddit", "viral_score", "content_type",
 )

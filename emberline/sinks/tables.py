@@ -2,23 +2,39 @@
 
 from collections.abc import Sequence
 from datetime import datetime
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.schemas import BRONZE_PARTITIONS, PREDICTION_PARTITIONS
 from emberline.sources.tables import FORMAT, read_table
 
 
-def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], mode: str, fmt: str = FORMAT, **options):
+def write_partitioned(
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str],
+    mode: str,
+    fmt: str = FORMAT,
+    metrics: Sequence[Column] = (),
+    **options: str,
+) -> dict[str, Any]:
+    """Write and return the `metrics` of the written rows.
+
+    They are taken behind the shuffle, in the tasks that write, so a repeated map task is not counted twice.
+    """
+    rows, seen = df.hint("rebalance", *partitions), Observation()
+    if metrics:
+        rows = rows.observe(seen, *metrics)
     (
-        df.hint("rebalance", *partitions)
-        .write.format(fmt)
+        rows.write.format(fmt)
         .options(**options)
         .mode(mode)
         .partitionBy(*partitions)
         .save(path)
     )
+    return seen.get if metrics else {}
 
 
 def batch_path(root: str, fetched_at: datetime) -> str:
@@ -37,23 +53,28 @@ def write_gold(df: DataFrame, path: str, fmt: str = FORMAT) -> None:
 
 
 def write_predictions(
-    df: DataFrame, path: str, mode: str = "append", fmt: str = FORMAT, run_id: str | None = None
-) -> None:
-    """Append predictions by date and label.
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    fmt: str = FORMAT,
+    run_id: str | None = None,
+    metrics: Sequence[Column] = (),
+) -> dict[str, Any]:
+    """Append predictions by date and label; return the `metrics` of the written rows.
 
     With a `run_id` the write can be repeated: the run has its own folder below the date, and a second
     attempt replaces that folder alone.
     """
     if run_id is None:
-        write_partitioned(df, path, PREDICTION_PARTITIONS, mode, fmt)
-        return
+        return write_partitioned(df, path, PREDICTION_PARTITIONS, mode, fmt, metrics)
     date, label = PREDICTION_PARTITIONS
-    write_partitioned(
+    return write_partitioned(
         df.withColumn("run_id", F.lit(run_id)),
         path,
         (date, "run_id", label),
         "overwrite",
         fmt,
+        metrics,
         partitionOverwriteMode="dynamic",
     )
 
