@@ -20,8 +20,8 @@ def _filled(name: str, value) -> Column:
     return F.coalesce(F.col(name), F.lit(value))
 
 
-def event_from_submission(df: DataFrame, ingested_at: AsOf) -> DataFrame:
-    """Raw submission fields to the 20 event fields; `media` is JSON text or null."""
+def event_from_submission(df: DataFrame, ingested_at: AsOf, *also: str) -> DataFrame:
+    """Raw submission fields to the 20 event fields, and the columns named in `also`; `media` is JSON text or null."""
     return (
         df.withColumnsRenamed({"upvote_ratio": "ratio", "total_awards_received": "num_awards"})
         .withColumns(
@@ -30,7 +30,7 @@ def event_from_submission(df: DataFrame, ingested_at: AsOf) -> DataFrame:
                 "ingestion_timestamp": F.date_format(instant(ingested_at), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
             }
         )
-        .select(*EVENT.names)
+        .select(*EVENT.names, *also)
     )
 
 

@@ -6,7 +6,8 @@ _QUIET = "TIMESTAMP '2024-02-01 12:00:00'"
 
 
 def _r(expression: str) -> str:
-    return f"round({expression}, 9)"
+    """Nine places; the added zero turns a negative zero positive."""
+    return f"(round({expression}, 9) + 0e0)"
 
 
 def _t(ts: str) -> str:
@@ -17,7 +18,7 @@ _ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
 
 _SUBMISSION = """
 submission AS MATERIALIZED (
-  SELECT e.event_id, e.ts, 'p' || e.event_id AS id,
+  SELECT e.event_id, e.ts, e.event_type, 'p' || e.event_id AS id,
          substring(d.text, 1, 80) AS title, nullif(substring(d.text, 81), '') AS selftext, d.lang AS subreddit,
          CASE WHEN e.user_id % 50 = 1 THEN '[removed]' WHEN e.user_id % 50 > 1 THEN 'u' || e.user_id END AS author,
          floor(epoch(e.ts))::DOUBLE AS created_utc,
@@ -66,11 +67,11 @@ silver AS MATERIALIZED (
 _COPIES = """
 copies AS MATERIALIZED (
   SELECT * EXCLUDE (author, score, total_awards_received, is_original_content, selftext, copy),
-         coalesce(author, 'None') AS author, score + event_id % 100 - copy * 5 AS score,
+         coalesce(author, 'None') AS author, greatest(score + event_id % 100 - 50 - copy * 5, 0) AS score,
          coalesce(total_awards_received, 0) AS total_awards_received,
          coalesce(is_original_content, FALSE) AS is_original_content, coalesce(selftext, '') AS selftext,
          ts + to_hours(1 + 6 * copy) AS fetched_at, copy
-  FROM (SELECT *, unnest(range(0, event_id % 2 + 1)) AS copy FROM submission WHERE event_id % 3 = 0))"""
+  FROM (SELECT *, unnest(range(0, event_id % 2 + 1)) AS copy FROM submission))"""
 
 _HOT = f"""
 latest AS MATERIALIZED (
@@ -179,8 +180,8 @@ runs AS (SELECT {_prediction_columns(_HOUR_EARLIER)} FROM p1 UNION ALL SELECT {_
 _LISTINGS = """
 listings AS MATERIALIZED (
   SELECT *, listing <> 'all' AS later
-  FROM (SELECT *, unnest(CASE WHEN event_id % 6 = 0 THEN ['all', subreddit] ELSE [subreddit] END) AS listing
-        FROM submission WHERE event_id % 3 = 0)),
+  FROM (SELECT *, unnest(CASE WHEN score >= 100 THEN ['all', subreddit] ELSE [subreddit] END) AS listing
+        FROM submission)),
 fetched AS MATERIALIZED (
   SELECT * FROM (SELECT * FROM listings
                  QUALIFY row_number() OVER (PARTITION BY listing ORDER BY event_id) <= 50)
@@ -191,9 +192,8 @@ fetch_counts AS (
   LEFT JOIN fetched f ON f.listing = r.listing GROUP BY 1)"""
 
 _MESSAGES = """
-numbered AS (
-  SELECT *, substring(id, 2)::BIGINT AS number,
-         unnest(CASE WHEN substring(id, 2)::BIGINT % 3 = 0 THEN [1, 1] ELSE [1] END) AS delivery FROM submission)"""
+deliveries AS (
+  SELECT *, unnest(CASE WHEN event_type = 'purchase' THEN [1, 1] ELSE [1] END) AS delivery FROM submission)"""
 
 
 def _common(source: str, *extra: str) -> str:
@@ -298,7 +298,7 @@ event AS (
          CASE WHEN link_flair_text <> '' THEN link_flair_text ELSE 'unknown' END AS link_flair_text,
          score, ups, downs, upvote_ratio AS ratio, num_comments, total_awards_received AS num_awards,
          is_video, is_video AS has_media, ts, date_trunc('second', ts) AS created_ts
-  FROM submission WHERE event_id % 13 <> 0),
+  FROM submission WHERE event_type <> 'error'),
 silver AS (
   SELECT *,{_features("created_ts")},
          CASE WHEN is_video THEN 'video' WHEN trim(selftext) <> '' THEN 'text' ELSE 'link' END AS content_type,
@@ -475,11 +475,11 @@ SELECT viral_potential_label, count(*) AS count FROM predicted GROUP BY 1""",
         "stream_silver": f"""WITH {_SUBMISSION},{_STREAM_SILVER}
 {_common("(SELECT *, '' AS data_source FROM silver)").replace(", data_source", "")}""",
         "stream_quarantine": f"""WITH {_SUBMISSION},{_MESSAGES}
-SELECT {_t("ts")} AS timestamp FROM numbered WHERE number % 13 = 0""",
+SELECT {_t("ts")} AS timestamp FROM deliveries WHERE event_type = 'error'""",
         "stream_counters": f"""WITH {_SUBMISSION},{_MESSAGES}
 SELECT {_t("date_trunc('minute', ts)")} AS window_start, count(*) AS processed,
-       count(*) FILTER (number % 13 <> 0) AS sent, count(*) FILTER (number % 13 = 0) AS failed,
-       {_r("count(*) FILTER (number % 13 <> 0) / 60e0")} AS rate_per_second
-FROM numbered GROUP BY date_trunc('minute', ts)""",
+       count(*) FILTER (event_type <> 'error') AS sent, count(*) FILTER (event_type = 'error') AS failed,
+       {_r("count(*) FILTER (event_type <> 'error') / 60e0")} AS rate_per_second
+FROM deliveries GROUP BY date_trunc('minute', ts)""",
     }
     return {name: text.strip() for name, text in sql.items()}

@@ -374,24 +374,20 @@ def _on_view(sql: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream of queue messages from the events file.
-
-    Every third message is delivered twice, and every thirteenth is cut in half and thus no JSON.
-    """
+    """A stream of queue messages from the events file: purchases arrive twice, errors are cut off in the middle."""
     arriving = spark.readStream.schema(testbed.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return as_messages(testbed.with_document(spark, sf_dir, arriving))
-
-
-def as_messages(joined: DataFrame) -> DataFrame:
-    event = normalise.event_from_submission(joined.selectExpr(*testbed.SUBMISSION), F.col("ts"))
-    number = F.substring("id", 2, 20).cast("long")
-    half = F.expr("substring(value, 1, length(value) div 2)")
-    deliveries = F.array_repeat(F.lit(1), F.when(number % 3 == 0, 2).otherwise(1))
+    posted = testbed.with_document(spark, sf_dir, arriving).selectExpr(*testbed.SUBMISSION, "event_type")
+    event = normalise.event_from_submission(posted, F.col("ts"), "event_type")
+    fields = F.struct(*[c for c in event.columns if c != "event_type"])
     return (
-        event.withColumn("value", F.to_json(F.struct(*event.columns)))
-        .withColumn("value", F.when(number % 13 == 0, half).otherwise(F.col("value")))
-        .select("value", F.col("ingestion_timestamp").cast("timestamp").alias("timestamp"), F.explode(deliveries))
-        .select("value", "timestamp")
+        event.withColumn("value", F.to_json(fields))
+        .withColumn("value", F.expr("if(event_type = 'error', substring(value, 1, length(value) div 2), value)"))
+        .selectExpr(
+            "value",
+            "cast(ingestion_timestamp as timestamp) as timestamp",
+            "explode(array_repeat(1, if(event_type = 'purchase', 2, 1))) as delivery",
+        )
+        .drop("delivery")
     )
 
 

@@ -81,12 +81,12 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hot_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third post as fetched an hour after its event, half of them again six hours later."""
-    posts = submissions(spark, sf_dir).filter("event_id % 3 = 0")
+    """Every post as fetched an hour after its event, half of them again six hours later, scores moved."""
+    posts = submissions(spark, sf_dir)
     return posts.selectExpr("*", "explode(sequence(0, event_id % 2)) as copy").withColumns(
         {
             "fetched_at": F.expr("ts + make_dt_interval(0, cast(1 + 6 * copy as int))"),
-            "score": F.expr("score + event_id % 100 - copy * 5"),
+            "score": F.expr("greatest(score + event_id % 100 - 50 - copy * 5, 0)"),
         }
     )
 
@@ -98,14 +98,13 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing rows by requested source: each hot post under its own subreddit, every sixth also under `all`.
+    """Listing rows by requested source: each post under its own subreddit, one of score 100 also under `all`.
 
     `source_pos` is the place of the request, `listing_pos` the place in its answer.
     """
-    posts = submissions(spark, sf_dir).filter("event_id % 3 = 0")
-    rows = posts.selectExpr(
+    rows = submissions(spark, sf_dir).selectExpr(
         "*",
-        "explode(if(event_id % 6 = 0, array('all', subreddit), array(subreddit))) as listing",
+        "explode(if(score >= 100, array('all', subreddit), array(subreddit))) as listing",
         "event_id as listing_pos",
     ).withColumn("source_pos", F.expr("if(listing = 'all', 0, 1)"))
     return normalise_listing(rows, AS_OF)

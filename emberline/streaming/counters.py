@@ -4,14 +4,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from emberline.streaming.posts import _parsed
+from emberline.streaming.posts import post_id
 
 COLUMNS = ("window_start", "processed", "sent", "failed", "rate_per_second")
 
 
 def stream_counters(messages: DataFrame, window: str = "1 minute") -> DataFrame:
     """One row per window. Works on a stream and on a stored table; the state is one row per window."""
-    flags = _parsed(messages).select("timestamp", F.col("post.id").isNotNull().alias("ok"))
+    flags = messages.select("timestamp", post_id().isNotNull().alias("ok"))
     slot = F.window("timestamp", window).alias("slot")
     seconds = F.unix_timestamp("slot.end") - F.unix_timestamp("slot.start")
     return (
