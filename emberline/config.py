@@ -2,41 +2,6 @@
 
 from dataclasses import dataclass, replace
 
-# --- Fixed values: requested sources, in fetch order ---------------------------------
-HOT_SOURCES = (
-    "all",
-    "funny",
-    "todayilearned",
-    "worldnews",
-    "news",
-    "science",
-    "technology",
-    "gaming",
-    "movies",
-    "music",
-    "books",
-    "AskReddit",
-    "explainlikeimfive",
-    "Showerthoughts",
-    "dataisbeautiful",
-)
-STREAM_SOURCES = (
-    "popular",
-    "news",
-    "worldnews",
-    "funny",
-    "pics",
-    "memes",
-    "AskReddit",
-    "technology",
-    "interestingasfuck",
-    "aww",
-    "WTF",
-    "gaming",
-    "movies",
-    "space",
-)
-
 # --- Fixed values: label names in report order ----------------------------------------
 LABELS = ("ALREADY_VIRAL", "HIGH", "MEDIUM", "LOW")
 

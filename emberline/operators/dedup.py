@@ -12,7 +12,8 @@ from pyspark.sql import Window as W
 
 from emberline.config import Settings
 from emberline.functions.moments import AsOf, hours_before
-from emberline.operators.normalise import harmonise_hot, mark_stream
+from emberline.operators.normalise import fill_hot_text, harmonise_hot, mark_stream
+from emberline.schemas import quoted
 
 LATEST_FETCH = ("fetch_timestamp desc", "score desc", "num_comments desc")
 BEST_SCORE = ("score desc", "processed_ts desc", "data_source asc", "num_comments desc")
@@ -49,13 +50,13 @@ def drop_stickied(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce(F.col("stickied"), F.lit(False)))
 
 
-def _boxed(df: DataFrame, keep: Sequence[str], rest: Column) -> DataFrame:
-    return df.select(*keep, rest.alias("_rest"))
+def _rest(columns: Sequence[str], keep: Sequence[str]) -> str:
+    return f"struct({', '.join(quoted(c for c in columns if c not in keep))})"
 
 
 def _unboxed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    flat = df.select(*[c for c in df.columns if c != "_rest"], "_rest.*")
-    return flat.select(*columns)
+    plain = df.columns
+    return df.selectExpr(*[f"`{c}`" if c in plain else f"_rest.`{c}` as `{c}`" for c in columns])
 
 
 def box_history(df: DataFrame, ts: str, since: Column, keep: Sequence[str]) -> DataFrame:
@@ -65,10 +66,10 @@ def box_history(df: DataFrame, ts: str, since: Column, keep: Sequence[str]) -> D
     needed. Each half is its own scan: the recent one prunes row groups, the old one reads `keep` only,
     and a shuffled old row holds `keep` and one null.
     """
-    rest = F.struct(*[c for c in df.columns if c not in keep])
-    recent = _boxed(df.filter(F.col(ts) >= since), keep, rest)
+    rest = _rest(df.columns, keep)
+    recent = df.filter(F.col(ts) >= since).selectExpr(*keep, f"{rest} as _rest")
     old = df.filter((F.col(ts) < since) | F.col(ts).isNull())
-    return recent.unionByName(_boxed(old, keep, F.lit(None).cast(recent.schema["_rest"].dataType)))
+    return recent.unionByName(old.selectExpr(*keep, "null as _rest"))
 
 
 def latest_hot(bronze: DataFrame) -> DataFrame:
@@ -77,9 +78,12 @@ def latest_hot(bronze: DataFrame) -> DataFrame:
 
 
 def merge_sources(silver: DataFrame, bronze: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """All posts of both sources, the best-scored copy of each id."""
-    hot = harmonise_hot(latest_hot(bronze), cfg)
-    return dedup(mark_stream(silver).unionByName(hot))
+    """All posts of both sources, the best-scored copy of each id.
+
+    Hot texts are cleaned after the dedup: neither the losers nor the cleaned text cross the shuffle.
+    """
+    hot = harmonise_hot(latest_hot(bronze), cfg, with_text=False)
+    return fill_hot_text(dedup(mark_stream(silver).unionByName(hot)))
 
 
 def merge_history(
@@ -94,9 +98,9 @@ def merge_history(
     # Every boxed column is used later: a half-used box would be opened before the shuffle.
     used = bronze.drop("created_utc", "is_original_content", "fetch_source", "fetch_hour", "has_media")
     copies = box_history(used, "fetch_ts", since, ["id", "fetch_timestamp", "fetch_ts", "score", "num_comments"])
-    hot = harmonise_hot(_unboxed(latest_hot(copies), used.columns), cfg)
+    hot = harmonise_hot(_unboxed(latest_hot(copies), used.columns), cfg, with_text=False)
     keep = ["id", "processed_ts", "score", "num_comments", "data_source"]
-    rest = F.struct(*[c for c in hot.columns if c not in keep])
-    boxed = _boxed(hot, keep, F.when(F.col("processed_ts") >= since, rest))
+    rest = F.when(F.col("processed_ts") >= since, F.expr(_rest(hot.columns, keep)))
+    boxed = hot.select(*keep, rest.alias("_rest"))
     stream = box_history(mark_stream(silver), "processed_ts", since, keep)
-    return _unboxed(dedup(stream.unionByName(boxed)), hot.columns)
+    return fill_hot_text(_unboxed(dedup(stream.unionByName(boxed)), hot.columns))

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from emberline.config import Settings
 from emberline.functions.moments import AsOf, from_epoch, from_iso, instant, time_features
 from emberline.functions.scoring import content_type, engagement_features
-from emberline.functions.text import clip, text_features
-from emberline.schemas import COMMON, EVENT, LISTING, SILVER, mismatches
+from emberline.functions.text import clean_text, clip, text_features
+from emberline.schemas import COMMON, EVENT, LISTING, SILVER, mismatches, quoted
 
 # --- Fixed values: markers written for absent content -----------------------------------
 DELETED_AUTHOR = "[deleted]"
@@ -30,7 +30,7 @@ def event_from_submission(df: DataFrame, ingested_at: AsOf, *also: str) -> DataF
                 "ingestion_timestamp": F.date_format(instant(ingested_at), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
             }
         )
-        .select(*EVENT.names, *also)
+        .selectExpr(*EVENT.names, *also)
     )
 
 
@@ -59,7 +59,7 @@ def normalise_listing(df: DataFrame, fetched_at: AsOf) -> DataFrame:
             "fetch_source": F.lit("hot"),
         }
     )
-    return rows.select(*LISTING.names, *[c for c in df.columns if c not in LISTING.names])
+    return rows.selectExpr(*LISTING.names, *quoted(c for c in df.columns if c not in LISTING.names))
 
 
 def add_bronze_derived(df: DataFrame, as_of: AsOf) -> DataFrame:
@@ -80,15 +80,18 @@ def to_common(df: DataFrame) -> DataFrame:
     wrong = mismatches(df.schema, COMMON)
     if wrong:
         raise TypeError("not a common post table: " + "; ".join(wrong))
-    return df.select(*COMMON.names)
+    return df.selectExpr(*COMMON.names)
 
 
 def mark_source(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn("data_source", F.lit(name))
 
 
-def harmonise_hot(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """Bronze rows in the common layout. `has_media` follows `is_video`, null included."""
+def harmonise_hot(df: DataFrame, cfg: Settings = Settings(), with_text: bool = True) -> DataFrame:
+    """Bronze rows in the common layout. `has_media` follows `is_video`, null included.
+
+    Without text the text features stay null, to be filled by `fill_hot_text` for the rows that are left.
+    """
     if cfg.fold_missing_author:
         missing = F.col("author").isNull() | (F.col("author") == AUTHOR_AS_TEXT)
         df = df.withColumn("author", F.when(missing, DELETED_AUTHOR).otherwise(F.col("author")))
@@ -103,12 +106,33 @@ def harmonise_hot(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
             "content_type": content_type(),
         }
     )
-    features = time_features(engagement_features(text_features(renamed), cfg))
+    texts = text_features(renamed) if with_text else renamed.withColumns(no_text_features())
+    features = time_features(engagement_features(texts, cfg))
     return to_common(
         mark_source(features, HOT).drop("fetch_timestamp", "fetch_source", "fetch_hour", "is_self")
     )
 
 
+def no_text_features() -> dict[str, Column]:
+    return {
+        "text_combined": F.lit(None).cast("string"),
+        "text_length": F.lit(None).cast("int"),
+        "title_length": F.lit(None).cast("int"),
+    }
+
+
+def fill_hot_text(df: DataFrame) -> DataFrame:
+    """Text features of the hot rows in a merged table; stream rows keep the stored ones."""
+    hot = F.col("data_source") == HOT
+    cleaned = clean_text(F.col("title"), F.col("selftext"))
+    return df.withColumn("text_combined", F.when(hot, cleaned).otherwise(F.col("text_combined"))).withColumns(
+        {
+            "text_length": F.when(hot, F.length("text_combined")).otherwise(F.col("text_length")),
+            "title_length": F.when(hot, F.length("title")).otherwise(F.col("title_length")),
+        }
+    )
+
+
 def silver_columns(events: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Normalised events with the stored features of the stream table.
 
@@ -123,7 +147,7 @@ def silver_columns(events: DataFrame, cfg: Settings = Settings()) -> DataFrame:
             "content_type": content_type(is_self=F.trim("selftext") != ""),
         }
     )
-    return time_features(engagement_features(text_features(rows), cfg)).select(*SILVER.names)
+    return time_features(engagement_features(text_features(rows), cfg)).selectExpr(*SILVER.names)
 
 
 def mark_stream(silver: DataFrame) -> DataFrame:

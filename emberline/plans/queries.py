@@ -53,7 +53,7 @@ def digest(df: DataFrame, *texts: str) -> DataFrame:
 
 
 def staged_recent(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
-    return extraction.stage_recent(testbed.silver(spark, sf_dir), testbed.bronze(spark, sf_dir), as_of, CFG)[0]
+    return extraction.stage_recent(*testbed.both(spark, sf_dir), as_of, CFG)[0]
 
 
 def archetypes(spark: SparkSession, sf_dir: str, cfg: Settings = CFG) -> DataFrame:
@@ -83,11 +83,11 @@ def hourly_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalise_events(spark, sf_dir):
-    return normalise.normalise_event(testbed.events(spark, sf_dir), Settings())
+    return normalise.normalise_event(testbed.events(testbed.submissions(spark, sf_dir)), Settings())
 
 
 def normalise_listing(spark, sf_dir):
-    copies = testbed.hot_copies(spark, sf_dir)
+    copies = testbed.hot_copies(testbed.submissions(spark, sf_dir))
     return digest(normalise.normalise_listing(copies, F.col("fetched_at")).select(*LISTING.names), "selftext")
 
 
@@ -98,9 +98,9 @@ def bronze_derived(spark, sf_dir):
 
 
 def post_features(spark, sf_dir):
-    stream = normalise.mark_stream(testbed.silver(spark, sf_dir))
-    hot = normalise.harmonise_hot(testbed.bronze(spark, sf_dir), CFG)
-    return digest(stream.unionByName(hot), "selftext", "text_combined")
+    silver, bronze = testbed.both(spark, sf_dir)
+    rows = normalise.mark_stream(silver).unionByName(normalise.harmonise_hot(bronze, CFG))
+    return digest(rows, "selftext", "text_combined")
 
 
 def listing_top_n_per_group(spark, sf_dir):
@@ -147,7 +147,7 @@ def sample_posts(spark, sf_dir):
 def bronze_batches(spark: SparkSession, sf_dir: str) -> str:
     """Write the first fetches of all hot posts as one batch, the second ones as another."""
     root = scratch_path(spark, "bronze")
-    copies = testbed.hot_copies(spark, sf_dir)
+    copies = testbed.hot_copies(testbed.submissions(spark, sf_dir))
     for copy, at in enumerate((datetime(2024, 1, 30, 18), datetime(2024, 1, 31))):
         fetched = normalise.normalise_listing(copies.filter(F.col("copy") == copy), F.col("fetched_at"))
         write_bronze(intake.bronze_rows(fetched.withColumns({"source_pos": F.lit(0), "listing_pos": "event_id"}), at), root, at)
@@ -176,7 +176,7 @@ def hot_dedup_latest(spark, sf_dir):
 
 
 def merged_posts(spark, sf_dir):
-    merged = dedup.merge_sources(testbed.silver(spark, sf_dir), testbed.bronze(spark, sf_dir), CFG)
+    merged = dedup.merge_sources(*testbed.both(spark, sf_dir), CFG)
     return digest(merged, "selftext", "text_combined")
 
 
@@ -207,7 +207,7 @@ def viral_maxima_row(spark, sf_dir):
 
 def viral_scores_all(spark, sf_dir):
     """Scores of the posts of the whole history that meet the strict criteria."""
-    merged = dedup.merge_sources(testbed.silver(spark, sf_dir), testbed.bronze(spark, sf_dir), CFG)
+    merged = dedup.merge_sources(*testbed.both(spark, sf_dir), CFG)
     names = ["id", "score", "num_comments", "num_awards", "ratio"]
     posts_ = stage(selection.viral(merged).select(*names), "viral")
     return viral_scores(posts_, viral_maxima(posts_), CFG)
@@ -274,9 +274,7 @@ def tfidf_terms(spark, sf_dir):
 
 
 def extraction_summary(spark, sf_dir):
-    staged, merged = extraction.stage_recent(
-        testbed.silver(spark, sf_dir), testbed.bronze(spark, sf_dir), AS_OF, CFG
-    )
+    staged, merged = extraction.stage_recent(*testbed.both(spark, sf_dir), AS_OF, CFG)
     stored = stage(extraction.archetypes_of(staged, AS_OF, CFG), "archetypes")
     window = extraction.recent_window(staged, AS_OF, CFG)
     viral = selection.viral_tiered(window, CFG)

@@ -1,5 +1,7 @@
 """Column lists and Spark schemas of the tables the pipeline reads and writes."""
 
+from collections.abc import Iterable
+
 from pyspark.sql.types import StructType
 
 
@@ -93,6 +95,11 @@ EMBEDDING_COLUMNS = (
 )
 
 
+def quoted(columns: Iterable[str]) -> list[str]:
+    """Column names for `selectExpr`, which builds a wide projection in one call."""
+    return [f"`{name}`" for name in columns]
+
+
 def mismatches(actual: StructType, wanted: StructType) -> list[str]:
     """Columns of `wanted` that `actual` lacks or holds with another type."""
     types = {f.name: f.dataType for f in actual.fields}

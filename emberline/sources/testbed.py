@@ -60,10 +60,15 @@ def documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_document(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
-    """Join on the document number. The file may be one split: spread its texts before work is done on them."""
+    """Join on the document number.
+
+    The file may be one split, and each text comes out ten times: spread the texts over all shuffle partitions
+    first. The number is explicit, because adaptive execution would merge partitions by their size before the join.
+    """
     documents = documents_table(spark, sf_dir)
     number = documents.select(F.count("*")).scalar()
-    return rows.withColumn("doc_id", F.col("event_id") % number).join(documents.repartition("doc_id"), "doc_id")
+    spread = documents.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+    return rows.withColumn("doc_id", F.col("event_id") % number).join(spread, "doc_id")
 
 
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,18 +76,17 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_document(spark, sf_dir, events_table(spark, sf_dir)).selectExpr(*SUBMISSION)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queue events before any bound on the texts."""
-    return event_from_submission(submissions(spark, sf_dir), F.col("ts"))
+def events(posts: DataFrame) -> DataFrame:
+    """Queue events of submissions before any bound on the texts."""
+    return event_from_submission(posts, F.col("ts"))
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_columns(normalise_event(events(spark, sf_dir), SETTINGS), SETTINGS)
+def silver_of(posts: DataFrame) -> DataFrame:
+    return silver_columns(normalise_event(events(posts), SETTINGS), SETTINGS)
 
 
-def hot_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hot_copies(posts: DataFrame) -> DataFrame:
     """Every post as fetched an hour after its event, half of them again six hours later, scores moved."""
-    posts = submissions(spark, sf_dir)
     return posts.selectExpr("*", "explode(sequence(0, event_id % 2)) as copy").withColumns(
         {
             "fetched_at": F.expr("ts + make_dt_interval(0, cast(1 + 6 * copy as int))"),
@@ -91,12 +95,25 @@ def hot_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fetched = normalise_listing(hot_copies(spark, sf_dir), F.col("fetched_at"))
+def bronze_of(posts: DataFrame) -> DataFrame:
+    fetched = normalise_listing(hot_copies(posts), F.col("fetched_at"))
     helpers = ("event_id", "ts", "media", "stickied", "copy", "fetched_at")
     return add_bronze_derived(fetched, F.col("fetched_at")).drop(*helpers)
 
 
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_of(submissions(spark, sf_dir))
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze_of(submissions(spark, sf_dir))
+
+
+def both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    posts = submissions(spark, sf_dir)
+    return silver_of(posts), bronze_of(posts)
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing rows by requested source: each post under its own subreddit, one of score 100 also under `all`.
 
