@@ -3,9 +3,11 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from emberline.llm import mixing
 from emberline.llm import quality as rules
-from emberline.llm import tokencounts
+from emberline.llm import secrets, tokencounts
 from emberline.session import scratch_path
 
 
@@ -13,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.size("draws")).alias("taken")
+    return plan.select("doc_id", "size", "source_size", "target", taken)
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.quality(table(spark, sf_dir, "documents"))
     return found.select(
@@ -36,6 +48,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op4_source_mix,
+        op7_secret_scan,
         op8_quality_rules,
         op10_token_counts,
     )
