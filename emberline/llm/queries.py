@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import mixing
+from emberline.llm import htmltext, langid, mixing
 from emberline.llm import quality as rules
 from emberline.llm import secrets, tokencounts
 from emberline.session import scratch_path
@@ -15,12 +15,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _third(docs: DataFrame) -> DataFrame:
+    """`docs` with held_out: documents that the language model may not learn from."""
+    return docs.withColumn("held_out", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1)
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    return langid.train(_third(docs).filter(~F.col("held_out")))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(_third(docs).drop("lang"), language_model(docs))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.size("draws")).alias("taken")
     return plan.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -48,7 +67,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op4_source_mix,
+        op5_main_text,
         op7_secret_scan,
         op8_quality_rules,
         op10_token_counts,

@@ -4,13 +4,15 @@ Both word rules are byte rules: bytes of a multi-byte UTF-8 character are word b
 hashed on the UTF-8 buffer for a whole chunk of texts at once.
 """
 
+import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 # Bytes of text handled at once; a longer text is a chunk of its own.
@@ -138,6 +140,18 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.
         at = to
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package from where the driver has it.
+
+    It matters where the package is on the driver's path alone; installed on all nodes, it is found anyway.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), root])
+
+
 def add_columns(
     df: DataFrame, column: str, fields: list[StructField], compute: Callable[[pa.Array], list[list]]
 ) -> DataFrame:
@@ -145,6 +159,7 @@ def add_columns(
 
     A column of `df` that has the name of a new one is replaced.
     """
+    reach_package(df.sparkSession)
     names = {f.name for f in fields}
     kept = [f for f in df.schema.fields if f.name not in names]
     schema = StructType([*kept, *fields])

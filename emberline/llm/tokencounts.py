@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from emberline.llm.texts import chunks
+from emberline.llm.texts import chunks, reach_package
 
 CACHE = "digest binary, tokenizer string, n_tokens long"
 SPECIAL = "<|endoftext|>"
@@ -112,6 +112,7 @@ def read_cache(spark, cache: str) -> DataFrame | None:
 def fill_cache(docs: DataFrame, cache: str, json_path: str, ranks_path: str | None = None, pattern: str | None = None) -> None:
     """Encode each distinct text that the cache lacks for this tokenizer, and append it."""
     spark, mark = docs.sparkSession, version(json_path)
+    reach_package(spark)
     texts = docs.select(digest().alias("digest"), "text")
     stored = read_cache(spark, cache)
     misses = texts.mapInArrow(_first_in_task, "digest binary, text string")
