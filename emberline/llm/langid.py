@@ -34,7 +34,7 @@ class Training:
     l2: float = 1e-4
     seed: int = 7
     # A text is ambiguous if the best codeword's probability is below this.
-    least_score: float = 0.5
+    least_score: float = 0.4
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import htmltext, langid, mixing
+from emberline.llm import htmltext, langid, mixing, personal
 from emberline.llm import quality as rules
 from emberline.llm import secrets, tokencounts
 from emberline.session import scratch_path
@@ -40,6 +40,10 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_report(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_language_id,
         op4_source_mix,
         op5_main_text,
+        op6_personal_data,
         op7_secret_scan,
         op8_quality_rules,
         op10_token_counts,

@@ -115,7 +115,10 @@ def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.ui
 
 def words(texts: pa.Array, rule: np.ndarray = BLANK_WORDS, fold: bool = False) -> Words:
     """Words of the texts; null has none. `fold` lower-cases A-Z first."""
-    closed = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), "", " ")
+    large = pa.large_string()
+    empty, blank = pa.scalar("", large), pa.scalar(" ", large)
+    # A blank after each text keeps the last word of one from running into the first of the next.
+    closed = pc.binary_join_element_wise(pc.fill_null(texts.cast(large), empty), empty, blank)
     offsets = np.frombuffer(closed.buffers()[1], np.int64, len(closed) + 1, closed.offset * 8)
     data = np.frombuffer(closed.buffers()[2], np.uint8, offsets[-1]) if len(closed) else np.zeros(0, np.uint8)
     data, offsets = data[offsets[0] :], offsets - offsets[0]
