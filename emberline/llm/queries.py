@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import htmltext, langid, mixing, personal
+from emberline.llm import htmltext, langid, leaks, mixing, personal
 from emberline.llm import quality as rules
 from emberline.llm import secrets, tokencounts
 from emberline.session import scratch_path
@@ -30,6 +30,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.size("draws")).alias("taken")
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_decontamination,
         op4_source_mix,
         op5_main_text,
         op6_personal_data,

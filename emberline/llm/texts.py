@@ -51,7 +51,9 @@ def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     if known is None or len(known[0]) < n:
         size = max(n, 1 << 16)
         inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        known = tuple(np.cumprod(np.concatenate(([1], np.full(size - 1, b, np.uint64))).astype(np.uint64)) for b in (base, inverse))
+        steps = (np.concatenate((np.ones(1, np.uint64), np.full(size - 1, b, np.uint64))) for b in (base, inverse))
+        with np.errstate(over="ignore"):
+            known = tuple(np.cumprod(s, dtype=np.uint64) for s in steps)
         if size <= 2 * CHUNK_BYTES:
             _POWERS[int(base)] = known
     return known[0][:n], known[1][:n]
@@ -155,10 +157,33 @@ def reach_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), root])
 
 
+class Known:
+    """A sorted set of hashes for lookups in bulk: a table of flags by low bits first, then a binary search."""
+
+    def __init__(self, keys: np.ndarray, bits: int = 22):
+        self.keys = np.unique(keys.astype(np.uint64))
+        self.low = np.uint64((1 << bits) - 1)
+        self.flags = np.zeros(1 << bits, bool)
+        self.flags[(self.keys & self.low).astype(np.int64)] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in `hashes` that hold a known one, and the number of each in `keys`."""
+        at = np.flatnonzero(self.flags[(hashes & self.low).astype(np.int64)])
+        if not len(at) or not len(self.keys):
+            return at[:0], at[:0]
+        nth = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
+        real = self.keys[nth] == hashes[at]
+        return at[real], nth[real]
+
+
 def add_columns(
-    df: DataFrame, column: str, fields: list[StructField], compute: Callable[[pa.Array], list[list]]
+    df: DataFrame,
+    column: str,
+    fields: list[StructField],
+    compute: Callable[..., list[list]],
+    also: tuple[str, ...] = (),
 ) -> DataFrame:
-    """`df` with new columns that `compute` makes from chunks of a text column; no shuffle.
+    """`df` with new columns that `compute` makes from chunks of a text column and of the columns `also`; no shuffle.
 
     A column of `df` that has the name of a new one is replaced.
     """
@@ -167,7 +192,7 @@ def add_columns(
     kept = [f for f in df.schema.fields if f.name not in names]
     schema = StructType([*kept, *fields])
     positions = [i for i, f in enumerate(df.schema.fields) if f.name not in names]
-    source = df.columns.index(column)
+    source, others = df.columns.index(column), [df.columns.index(c) for c in also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
@@ -176,7 +201,8 @@ def add_columns(
         for batch in batches:
             for at, texts in chunks(batch.column(source)):
                 part = batch.slice(at, len(texts))
-                made = [pa.array(v, t) for v, t in zip(compute(texts), types, strict=True)]
+                made = compute(texts, *[part.column(i) for i in others])
+                made = [pa.array(v, t) for v, t in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in positions] + made, names=[f.name for f in schema.fields]
                 )
