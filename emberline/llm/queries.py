@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import htmltext, langid, leaks, mixing, personal
+from emberline.llm import htmltext, langid, leaks, mixing, personal, repeats
 from emberline.llm import quality as rules
 from emberline.llm import secrets, tokencounts
 from emberline.session import scratch_path
@@ -34,6 +34,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_report(table(spark, sf_dir, "documents"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.size("draws")).alias("taken")
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_language_id,
         op2_decontamination,
+        op3_substring_dedup,
         op4_source_mix,
         op5_main_text,
         op6_personal_data,
