@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import htmltext, langid, leaks, mixing, personal, repeats
+from emberline.llm import htmltext, langid, leaks, mixing, neardup, personal, repeats
 from emberline.llm import quality as rules
 from emberline.llm import secrets, tokencounts
 from emberline.session import scratch_path
@@ -63,6 +63,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run fills a cache of its own: nothing of an earlier run is used."""
     import public_tokenizers as files
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_personal_data,
         op7_secret_scan,
         op8_quality_rules,
+        op9_ngram_jaccard,
         op10_token_counts,
     )
 }
