@@ -329,8 +329,9 @@ def _row_blocks(members: DataFrame) -> DataFrame:
     return plain.unionByName(cut.select("node", name.alias("block")))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of `docs`: doc_id, n_shingles, component_id (the least doc_id reachable by links, itself included).
+def near_groups(docs: DataFrame) -> DataFrame:
+    """Per row of `docs`: doc_id, key (hash of the text), n_shingles, component_id (the least doc_id reachable by
+    links, itself included), and group, which rows of one component share and which is null for an empty set.
 
     Words are runs without white space, A-Z lower-cased. A set holds the distinct 4-word shingles, or the whole text if
     it has fewer words; a text that is null or has no word has an empty set and links with nothing. Rows without a
@@ -376,11 +377,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .repartition(width, "block").sortWithinPartitions("block", "node").mapInArrow(_multiply, "a long, b long")
     )
     linked_nodes = components(multiplied, "near-links")
-    named = linked_nodes.join(nodes.select("node", "rep.doc_id"), "node")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = linked_nodes.join(least, "root").select("node", "component_id")
-    single = nodes.join(found.select("node"), "node", "left_anti").select("node", F.col("rep.doc_id").alias("component_id"))
-    of_node = stage(found.unionByName(single), "near-components")
-    empty = rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    rest = rows.filter("n_shingles > 0").join(of_node, "node").select("doc_id", "n_shingles", "component_id")
-    return rest.unionByName(empty)
+    grouped = stage(
+        nodes.join(linked_nodes, "node", "left").select("node", F.coalesce("root", "node").alias("group"), "rep.doc_id"),
+        "near-groups",
+    )
+    least = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    of_node = stage(grouped.join(least, "group").select("node", "group", "component_id"), "near-components")
+    shown = ["doc_id", "key", "n_shingles", "component_id", "group"]
+    empty = rows.filter("n_shingles = 0").select(
+        "doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group")
+    )
+    return rows.filter("n_shingles > 0").join(of_node, "node").select(*shown).unionByName(empty.select(*shown))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of `near_groups`, a row for each row of `docs`."""
+    return near_groups(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that stay: of each group the one of least doc_id (then of least text hash).
+
+    Rows with an empty set stay. Repeated rows (one doc_id, one text) are one document and stay once.
+    """
+    found = near_groups(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = found.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min(order).alias("rep")).select("rep.doc_id", "rep.key")
+    stay = first.unionByName(found.filter(F.col("group").isNull()).select("doc_id", "key")).distinct()
+    stay = stage(stay.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), "near-stay")
+    none = F.lit(int(np.iinfo(np.int64).min))
+    # One missing id and the least long would meet here; the text hash keeps them apart.
+    rows = docs.withColumns({"_at": F.coalesce(F.col("doc_id").cast("long"), none), "_hash": F.hash("text")})
+    stay = stay.select(F.coalesce("_id", none).alias("_at"), F.col("_key").alias("_hash"))
+    return rows.join(stay, ["_at", "_hash"], "left_semi").dropDuplicates(["_at", "_hash"]).select(*docs.columns)
