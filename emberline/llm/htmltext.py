@@ -47,6 +47,9 @@ CLOSES_P = frozenset(
     "h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
 )
 
+#: Elements open at once; start tags beyond it are read as if they were not there, as browsers do.
+DEPTH = 512
+
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
@@ -58,7 +61,7 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
 class Node:
     tag: str
     parent: "Node | None"
@@ -166,6 +169,8 @@ def parse(html: str) -> tuple[Node, list[str]]:
             pop_to("a", BOUNDARY | CLOSES_P)
         if tag not in INLINE and not cut:
             pieces.append(" ")
+        if len(stack) >= DEPTH:
+            continue
         node = Node(tag, stack[-1], len(pieces), _boilerplate(tag, found["attrs"], articles > 0))
         stack.append(node)
         links += tag == "a"
@@ -221,9 +226,10 @@ def main_text(html: str | None) -> str:
         chosen = [named[-1]]
     else:
         least = min(n.density for n in path)
+        above = set(map(id, path))
         chosen = [best] + [
             n for n in nodes
-            if n.density >= max(least, 1e-9) and n not in path and not _inside(n, best) and n.link_chars * 2 <= n.chars
+            if n.density >= max(least, 1e-9) and id(n) not in above and not _inside(n, best) and n.link_chars * 2 <= n.chars
         ]
     marked = bytearray(len(pieces))
     for node in chosen:
@@ -249,7 +255,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """`pages` with text and n_chars (code points) instead of columns of these names; no shuffle.
 
     Null and empty pages, and pages without any text outside of boilerplate, give the empty text. A page that is cut
-    off anywhere is read as far as it goes. Repeated rows come out alike; an empty table stays empty.
+    off anywhere is read as far as it goes. Elements nested more than 512 deep keep their text but not their own node. Repeated rows come out alike; an empty table stays empty.
     """
     fields = [StructField("text", StringType(), False), StructField("n_chars", LongType(), False)]
 
