@@ -1,0 +1,67 @@
+import re
+from collections import Counter
+
+from emberline.llm import quality
+from emberline.llm.queries import op8_quality_rules
+from tests.llm.conftest import blank_words, texts
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def brute(text):
+    w, text = blank_words(text), text or ""
+    windows, covered = Counter(zip(w, w[1:], w[2:], strict=False)), set()
+    for i in range(len(w) - 2):
+        if windows[tuple(w[i : i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    lines = [x for x in text.split("\n") if blank_words(x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+CASES = [
+    None, "", " \n\t", "a", "a b", "a b c", "a b c a b c", "a a a a a", "x\n\nx\n \nx y\nx y", "é ü z #*$%&|<> é\u000bü z\f#*$%&|<>",
+    "l\r\nl\r\nl", "w1 w2 w3 w4 " * 30, " lead and trail ", "a b c d " * 5 + "z " * 40_000, "🙂 🙂 🙂 🙂",
+]
+
+
+def test_counts(spark):
+    rows = quality.measures(texts(spark, [(i, t, None, None) for i, t in enumerate(CASES)], SCHEMA)).collect()
+    for r in rows:
+        got = (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"])
+        assert got == brute(CASES[r["doc_id"]]), CASES[r["doc_id"]]
+
+
+def test_texts_beyond_the_packed_places(spark):
+    text = "p q r " + " ".join(f"u{i}" for i in range(1 << 20)) + " p q r"
+    row = quality.measures(texts(spark, [(1, text, "x", "y")], SCHEMA)).first()
+    assert (row["n_words"], row["n_repeat_words"]) == ((1 << 20) + 6, 6)
+
+
+def prose(i):
+    return " ".join(f"w{(i * 31 + j * 17) % 997}x{j}" for j in range(60))
+
+
+def test_fences_follow_the_group(spark):
+    noisy = lambda i: " ".join(f"{w}|" for w in prose(i).split())
+    rows = [(i, prose(i), "en", "a") for i in range(250)] + [(1000 + i, noisy(i), "en", "b") for i in range(250)]
+    rows += [(2000, noisy(1).replace("|", "$$"), "en", "a"), (2001, noisy(2), "en", "b"), (2002, "short", "en", "b")]
+    got = {r["doc_id"]: r for r in quality.quality(texts(spark, rows, SCHEMA)).collect()}
+    assert all(got[i]["kept"] for i in range(250)) and all(got[1000 + i]["kept"] for i in range(250))
+    assert not got[2000]["kept"] and not got[2000]["base_failed"] and got[2001]["kept"] and got[2002]["base_failed"]
+
+
+def test_odd_tables(spark):
+    rows = [(i, t, lang, s) for i, (t, lang, s) in enumerate([(None, None, None), ("", "x", None), (prose(1), None, "s"), (prose(1), None, "s")])]
+    docs = texts(spark, [(*r, 1.0) for r in rows], SCHEMA + ", symbol_share double")
+    got = sorted((r["doc_id"], r["base_failed"], r["kept"]) for r in quality.quality(docs).collect())
+    assert got == [(0, True, False), (1, True, False), (2, False, True), (3, False, True)]
+    assert quality.quality(texts(spark, [], SCHEMA)).count() == 0
+
+
+def test_registered_query(spark, documents):
+    rows = {r["doc_id"]: r for r in op8_quality_rules(spark, "/root/testdata/sf0.001").collect()}
+    for r in documents.collect():
+        n, chars, symbols, lines, repeats = brute(r["text"])
+        got = rows[r["doc_id"]]
+        assert tuple(got)[1:6] == (n, chars, symbols, lines, repeats)
+        assert got["base_failed"] == (n < 50 or 100 * repeats > 50 * n) and not (got["base_failed"] and got["kept"])
