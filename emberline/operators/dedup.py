@@ -15,18 +15,27 @@ from emberline.functions.moments import AsOf, hours_before
 from emberline.operators.normalise import fill_hot_text, harmonise_hot, mark_stream
 from emberline.schemas import quoted
 
-LATEST_FETCH = ("fetch_timestamp desc", "score desc", "num_comments desc")
-BEST_SCORE = ("score desc", "processed_ts desc", "data_source asc", "num_comments desc")
+# `rest` stands for a hash of all other columns: rows that agree in the named ones still have one order.
+LATEST_FETCH = ("fetch_timestamp desc", "score desc", "num_comments desc", "rest desc")
+BEST_SCORE = ("score desc", "processed_ts desc", "data_source asc", "num_comments desc", "rest desc")
 
 
-def ordering(keys: Sequence[str]) -> list[Column]:
+def rest_hash(columns: Sequence[str], named: Sequence[str]) -> Column:
+    """Hash of the columns that an order does not name; of a box of columns if there is one."""
+    others = [c for c in columns if c not in named]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)
+
+
+def ordering(keys: Sequence[str], columns: Sequence[str] = ()) -> list[Column]:
     """`"name desc"` / `"name asc"` to sort columns; nulls come last going down and first going up."""
-    return [F.expr(k.split()[0]).desc() if k.endswith(" desc") else F.col(k.split()[0]).asc() for k in keys]
+    named = [k.split()[0] for k in keys]
+    found = [rest_hash(columns, named) if name == "rest" else F.col(name) for name in named]
+    return [c.desc() if k.endswith(" desc") else c.asc() for k, c in zip(keys, found, strict=True)]
 
 
 def first_n(df: DataFrame, n: int, group: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first `n` rows of each group."""
-    place = F.row_number().over(W.partitionBy(*group).orderBy(*ordering(order)))
+    place = F.row_number().over(W.partitionBy(*group).orderBy(*ordering(order, df.columns)))
     return df.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
 
 
@@ -67,7 +76,10 @@ def box_history(df: DataFrame, ts: str, since: Column, keep: Sequence[str]) -> D
     and a shuffled old row holds `keep` and one null.
     """
     rest = _rest(df.columns, keep)
-    recent = df.filter(F.col(ts) >= since).selectExpr(*keep, f"{rest} as _rest")
+    recent = df.filter(F.col(ts) >= since)
+    if "processing_date" in df.columns:  # the day of the time: a bound that drops no row but prunes folders
+        recent = recent.filter(F.col("processing_date") >= F.to_date(since))
+    recent = recent.selectExpr(*keep, f"{rest} as _rest")
     old = df.filter((F.col(ts) < since) | F.col(ts).isNull())
     return recent.unionByName(old.selectExpr(*keep, "null as _rest"))
 

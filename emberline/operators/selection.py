@@ -10,8 +10,15 @@ from emberline.config import Criteria, Settings
 from emberline.functions.moments import AsOf, hours_before
 
 
-def recent(df: DataFrame, as_of: AsOf, hours: int = Settings.lookback_hours) -> DataFrame:
-    return df.filter(F.col("processed_ts") >= hours_before(as_of, hours))
+def recent(df: DataFrame, as_of: AsOf, hours: int = Settings.lookback_hours, by_day: bool = False) -> DataFrame:
+    """Rows of the last `hours`.
+
+    `by_day` is for stream posts, whose `processing_date` is the day of `processed_ts`: a bound on it drops no row, and
+    on a table that is partitioned by it the older folders are not read. A hot post has the day of its batch there.
+    """
+    since = hours_before(as_of, hours)
+    rows = df.filter(F.col("processed_ts") >= since)
+    return rows.filter(F.col("processing_date") >= F.to_date(since)) if by_day else rows
 
 
 def lowest_tier(df: DataFrame, tier: Column) -> DataFrame:

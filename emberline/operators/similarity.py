@@ -91,7 +91,7 @@ def similarity(
 
 def candidates(silver: DataFrame, archetypes: DataFrame, as_of: AsOf, cfg: Settings = Settings()) -> DataFrame:
     """Recent stream posts that are no archetypes."""
-    return exclude_ids(recent(silver, as_of, cfg.lookback_hours), archetypes)
+    return exclude_ids(recent(silver, as_of, cfg.lookback_hours, by_day=True), archetypes)
 
 
 def viral_flag(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:

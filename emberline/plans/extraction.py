@@ -1,6 +1,7 @@
 """Silver and Bronze to the Gold archetypes and their text features."""
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from emberline.config import Settings
 from emberline.functions.moments import AsOf
@@ -10,9 +11,10 @@ from emberline.operators.ranking import stamp, top_archetypes, viral_maxima, vir
 from emberline.operators.selection import recent, recent_or_widen, viral_tiered
 from emberline.operators.textfeatures import embedding_prep, embedding_rows, tfidf_vectors
 from emberline.plans.summaries import extraction_summary
+from emberline.schemas import ARCHETYPE, SILVER
 from emberline.session import stage
 from emberline.sinks.tables import write_gold, write_summary
-from emberline.sources.tables import FORMAT, read_batches, read_table, require_rows
+from emberline.sources.tables import FORMAT, read_batches, read_table, require_rows, skipped_files
 
 
 def stage_recent(
@@ -48,18 +50,24 @@ def run_extraction(
     as_of: AsOf,
     cfg: Settings = Settings(),
     fmt: str = FORMAT,
+    tolerant: bool = False,
 ) -> DataFrame:
-    """Write archetypes, embedding input, embeddings and the run summary; return the summary."""
-    silver = read_table(spark, silver_path, fmt)
-    bronze = require_rows(read_batches(spark, bronze_root), "no hot posts batch can be read")
+    """Write archetypes, embedding input, embeddings and the run summary; return the summary.
+
+    A damaged Bronze file fails the run. A `tolerant` run leaves such files out and counts them in the summary.
+    """
+    silver = read_table(spark, silver_path, SILVER, fmt)
+    bronze = require_rows(read_batches(spark, bronze_root, tolerant=tolerant), "no hot posts batch can be read")
+    skipped = skipped_files(spark, bronze_root).count() if tolerant else 0
     staged, merged = stage_recent(silver, bronze, as_of, cfg)
     found = archetypes_of(staged, as_of, cfg)
     # Checked before the write: an empty run must not replace the last archetypes.
     write_gold(require_rows(stage(found, "archetypes"), "no post meets the viral criteria"), archetypes_path, fmt)
-    archetypes = read_table(spark, archetypes_path, fmt)
+    archetypes = read_table(spark, archetypes_path, ARCHETYPE, fmt)
     write_gold(embedding_prep(archetypes), f"{embeddings_path}_prep")
     write_gold(embedding_rows(tfidf_vectors(archetypes, cfg.tfidf_dims)), embeddings_path, fmt)
     window = recent_window(staged, as_of, cfg)
     summary = extraction_summary(merged.get["rows"], window, viral_tiered(window, cfg), archetypes, as_of, cfg)
+    summary = summary.withColumn("skipped_files", F.lit(skipped).cast("long"))
     write_summary(summary, f"{archetypes_path}/_summary")
     return summary

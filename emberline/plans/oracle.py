@@ -361,7 +361,8 @@ SELECT {_LISTING_FIELDS}, {_t("date_trunc('second', ts)")} AS created_ts, {_t("f
        CASE copy WHEN 0 THEN '2024-01-30_18-00' ELSE '2024-01-31_00-00' END AS batch
 FROM copies""",
         "bronze_batch_list": f"""WITH {_SUBMISSION},{_COPIES}
-SELECT DISTINCT CASE copy WHEN 0 THEN '2024-01-30_18-00' ELSE '2024-01-31_00-00' END AS batch FROM copies""",
+SELECT CASE copy WHEN 0 THEN '2024-01-30_18-00' ELSE '2024-01-31_00-00' END AS batch, count(*) AS posts
+FROM copies GROUP BY 1""",
         "date_range": """SELECT CAST(min(ts)::DATE AS VARCHAR) AS min_date, CAST(max(ts)::DATE AS VARCHAR) AS max_date
 FROM events""",
         "hot_dedup_latest": f"""WITH {_SUBMISSION},{_COPIES},{_HOT}
@@ -462,7 +463,7 @@ FROM predicted""",
 SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY id ORDER BY prediction_timestamp DESC) = 1""",
         "predictions_roundtrip": f"WITH {_TWO_RUNS} SELECT * FROM runs",
         "predictions_rerun": f"""WITH {_PREDICTED}
-SELECT '2024-01-31_00' AS run_id, viral_potential_label, count(*) AS count FROM predicted GROUP BY 2""",
+SELECT id, '2024-01-31_00' AS run_id, viral_potential_label, '2024-01-31' AS prediction_date FROM predicted""",
         "sql_label_counts": f"""WITH {_PREDICTED}
 SELECT viral_potential_label, count(*) AS count FROM predicted GROUP BY 1""",
         "sql_top_similarity": f"""WITH {_PREDICTED}
@@ -475,11 +476,16 @@ SELECT viral_potential_label, count(*) AS count FROM predicted GROUP BY 1""",
         "stream_silver": f"""WITH {_SUBMISSION},{_STREAM_SILVER}
 {_common("(SELECT *, '' AS data_source FROM silver)").replace(", data_source", "")}""",
         "stream_quarantine": f"""WITH {_SUBMISSION},{_MESSAGES}
-SELECT {_t("ts")} AS timestamp FROM deliveries WHERE event_type = 'error'""",
+SELECT {_t("ts")} AS timestamp, id FROM deliveries WHERE event_type = 'error'""",
         "stream_counters": f"""WITH {_SUBMISSION},{_MESSAGES}
 SELECT {_t("date_trunc('minute', ts)")} AS window_start, count(*) AS processed,
        count(*) FILTER (event_type <> 'error') AS sent, count(*) FILTER (event_type = 'error') AS failed,
        {_r("count(*) FILTER (event_type <> 'error') / 60e0")} AS rate_per_second
 FROM deliveries GROUP BY date_trunc('minute', ts)""",
     }
+    sql["landing_to_bronze"] = sql["bronze_roundtrip"]
+    # The chain sees the messages that are whole: errors arrive cut off.
+    whole = "  FROM submission),\nsilver"
+    assert whole in sql["predictions"]
+    sql["pipeline_predictions"] = sql["predictions"].replace(whole, "  FROM submission WHERE event_type <> 'error'),\nsilver")
     return {name: text.strip() for name, text in sql.items()}

@@ -1,14 +1,16 @@
 """Silver against the Gold archetypes to labelled predictions."""
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 from emberline.config import Settings
-from emberline.functions.moments import AsOf, compact_stamp, instant
+from emberline.functions.moments import AsOf
 from emberline.operators.dedup import dedup
 from emberline.operators.reports import total_columns
 from emberline.operators.similarity import candidates, prediction_rows, score_posts
 from emberline.plans.summaries import prediction_summary
-from emberline.schemas import TOTALS
+from emberline.schemas import ARCHETYPE, EMBEDDING, SILVER, TOTALS
 from emberline.sinks.tables import write_predictions, write_summary
 from emberline.sources.tables import FORMAT, read_optional, read_table, require_rows
 
@@ -32,7 +34,7 @@ def run_prediction(
     silver_path: str,
     archetypes_path: str,
     predictions_path: str,
-    as_of: AsOf,
+    as_of: datetime | str,
     cfg: Settings = Settings(),
     fmt: str = FORMAT,
     run_id: str | None = None,
@@ -42,13 +44,14 @@ def run_prediction(
 
     The embeddings are optional and take no part in the score; a missing table is no error.
     """
-    archetypes = require_rows(read_table(spark, archetypes_path, fmt), "no archetypes")
+    archetypes = require_rows(read_table(spark, archetypes_path, ARCHETYPE, fmt), "no archetypes")
     if embeddings_path:
-        read_optional(spark, embeddings_path, fmt)
-    rows = prediction_rows(predict(read_table(spark, silver_path, fmt), archetypes, as_of, cfg), as_of)
-    totals = write_predictions(rows, predictions_path, fmt=fmt, run_id=run_id, metrics=total_columns())
+        read_optional(spark, embeddings_path, EMBEDDING, fmt)
+    silver = read_table(spark, silver_path, SILVER, fmt)
+    rows = prediction_rows(predict(silver, archetypes, as_of, cfg), as_of)
+    totals = write_predictions(rows, predictions_path, as_of, run_id, fmt, total_columns())
     one_row = spark.createDataFrame([tuple(totals[name] for name in TOTALS.names)], TOTALS)
     summary = prediction_summary(one_row, archetypes, as_of, predictions_path, cfg)
-    at = spark.range(1).select(compact_stamp(instant(as_of)).alias("at")).first()["at"]
-    write_summary(summary, f"{predictions_path}/_summary_{at}")
+    at = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(as_of)
+    write_summary(summary, f"{predictions_path}/_summary_{at:%Y%m%d_%H%M}")
     return summary

@@ -15,7 +15,7 @@ from emberline.config import Criteria, Settings
 from emberline.operators import audits, dedup, normalise, reports, selection, similarity, textfeatures
 from emberline.operators.ranking import viral_maxima, viral_scores
 from emberline.plans import extraction, intake, prediction, summaries, views
-from emberline.schemas import LISTING
+from emberline.schemas import LANDING, LISTING, STORED_PREDICTION
 from emberline.session import scratch_path, stage
 from emberline.sinks.tables import register_views, write_bronze, write_predictions
 from emberline.sources import testbed
@@ -71,12 +71,16 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs, one hour apart, against the same archetypes."""
+    first, second = (rows for _, rows in hourly_runs(spark, sf_dir))
+    return first.unionByName(second)
+
+
+def hourly_runs(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
     silver, stored = testbed.silver(spark, sf_dir), archetypes(spark, sf_dir)
-    runs = [
-        similarity.prediction_rows(prediction.predict(silver, stored, at, CFG), at)
+    return [
+        (at, similarity.prediction_rows(prediction.predict(silver, stored, at, CFG), at))
         for at in ("2024-01-30 23:00:00", AS_OF)
     ]
-    return runs[0].unionByName(runs[1])
 
 
 # --- intake -----------------------------------------------------------------------------
@@ -339,17 +343,19 @@ def latest_predictions(spark, sf_dir):
 def predictions_roundtrip(spark, sf_dir):
     """Both runs appended, read back."""
     path = scratch_path(spark, "predictions")
-    write_predictions(hourly_predictions(spark, sf_dir), path)
-    return read_table(spark, path).withColumn("prediction_date", F.col("prediction_date").cast("date"))
+    for at, rows in hourly_runs(spark, sf_dir):
+        write_predictions(rows, path, at)
+    return read_table(spark, path, STORED_PREDICTION).drop("run_id")
 
 
 def predictions_rerun(spark, sf_dir):
-    """One run written twice under its id: the second write replaces the first."""
+    """One run written twice under its id, the first time with other thresholds: only the second's labels stay."""
     path = scratch_path(spark, "predictions")
-    rows = stage(predictions(spark, sf_dir), "run")
-    for _ in range(2):
-        write_predictions(rows, path, run_id="2024-01-31_00")
-    return read_table(spark, path).groupBy("run_id", "viral_potential_label").agg(F.count("*").alias("count"))
+    silver, stored = testbed.silver(spark, sf_dir), archetypes(spark, sf_dir)
+    for cfg in (CFG.but(high=0.5, medium=0.2, viral_cutoff=10**9), CFG):
+        rows = similarity.prediction_rows(prediction.predict(silver, stored, AS_OF, cfg), AS_OF)
+        write_predictions(rows, path, AS_OF, "2024-01-31_00")
+    return read_table(spark, path, STORED_PREDICTION).select("id", "run_id", "viral_potential_label", "prediction_date")
 
 
 # --- SQL on the published view ------------------------------------------------------------------
@@ -358,16 +364,56 @@ def predictions_rerun(spark, sf_dir):
 def _on_view(sql: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf_dir):
         path = scratch_path(spark, "predictions")
-        write_predictions(predictions(spark, sf_dir), path)
+        write_predictions(predictions(spark, sf_dir), path, AS_OF)
         register_views(spark, path)
-        result = spark.sql(sql.format(view="viral_predictions", day="2024-01-31"))
-        if "prediction_date" in result.columns:
-            result = result.withColumn("prediction_date", F.col("prediction_date").cast("date"))
-        return result
+        return spark.sql(sql.format(view="viral_predictions", day="2024-01-31")).drop("run_id")
 
     return run
 
 
+# --- the whole chain --------------------------------------------------------------------------------
+
+
+def landed(spark: SparkSession, sf_dir: str, copy: int) -> DataFrame:
+    """Landing rows of one fetch of all hot posts, every post in the listing of its subreddit."""
+    copies = testbed.hot_copies(testbed.submissions(spark, sf_dir)).filter(F.col("copy") == copy)
+    rows = normalise.normalise_listing(copies, F.col("fetched_at"))
+    places = {"listing": F.col("subreddit"), "source_pos": F.lit(0), "listing_pos": F.col("event_id"), "stickied": F.lit(False)}
+    return rows.withColumns(places).select(*LANDING.names)
+
+
+FETCHES = (datetime(2024, 1, 30, 18), datetime(2024, 1, 31))
+
+
+def landing_to_bronze(spark, sf_dir):
+    """Both fetches landed as JSON lines, one of them with lines that are no row, and fetched into batches."""
+    root = scratch_path(spark, "bronze")
+    for copy, at in enumerate(FETCHES):
+        folder = scratch_path(spark, "landing")
+        landed(spark, sf_dir, copy).write.json(folder)
+        testbed.events_table(spark, sf_dir).filter("event_id < 3").selectExpr("concat('{\"id\": ', event_id)").write.mode("append").text(folder)
+        wide = CFG.but(listing_limit=10**9)
+        intake.run_hot_fetch(folder, testbed.requested_sources(spark, sf_dir), root, at, wide)
+    return digest(read_batches(spark, root), "selftext")
+
+
+def pipeline_predictions(spark, sf_dir):
+    """Messages to the stream table, two hot fetches, extraction, prediction, and the published view."""
+    silver, checkpoint = scratch_path(spark, "silver"), scratch_path(spark, "silver-checkpoint")
+    good, _ = posts.split_malformed(messages(spark, sf_dir))
+    posts.write_silver_stream(posts.silver_stream(good, cfg=CFG), silver, checkpoint).awaitTermination()
+    root, wide = scratch_path(spark, "bronze"), CFG.but(listing_limit=10**9)
+    for copy, at in enumerate(FETCHES):
+        intake.run_hot_fetch(landed(spark, sf_dir, copy), testbed.requested_sources(spark, sf_dir), root, at, wide)
+    gold = scratch_path(spark, "gold")
+    extraction.run_extraction(spark, silver, root, f"{gold}/archetypes", f"{gold}/embeddings", AS_OF, CFG)
+    prediction.run_prediction(
+        spark, silver, f"{gold}/archetypes", f"{gold}/predictions", AS_OF, CFG, embeddings_path=f"{gold}/embeddings"
+    )
+    register_views(spark, f"{gold}/predictions", "pipeline_predictions")
+    return spark.table("pipeline_predictions").drop("run_id")
+
+
 # --- streaming ------------------------------------------------------------------------------------
 
 
@@ -400,7 +446,8 @@ def stream_quarantine(spark, sf_dir):
     path, checkpoint = scratch_path(spark, "quarantine"), scratch_path(spark, "quarantine-checkpoint")
     _, bad = posts.split_malformed(messages(spark, sf_dir))
     posts.write_quarantine(bad, path, checkpoint).awaitTermination()
-    return spark.read.parquet(path).select("timestamp")
+    id_in_text = F.regexp_extract("value", '"id":"([^"]*)"', 1).alias("id")
+    return spark.read.parquet(path).select("timestamp", id_in_text)
 
 
 def stream_counters(spark, sf_dir):
@@ -464,6 +511,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_top_similarity": _on_view(views.TOP_SIMILARITY),
     "sql_high_posts": _on_view(views.HIGH_POSTS),
     "sql_summary_of_day": _on_view(views.SUMMARY_OF_DAY),
+    "landing_to_bronze": landing_to_bronze,
+    "pipeline_predictions": pipeline_predictions,
     "stream_silver": stream_silver,
     "stream_quarantine": stream_quarantine,
     "stream_counters": stream_counters,

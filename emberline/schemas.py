@@ -2,7 +2,8 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql.types import StructType
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql.types import StructField, StructType
 
 
 def _layout(columns: str) -> StructType:
@@ -37,6 +38,11 @@ LISTING = _layout(
     """
 )
 
+# A landed row: the listing it came in, the places of request and row, and whether it was pinned.
+LANDING = StructType(
+    LISTING.fields + _layout("listing string, source_pos integer, listing_pos long, stickied boolean").fields
+)
+
 BRONZE_DERIVED = _layout(
     "created_ts timestamp, fetch_ts timestamp, fetch_date date, fetch_hour integer, has_media boolean"
 )
@@ -79,6 +85,8 @@ PREDICTION = _layout(
     """
 )
 PREDICTION_PARTITIONS = ("prediction_date", "viral_potential_label")
+#: As stored: below the day, each run has a folder of its own.
+STORED_PREDICTION = StructType(PREDICTION.fields + _layout("run_id string").fields)
 
 TOTALS = _layout(
     """
@@ -93,6 +101,9 @@ EMBEDDING_PREP_COLUMNS = (
 EMBEDDING_COLUMNS = (
     "id", "archetype_rank", "title", "subreddit", "viral_score", "tfidf_features", "extraction_date",
 )
+EMBEDDING = StructType(
+    [StructField("tfidf_features", VectorUDT()) if n == "tfidf_features" else ARCHETYPE[n] for n in EMBEDDING_COLUMNS]
+)
 
 
 def quoted(columns: Iterable[str]) -> list[str]:

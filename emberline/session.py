@@ -1,6 +1,7 @@
 """Session settings and the shared scratch folder."""
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,7 +36,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="emberline-")
     spark.sparkContext.setCheckpointDir(folder)

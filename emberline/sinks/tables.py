@@ -1,5 +1,6 @@
 """Writers. Partitioned ones rebalance first: one file or a few per folder, and a hot folder is split by size."""
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 from typing import Any
@@ -7,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.schemas import BRONZE_PARTITIONS, PREDICTION_PARTITIONS
+from emberline.schemas import BRONZE_PARTITIONS, PREDICTION_PARTITIONS, STORED_PREDICTION
 from emberline.sources.tables import FORMAT, read_table
 
 
@@ -55,28 +56,24 @@ def write_gold(df: DataFrame, path: str, fmt: str = FORMAT) -> None:
 def write_predictions(
     df: DataFrame,
     path: str,
-    mode: str = "append",
-    fmt: str = FORMAT,
+    as_of: datetime | str,
     run_id: str | None = None,
+    fmt: str = FORMAT,
     metrics: Sequence[Column] = (),
 ) -> dict[str, Any]:
-    """Append predictions by date and label; return the `metrics` of the written rows.
+    """Write the predictions of the run at `as_of`, split by label; return the `metrics` of the written rows.
 
-    With a `run_id` the write can be repeated: the run has its own folder below the date, and a second
-    attempt replaces that folder alone.
+    A run has a folder of its own below its day, and writing it again replaces all of that folder: labels that no
+    longer occur go, and a repeated run without rows leaves none. Other runs stay. Without a `run_id` the run is named
+    after its time, so every write has the same layout.
     """
-    if run_id is None:
-        return write_partitioned(df, path, PREDICTION_PARTITIONS, mode, fmt, metrics)
-    date, label = PREDICTION_PARTITIONS
-    return write_partitioned(
-        df.withColumn("run_id", F.lit(run_id)),
-        path,
-        (date, "run_id", label),
-        "overwrite",
-        fmt,
-        metrics,
-        partitionOverwriteMode="dynamic",
-    )
+    at = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(as_of)
+    run = run_id or f"{at:%Y%m%d_%H%M%S}"
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+        raise ValueError(f"a run id of letters, digits, '_', '.' and '-' is asked for, not {run!r}")
+    day, label = PREDICTION_PARTITIONS
+    folder = f"{path}/{day}={at:%Y-%m-%d}/run_id={run}"
+    return write_partitioned(df.drop(day), folder, (label,), "overwrite", fmt, metrics)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
@@ -96,11 +93,19 @@ def register_views(
     fmt: str = FORMAT,
 ) -> DataFrame:
     """Name the stored predictions: a temporary view, and an external table if a database is given."""
-    predictions = read_table(spark, path, fmt)
+    predictions = read_table(spark, path, STORED_PREDICTION, fmt)
     predictions.createOrReplaceTempView(view)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{view}` USING {fmt} LOCATION '{path}'")
+        columns = ""
+        if fmt != "delta":
+            declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in STORED_PREDICTION.fields)
+            day, label = PREDICTION_PARTITIONS
+            columns = f"({declared})"
+            parts = f"PARTITIONED BY (`{day}`, run_id, `{label}`)"
+        else:
+            parts = ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{view}` {columns} USING {fmt} {parts} LOCATION '{path}'")
         if fmt != "delta":
             spark.sql(f"MSCK REPAIR TABLE `{database}`.`{view}`")
         spark.sql(f"REFRESH TABLE `{database}`.`{view}`")

@@ -5,33 +5,42 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from emberline.schemas import BRONZE, BRONZE_PARTITIONS, LISTING
+from emberline.schemas import BRONZE, BRONZE_PARTITIONS, LANDING
 
 FORMAT = "parquet"
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
 
 
 class NoRows(RuntimeError):
     """A step that cannot go on without rows found none."""
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = FORMAT, schema: StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = FORMAT) -> DataFrame:
+    """The table in its declared layout: partition columns come back with their types, not as text.
+
+    Formats that keep their own schema refuse a second one; their columns are checked by the steps that use them.
+    """
     reader = spark.read.format(fmt)
-    return (reader.schema(schema) if schema else reader).load(path)
+    return (reader.schema(schema) if fmt in FILE_FORMATS else reader).load(path)
 
 
-def read_optional(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame | None:
+def read_optional(spark: SparkSession, path: str, schema: StructType, fmt: str = FORMAT) -> DataFrame | None:
     """The table, or None if there is none. Other failures are raised."""
     try:
-        return read_table(spark, path, fmt)
+        return read_table(spark, path, schema, fmt)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_MISSING_DELTA_TABLE"):
             return None
         raise
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Listing rows landed as JSON lines."""
-    return spark.read.schema(LISTING).json(path)
+def read_landing(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Listing rows landed as JSON lines, and the lines that are none: not JSON, or without an id (as `value`)."""
+    lines = spark.read.text(path)
+    parsed = F.from_json("value", LANDING)
+    # `inline` parses a line once: a filter on plain struct fields would be pushed down as a second parse.
+    rows = lines.select(F.inline(F.array(parsed))).filter(F.col("id").isNotNull())
+    return rows, lines.filter(F.trim("value") != "").filter(F.from_json("value", LANDING)["id"].isNull())
 
 
 def _from_path(name: str) -> Column:
@@ -46,19 +55,40 @@ def _from_path(name: str) -> Column:
     return F.when(value != "__HIVE_DEFAULT_PARTITION__", value)
 
 
-def read_batches(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """All Bronze batches under `root` in one scan, with the folder name as `batch`.
+def skipped_files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    """Bronze files of which a tolerant read returns no row: `file`, `batch`. Of good files no column is read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(f"{root}/{pattern}" if pattern else root)
+    )
+    batch = F.regexp_extract("path", f"([^/]+)/{BRONZE_PARTITIONS[0]}=", 1).alias("batch")
+    listed = files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), batch)
+    read = _batch_files(spark, root, pattern, tolerant=True)
+    seen = read.select(F.regexp_extract("_metadata.file_path", "([^/]+)$", 1).alias("file")).distinct()
+    return listed.join(seen, "file", "left_anti")
 
-    `pattern` narrows the folders read, e.g. `2024-01-3*`. Folders that start with `_` are skipped, and so
-    are files that cannot be read. Partition values come from the path, with their declared types.
-    """
+
+def _batch_files(spark: SparkSession, root: str, pattern: str | None, tolerant: bool) -> DataFrame:
     stored = StructType([f for f in BRONZE.fields if f.name not in BRONZE_PARTITIONS])
-    files = (
+    return (
         spark.read.schema(stored)
         .option("recursiveFileLookup", "true")
-        .option("ignoreCorruptFiles", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .option("ignoreCorruptFiles", str(tolerant).lower())
         .parquet(f"{root}/{pattern}" if pattern else root)
     )
+
+
+def read_batches(spark: SparkSession, root: str, pattern: str | None = None, tolerant: bool = False) -> DataFrame:
+    """All Bronze batches under `root` in one scan, with the folder name as `batch`.
+
+    `pattern` narrows the folders read, e.g. `2024-01-3*`. Folders that start with `_` are skipped. A file that
+    cannot be read is an error; `tolerant` leaves such files out, and `skipped_files` names them. Partition values
+    come from the path, with their declared types.
+    """
+    files = _batch_files(spark, root, pattern, tolerant)
     batch = F.regexp_extract("_metadata.file_path", f"([^/]+)/{BRONZE_PARTITIONS[0]}=", 1)
     rows = files.withColumns(
         {
@@ -71,8 +101,8 @@ def read_batches(spark: SparkSession, root: str, pattern: str | None = None) ->
 
 
 def list_batches(spark: SparkSession, root: str) -> DataFrame:
-    """Batch folders that hold rows. No column is read."""
-    return read_batches(spark, root).select("batch").distinct().orderBy("batch")
+    """Batch folders that hold rows, with their number. No column is read."""
+    return read_batches(spark, root).groupBy("batch").agg(F.count("*").alias("posts")).orderBy("batch")
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:

@@ -36,7 +36,7 @@ def test_batches_round_trip(spark, tmp_path):
          ("9", "x", "2024-01-31_06-00")], key=str)
     wanted = first.unionByName(second)
     assert values(back, *schemas.BRONZE.names) == values(wanted, *schemas.BRONZE.names)
-    assert values(sources.list_batches(spark, root), "batch") == ["2024-01-31_00-00", "2024-01-31_06-00"]
+    assert values(sources.list_batches(spark, root), "batch", "posts") == [("2024-01-31_00-00", 3), ("2024-01-31_06-00", 1)]
     assert values(sources.read_batches(spark, root, "2024-01-31_06*"), "id") == ["9"]
 
 
@@ -46,20 +46,24 @@ def test_batch_overwrite_replaces_the_batch(spark, tmp_path):
     assert values(sources.read_batches(spark, str(tmp_path)), "id") == ["c"]
 
 
-def test_unreadable_file_is_skipped(spark, tmp_path):
+def test_unreadable_file_is_an_error_or_named(spark, tmp_path):
     sinks.write_bronze(bronze(spark, {}), str(tmp_path), AS_OF)
     broken = tmp_path / "2024-02-01_00-00" / "fetch_date=2024-02-01" / "subreddit=s"
     broken.mkdir(parents=True)
     (broken / "part-0.parquet").write_text("broken")
-    assert values(sources.read_batches(spark, str(tmp_path)), "id") == ["a"]
+    with pytest.raises(Exception, match="CANNOT_READ|Parquet|parquet"):
+        sources.read_batches(spark, str(tmp_path)).collect()
+    assert values(sources.read_batches(spark, str(tmp_path), tolerant=True), "id") == ["a"]
+    assert values(sources.skipped_files(spark, str(tmp_path)), "file", "batch") == [("part-0.parquet", "2024-02-01_00-00")]
 
 
 def test_missing_root_and_optional_table(spark, tmp_path):
     with pytest.raises(AnalysisException):
         sources.read_batches(spark, str(tmp_path / "none"))
-    assert sources.read_optional(spark, str(tmp_path / "none")) is None
-    spark.range(2).write.parquet(str(tmp_path / "some"))
-    assert sources.read_optional(spark, str(tmp_path / "some")).count() == 2
+    numbers = spark.range(2)
+    assert sources.read_optional(spark, str(tmp_path / "none"), numbers.schema) is None
+    numbers.write.parquet(str(tmp_path / "some"))
+    assert sources.read_optional(spark, str(tmp_path / "some"), numbers.schema).count() == 2
 
 
 def test_hot_folder_is_split_and_small_ones_are_not(spark, tmp_path):
@@ -80,10 +84,13 @@ def test_hot_folder_is_split_and_small_ones_are_not(spark, tmp_path):
 
 
 def test_landing_files(spark, tmp_path):
-    listing(spark, dict(id="a"), dict(id="b", author=None)).write.json(str(tmp_path / "in"))
-    back = sources.read_landing(spark, str(tmp_path / "in"))
-    assert schemas.mismatches(back.schema, schemas.LISTING) == []
-    assert values(back, "id", "author") == [("a", "someone"), ("b", None)]
+    rows = listing(spark, dict(id="a"), dict(id="b", author=None)).withColumn("listing", F.lit("s"))
+    rows.write.json(str(tmp_path / "in"))
+    (tmp_path / "in" / "bad.json").write_text('{"id": "c\n\nnot json\n{"title": "no id"}\n')
+    back, bad = sources.read_landing(spark, str(tmp_path / "in"))
+    assert schemas.mismatches(back.schema, schemas.LANDING) == []
+    assert values(back, "id", "author", "listing") == [("a", "someone", "s"), ("b", None, "s")]
+    assert values(bad, "value") == ["not json", '{"id": "c', '{"title": "no id"}']
 
 
 def predictions(spark, *ids, at=AS_OF):
@@ -102,26 +109,32 @@ def predictions(spark, *ids, at=AS_OF):
 
 def test_appended_predictions_repeat_and_latest_is_one_per_id(spark, tmp_path):
     path = str(tmp_path / "p")
-    sinks.write_predictions(predictions(spark, "a", "b"), path)
-    sinks.write_predictions(predictions(spark, "a", "b", at=AS_OF + dt.timedelta(hours=1)), path)
-    assert (Path(path) / "prediction_date=2024-01-31" / "viral_potential_label=HIGH").is_dir()
-    back = sources.read_table(spark, path)
-    assert back.count() == 4
+    for at in (AS_OF, AS_OF + dt.timedelta(hours=1)):
+        sinks.write_predictions(predictions(spark, "a", "b", at=at), path, at)
+    assert (Path(path) / "prediction_date=2024-01-31" / "run_id=20240131_010000" / "viral_potential_label=HIGH").is_dir()
+    back = sources.read_table(spark, path, schemas.STORED_PREDICTION)
+    assert back.count() == 4 and schemas.mismatches(back.schema, schemas.PREDICTION) == []
     latest = values(latest_predictions(back), "id", "prediction_timestamp")
     assert latest == [(i, AS_OF + dt.timedelta(hours=1)) for i in "ab"]
 
 
 def test_run_with_an_id_can_be_repeated(spark, tmp_path):
     path = str(tmp_path / "p")
-    sinks.write_predictions(predictions(spark, "a", "b"), path, run_id="r1")
-    sinks.write_predictions(predictions(spark, "c"), path, run_id="r2")
-    sinks.write_predictions(predictions(spark, "a", "d"), path, run_id="r1")
-    assert values(sources.read_table(spark, path), "id", "run_id") == [("a", "r1"), ("c", "r2"), ("d", "r1")]
+    read = lambda: values(sources.read_table(spark, path, schemas.STORED_PREDICTION), "id", "run_id")
+    sinks.write_predictions(predictions(spark, "a", "b"), path, AS_OF, "r1")
+    sinks.write_predictions(predictions(spark, "c"), path, AS_OF, "r2")
+    sinks.write_predictions(predictions(spark, "b", "d"), path, AS_OF, "r1")
+    assert read() == [("b", "r1"), ("c", "r2"), ("d", "r1")]  # the label of `a` is gone with it
+    sinks.write_predictions(predictions(spark, "a").limit(0), path, AS_OF, "r1")
+    sinks.write_predictions(predictions(spark, "a"), path, str(AS_OF))
+    assert read() == [("a", "20240131_000000"), ("c", "r2")]
+    with pytest.raises(ValueError, match="run id"):
+        sinks.write_predictions(predictions(spark, "a"), path, AS_OF, "a/b")
 
 
 def test_views_and_example_sql(spark, tmp_path):
     path = str(tmp_path / "p")
-    sinks.write_predictions(predictions(spark, "a", "b", "c"), path)
+    sinks.write_predictions(predictions(spark, "a", "b", "c"), path, AS_OF)
     sinks.register_views(spark, path, "some_predictions", database="emberline_test")
     for view in ("some_predictions", "emberline_test.some_predictions"):
         counts = spark.sql(views.LABEL_COUNTS.format(view=view))
@@ -154,4 +167,4 @@ def test_gold_overwrite(spark, tmp_path):
     path = str(tmp_path / "g")
     for n in (3, 2):
         sinks.write_gold(spark.range(n), path)
-    assert sources.read_table(spark, path).count() == 2
+    assert sources.read_table(spark, path, spark.range(1).schema).count() == 2

@@ -12,9 +12,9 @@ from emberline.operators import dedup, normalise, reports, selection
 from emberline.operators.similarity import candidates
 from emberline.plans import extraction, intake, prediction, queries
 from emberline.plans.extraction import run_extraction
-from emberline.schemas import ARCHETYPE, PREDICTION, mismatches
+from emberline.schemas import ARCHETYPE, PREDICTION, SILVER, mismatches
 from emberline.sources import testbed
-from emberline.sources.tables import NoRows, read_batches
+from emberline.sources.tables import NoRows, read_batches, read_table
 from tests.conftest import AS_OF, common, hours_before, listing, silver, values
 
 SMALL = "/root/testdata/sf0.001"
@@ -106,6 +106,52 @@ def test_prediction_without_candidates(spark, lake):
     assert summary["posts_scored"] == 0 and summary["predictions"]["high_potential"] == 0
 
 
+def test_damaged_batch_fails_the_run_unless_it_is_tolerant(spark, lake):
+    broken = lake / "bronze" / "2024-02-01_00-00" / "fetch_date=2024-02-01" / "subreddit=s"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_text("broken")
+    with pytest.raises(Exception, match="CANNOT_READ|Parquet|parquet"):
+        extract(spark, lake)
+    args = (str(lake / n) for n in ("silver", "bronze", "arch", "emb"))
+    assert run_extraction(spark, *args, AS_OF, tolerant=True).first()["skipped_files"] == 1
+
+
+def test_stream_written_silver_passes_extraction_and_prediction(spark, lake):
+    """Partitioned by day, as the stream writes it."""
+    silver_rows = spark.read.parquet(str(lake / "silver")).withColumn("processing_date", F.to_date("processed_ts"))
+    silver_rows.write.partitionBy("processing_date").parquet(str(lake / "by_day"))
+    args = (spark, str(lake / "by_day"))
+    found = run_extraction(*args, str(lake / "bronze"), str(lake / "arch"), str(lake / "emb"), AS_OF, Settings(top_n=5))
+    assert found.first()["archetypes_extracted"] == 5
+    summary = prediction.run_prediction(*args, str(lake / "arch"), str(lake / "pred"), AS_OF).first()
+    assert summary["posts_scored"] > 0
+    stored = read_table(spark, str(lake / "by_day"), SILVER)
+    arch = read_table(spark, str(lake / "arch"), ARCHETYPE)
+    for df in (
+        prediction.predict(stored, arch, AS_OF),
+        dedup.box_history(stored, "processed_ts", F.lit(AS_OF), ["id", "processed_ts"]),
+    ):
+        assert "PartitionFilters: [isnotnull(processing_date" in plan(df)
+
+
+def test_fetch_from_a_landing_folder(spark, tmp_path):
+    rows = listing(spark, dict(id="a"), dict(id="b"), dict(id="pin")).withColumns(
+        {"listing": F.lit("c"), "source_pos": F.lit(0), "listing_pos": F.monotonically_increasing_id(), "stickied": F.col("id") == "pin"}
+    )
+    rows.write.json(str(tmp_path / "in"))
+    (tmp_path / "in" / "bad.json").write_text("{broken\n")
+    sources = spark.createDataFrame([("c",)], "listing string")
+    summary = intake.run_hot_fetch(str(tmp_path / "in"), sources, str(tmp_path / "bronze"), AS_OF).first()
+    assert (summary["total_posts"], summary["malformed_lines"]) == (2, 1)
+    assert values(read_batches(spark, str(tmp_path / "bronze")), "id") == ["a", "b"]
+
+
+def test_equal_keys_have_one_winner_in_any_layout(spark):
+    rows = [dict(id=f"i{n % 20}", title=f"title {n}", url=f"u{n * 7919 % 100}") for n in range(100)]
+    kept = [values(dedup.dedup(common(spark, *rows).repartition(n)), "id", "title") for n in (1, 7)]
+    assert kept[0] == kept[1] and len(kept[0]) == 20
+
+
 # --- plans ---------------------------------------------------------------------------------------
 
 
