@@ -47,7 +47,7 @@ class Block:
                 if len(at):
                     flat = np.ascontiguousarray(self.hashes[at, offset : offset + size]).ravel()
                     n = len(at) * size
-                    whole = Words(np.zeros(0, np.uint8), np.zeros(n), np.zeros(n), np.array([0, n]))
+                    whole = Words(np.zeros(0, np.uint8), np.zeros(n), np.zeros(n), np.array([0, n]), np.zeros(2, int))
                     yield size, offset, at, whole.window_hashes(size, flat)[::size]
 
 

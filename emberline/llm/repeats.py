@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from emberline.llm.texts import add_columns, chunks, reach_package, words
+from emberline.llm.texts import add_columns, chunks, mix, reach_package, words
 
 WINDOW = 50
 #: Windows that a task folds at once, and about as many as a bucket holds: they bound the memory of a task.
-FOLD, BUCKET = 2_000_000, 4_000_000
+FOLD, BUCKET = 1_000_000, 2_000_000
 #: A bucket per so many bytes of text, if a word takes six.
 BUCKET_BYTES = 6 * BUCKET
 LAST = np.iinfo(np.int64).max  # stands for a missing doc_id: no document is later
@@ -137,28 +137,75 @@ def _emitter(k: int, buckets: int):
     return run
 
 
+#: Places of repeated windows: of many documents in a row on the way to them, of one in a row at last.
+DEALT = "deal int, ids binary, keys binary, counts binary, places binary"
 MARKS = "doc_id long, key int, places binary"
 
 
-def _marks(ids, keys, row, place) -> pa.RecordBatch:
-    """Places by document, packed; `row` is in order."""
+def _by_document(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First entry of each document, packed places, and where a document's places begin; `row` is in order."""
     first = np.flatnonzero(np.diff(row, prepend=-1))
     data, sizes = pack(_steps(place, first))
-    offsets = np.concatenate(([0], np.cumsum(sizes)))[np.append(first, len(row))].astype(np.int32)
-    places = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    return pa.RecordBatch.from_arrays([pa.array(ids[row[first]]), pa.array(keys[row[first]], pa.int32()), places], names=["doc_id", "key", "places"])
+    return first, data, np.concatenate(([0], np.cumsum(sizes)))[np.append(first, len(row))]
+
+
+def _dealt(deals: int, ids, keys, row, place) -> pa.RecordBatch:
+    """Places packed for all documents that are dealt to one place; `row` need not be in order."""
+    spread = (mix(ids.view(np.uint64)) % np.uint64(deals)).astype(np.int32)
+    order = np.lexsort((place, row, spread[row]))
+    row, place = row[order], place[order]
+    deal = spread[row]
+    out: list[list] = [[], [], [], [], []]
+    bounds = np.searchsorted(deal, np.arange(deals + 1))
+    for nth in np.flatnonzero(np.diff(bounds)).tolist():
+        cut = slice(bounds[nth], bounds[nth + 1])
+        first, data, _ = _by_document(row[cut], place[cut])
+        docs = row[cut][first]
+        counts = pack(np.diff(np.append(first, len(row[cut]))))[0]
+        made = (nth, ids[docs].tobytes(), keys[docs].tobytes(), counts.tobytes(), data.tobytes())
+        for column, v in zip(out, made, strict=True):
+            column.append(v)
+    kinds = [pa.int32()] + [pa.binary()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names=[f.split()[0] for f in DEALT.split(", ")])
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of places for each document. Rows come sorted by deal: a deal is held until it is complete."""
+
+    def close(held: list) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        ids, keys, place = (np.concatenate([h[n] for h in held]) for n in (0, 1, 2))
+        order = np.lexsort((place, keys, ids))
+        ids, keys, place = ids[order], keys[order], place[order]
+        new = (np.diff(ids, prepend=ids[0] - 1) != 0) | (np.diff(keys.astype(np.int64), prepend=0) != 0)
+        new[0] = True
+        first, data, offsets = _by_document(np.cumsum(new), place)
+        places = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+        yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(keys[first]), places], names=["doc_id", "key", "places"])
+
+    held, now = [], None
+    for batch in batches:
+        for i in range(batch.num_rows):
+            if (nth := batch.column(0)[i].as_py()) != now:
+                yield from close(held)
+                held, now = [], nth
+            ids, keys, row, place = _opened(batch, i, 1)
+            held.append((ids[row], keys[row], place))
+    yield from close(held)
 
 
-def _opened(batch: pa.RecordBatch, i: int):
-    """ids and keys of a packed row's documents, and the document and place of each entry."""
-    raw = [np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in ((2, np.int64), (3, np.int32), (4, np.uint8), (5, np.uint8))]
+def _opened(batch: pa.RecordBatch, i: int, at: int):
+    """ids and keys of a packed row's documents, and the document and place of each entry; columns from `at` on."""
+    kinds = (np.int64, np.int32, np.uint8, np.uint8)
+    raw = [np.frombuffer(batch.column(at + c)[i].as_buffer(), t) for c, t in enumerate(kinds)]
     counts, steps = unpack(raw[2])[0], unpack(raw[3])[0]
     first = np.cumsum(counts) - counts
     return raw[0], raw[1], np.repeat(np.arange(len(counts)), counts), _sums(steps, first)
 
 
-def _find_later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket: a bucket is held until it is complete."""
+def _finder(deals: int):
+    """Places of windows that also start in an earlier document, dealt by document."""
 
     def bucket(held: list) -> Iterator[pa.RecordBatch]:
         if not held:
@@ -166,25 +213,28 @@ def _find_later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = np.cumsum([0] + [len(h[1]) for h in held])
         ids, keys = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
         row = np.concatenate([h[3] + b for h, b in zip(held, base, strict=False)])
-        place = np.concatenate([h[4] for h in held])
         later = np.flatnonzero(_smallest(np.concatenate([h[0] for h in held]), ids[row]))
         if len(later):
-            yield _marks(ids, keys, row[later], place[later])
+            yield _dealt(deals, ids, keys, row[later], np.concatenate([h[4] for h in held])[later])
 
-    held, now = [], None
-    for batch in batches:
-        for i in range(batch.num_rows):
-            nth = batch.column(0)[i].as_py()
-            if nth != now:
-                yield from bucket(held)
-                held, now = [], nth
-            opened = _opened(batch, i)
-            if batch.column(1)[i].is_valid:
-                # A copy: the batch's memory goes back to its owner.
-                held.append((np.frombuffer(batch.column(1)[i].as_buffer(), np.uint64).copy(), opened[0].copy(), opened[1].copy(), *opened[2:]))
-            elif len(opened[2]):
-                yield _marks(*opened)
-    yield from bucket(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None  # rows come sorted by bucket: a bucket is held until it is complete
+        for batch in batches:
+            for i in range(batch.num_rows):
+                nth = batch.column(0)[i].as_py()
+                if nth != now:
+                    yield from bucket(held)
+                    held, now = [], nth
+                ids, keys, row, place = _opened(batch, i, 2)
+                if batch.column(1)[i].is_valid:
+                    # Copies: the batch's memory goes back to its owner.
+                    hashes = np.frombuffer(batch.column(1)[i].as_buffer(), np.uint64).copy()
+                    held.append((hashes, ids.copy(), keys.copy(), row.astype(np.int32), place.astype(np.int32)))
+                elif len(row):
+                    yield _dealt(deals, ids, keys, row, place)
+        yield from bucket(held)
+
+    return run
 
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,29 +250,22 @@ def _cutter(k: int):
         press = zstandard.ZstdDecompressor()
         found = words(pa.array([None if s is None else press.decompress(s) for s in small.to_pylist()], pa.binary()).cast(pa.string()))
         edge = np.zeros(len(found.starts) + 1, np.int64)
-        lists = marks.combine_chunks() if isinstance(marks, pa.ChunkedArray) else marks
-        flat = lists.flatten()  # the packed places of all documents of this chunk
-        if len(flat):
-            owner = np.repeat(np.arange(len(lists)), np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(int))
+        own = np.flatnonzero(marks.is_valid().to_numpy(zero_copy_only=False))
+        if len(own):
+            flat = marks.drop_null()  # the packed places of all documents of this chunk
             offsets = np.frombuffer(flat.buffers()[1], np.int32, len(flat) + 1, flat.offset * 4)
             data = np.frombuffer(flat.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
             steps, at = unpack(data)
             first = np.searchsorted(at, offsets[:-1] - offsets[0])
-            start = _sums(steps, first) + np.repeat(found.bounds[owner], np.diff(np.append(first, len(steps))))
+            start = _sums(steps, first) + np.repeat(found.bounds[own], np.diff(np.append(first, len(steps))))
             np.add.at(edge, start, 1)
             np.add.at(edge, start + k, -1)
         gone = np.cumsum(edge)[:-1] > 0
-        cuts, kept = [], []
-        for lo, hi in zip(found.bounds[:-1].tolist(), found.bounds[1:].tolist(), strict=True):
-            own = gone[lo:hi]
-            if own.any():
-                turn = np.flatnonzero(np.diff(np.concatenate(([0], own.astype(np.int8), [0]))))
-                cuts.append([{"start": a, "end": b} for a, b in turn.reshape(-1, 2).tolist()])
-                kept.append(found.joined(lo, hi, ~own).decode())
-            else:
-                cuts.append([])
-                kept.append(found.joined(lo, hi).decode())
-        return [found.counts.tolist(), cuts, kept]
+        cuts: list[list[dict]] = [[] for _ in range(len(small))]
+        for i in own.tolist():
+            turn = np.flatnonzero(np.diff(np.concatenate(([0], gone[found.bounds[i] : found.bounds[i + 1]].astype(np.int8), [0]))))
+            cuts[i] = [{"start": a, "end": b} for a, b in turn.reshape(-1, 2).tolist()]
+        return [found.counts.tolist(), cuts, found.kept_texts(~gone)]
 
     return compute
 
@@ -242,8 +285,10 @@ def cut_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     buckets = int(max(-(-size // BUCKET_BYTES), spark.sparkContext.defaultParallelism))
     dealt = rows.mapInArrow(_emitter(k, buckets), PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    marks = dealt.mapInArrow(_find_later, MARKS).groupBy("doc_id", "key").agg(F.collect_list("places").alias("marks"))
-    marks = marks.withColumnsRenamed({"doc_id": "_id", "key": "_key"})
+    # A document's places come from all buckets; they travel packed, and meet as one row.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = dealt.mapInArrow(_finder(width), DEALT).repartition(width, "deal").sortWithinPartitions("deal")
+    marks = found.mapInArrow(_gather, MARKS).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("places").alias("marks"))
     small = rows.mapInArrow(_squeeze, "doc_id long, key int, small binary")
     same = (F.coalesce("doc_id", F.lit(int(LAST))) == F.col("_id")) & (F.col("key") == F.col("_key"))
     joined = small.join(marks, same, "left").select("doc_id", "small", "marks")

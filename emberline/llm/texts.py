@@ -61,12 +61,14 @@ def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """Words of a chunk of texts: `data[start:end]` is a word; text i has the words `bounds[i]:bounds[i + 1]`."""
+    """Words of a chunk of texts: `data[start:end]` is a word; text i has the words `bounds[i]:bounds[i + 1]`, and
+    its bytes begin at `offsets[i]`. At least one byte that is no word's follows each word."""
 
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     bounds: np.ndarray
+    offsets: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
@@ -106,6 +108,23 @@ class Words:
         out[out_ends - 1] = 0x20
         return out[:-1].tobytes()
 
+    def kept_texts(self, keep: np.ndarray) -> pa.Array:
+        """The marked words of each text, joined by one blank."""
+        at = np.flatnonzero(keep)
+        starts, stops = self.starts[at], self.ends[at] + 1
+        # The last word of a text goes without the blank that follows the others.
+        text = self.text_of(at)
+        last = np.ones(len(at), bool)
+        last[:-1] = text[1:] != text[:-1]
+        data = self.data.copy()
+        data[stops - 1] = 0x20
+        edge = np.zeros(len(data) + 1, np.int8)
+        edge[starts] += 1
+        edge[stops - last] -= 1
+        inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+        offsets = np.concatenate(([0], np.cumsum(inside)))[self.offsets].astype(np.int64)
+        return pa.Array.from_buffers(pa.large_string(), len(self.bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+
 
 def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64) -> np.ndarray:
     """Polynomial hash of values[start:end], from one running sum."""
@@ -130,7 +149,7 @@ def words(texts: pa.Array, rule: np.ndarray = BLANK_WORDS, fold: bool = False) -
     inside[1:] = rule[data]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[0::2], edges[1::2]
-    return Words(data, starts, ends, np.searchsorted(starts, offsets))
+    return Words(data, starts, ends, np.searchsorted(starts, offsets), offsets)
 
 
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.Array]]:
@@ -180,7 +199,7 @@ def add_columns(
     df: DataFrame,
     column: str,
     fields: list[StructField],
-    compute: Callable[..., list[list]],
+    compute: Callable[..., list],
     also: tuple[str, ...] = (),
 ) -> DataFrame:
     """`df` with new columns that `compute` makes from chunks of a text column and of the columns `also`; no shuffle.
@@ -202,7 +221,7 @@ def add_columns(
             for at, texts in chunks(batch.column(source)):
                 part = batch.slice(at, len(texts))
                 made = compute(texts, *[part.column(i) for i in others])
-                made = [pa.array(v, t) for v, t in zip(made, types, strict=True)]
+                made = [v.cast(t) if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in positions] + made, names=[f.name for f in schema.fields]
                 )

@@ -46,7 +46,10 @@ def test_folding_in_small_pieces(spark, monkeypatch):
     emitted = list(repeats._emitter(4, 3)(iter([_batch(docs)])))
     dealt = sorted((b.column(0)[i].as_py(), n, i) for n, b in enumerate(emitted) for i in range(b.num_rows))
     ordered = [emitted[n].slice(i, 1) for _, n, i in dealt]
-    marks = [(r["doc_id"], r["key"], p) for m in repeats._find_later(iter(ordered)) for r in m.to_pylist() for p in _places(r["places"])]
+    found = list(repeats._finder(5)(iter(ordered)))
+    dealt = sorted((b.column(0)[i].as_py(), n, i) for n, b in enumerate(found) for i in range(b.num_rows))
+    gathered = repeats._gather(iter([found[n].slice(i, 1) for _, n, i in dealt]))
+    marks = [(r["doc_id"], r["key"], p) for m in gathered for r in m.to_pylist() for p in _places(r["places"])]
     late = {}
     for d, t in docs:
         w = t.split()
