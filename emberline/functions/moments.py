@@ -52,16 +52,3 @@ def age_bucket(hours: Column) -> Column:
     return (
         F.when(hours < 6, "0-6h").when(hours < 12, "6-12h").when(hours < 24, "12-24h").otherwise(">24h")
     )
-
-
-def batch_stamp(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd_HH-mm")
-
-
-def compact_stamp(ts: Column) -> Column:
-    return F.date_format(ts, "yyyyMMdd_HHmm")
-
-
-def batch_name(path: Column) -> Column:
-    """Last segment of a folder path."""
-    return F.element_at(F.split(F.rtrim(path, F.lit("/")), "/"), -1)

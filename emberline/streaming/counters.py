@@ -35,7 +35,8 @@ def write_counters(counters: DataFrame, path: str, checkpoint: str, once: bool =
     """Write the windows that changed in each micro-batch to its own folder; a repeated batch replaces it."""
 
     def save(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        # The windows of one batch are few, however many messages they count.
+        changed.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
     writer = counters.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(save)
     return (writer.trigger(availableNow=True) if once else writer).start()

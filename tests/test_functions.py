@@ -76,13 +76,6 @@ def test_iso_and_epoch(spark):
     assert fraction == "00.250"
 
 
-def test_stamps_and_batch_name(spark):
-    ts = moments.instant("2024-01-31 04:05:06")
-    assert one(spark, moments.batch_stamp(ts)) == "2024-01-31_04-05"
-    assert one(spark, moments.compact_stamp(ts)) == "20240131_0405"
-    assert one(spark, moments.batch_name(F.lit("/x/2024-01-31_04-05//"))) == "2024-01-31_04-05"
-
-
 def test_engagement_and_ratio(spark):
     df = common(
         spark,
