@@ -10,12 +10,14 @@ Rows of equal sets are one row from the start. Links leave a task as stars of th
 """
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField
 
@@ -28,7 +30,7 @@ SHINGLE = 4
 #: 100 * overlap >= 85 * union.
 PART, WHOLE = 85, 100
 #: Signatures that a task folds at once and that a bucket holds, and n-grams (1,000 a row at least) of a row block.
-FOLD, BUCKET, BLOCK = 1_000_000, 4_000_000, 1_000_000
+FOLD, BUCKET, BLOCK = 1_000_000, 1_500_000, 1_000_000
 #: A bucket per so many bytes of text, at six bytes an n-gram and a signature for every third.
 BUCKET_BYTES = 18 * BUCKET
 #: Columns with more rows than this in a row block are multiplied densely.
@@ -293,11 +295,50 @@ def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from close(nodes, small)
 
 
-def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        small = [press.compress(t.encode()) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(small, pa.binary())], names=["_id", "_key", "small"])
+@dataclass(frozen=True)
+class Sieve:
+    """Bits set at the hashes of some keys: what misses its bit is none of them. At most 16 MB."""
+
+    bits: np.ndarray
+    size: int
+
+    @staticmethod
+    def place(size: int, *columns: str) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(size)).alias("_bit")
+
+    @classmethod
+    def of(cls, keys: DataFrame, *columns: str) -> "Sieve":
+        size = 1 << 15
+        wanted = min(1 << 27, 16 * keys.count())
+        while size < wanted:
+            size *= 2
+        at = keys.select(cls.place(size, *columns))
+        # Bucket 1 holds the numbers 1 to 32,768, and so on.
+        number = F.col("_bit") + 1
+        words = at.groupBy(F.bitmap_bucket_number(number).alias("nth")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
+        )
+        bits = np.zeros(size // 8, np.uint8)
+        for row in words.collect():  # at most 4,096 rows of 4 KB
+            lo, part = (row["nth"] - 1) * 4096, np.frombuffer(bytes(row["bits"]), np.uint8)
+            bits[lo : lo + len(part)] = part
+        return cls(bits, size)
+
+    def holds(self, at: np.ndarray) -> np.ndarray:
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _squeezer(sieve: Broadcast):
+    """Texts that the sieve lets through, as small as they get before they cross the shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            part = batch.filter(pa.array(sieve.value.holds(batch.column(3).to_numpy())))
+            small = [press.compress(t.encode()) for t in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(small, pa.binary())], names=["_id", "_key", "small"])
+
+    return run
 
 
 def _row_blocks(members: DataFrame) -> DataFrame:
@@ -364,13 +405,15 @@ def near_groups(docs: DataFrame) -> DataFrame:
     dealt = docs.select("text").mapInArrow(_emitter(buckets), PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     clusters = components(dealt.mapInArrow(_meet, "a long, b long"), "near-clusters")
     members = stage(clusters.join(nodes, "node").select("node", "root", "n", "level", "rep"), "near-members")
-    # Texts of one row for each set in a cluster, small, then dealt to their row blocks.
-    small = keyed.filter(F.col("text").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "text")
-    small = small.mapInArrow(_squeeze, "_id long, _key int, small binary")
-    reps = members.select("node", F.col("rep.doc_id").alias("_rep"), F.col("rep.key").alias("_rep_key"))
+    # Texts of one row for each set in a cluster, small, then dealt to their row blocks. Most texts lie in no cluster;
+    # the sieve keeps those from crossing the join's shuffle.
     none = F.lit(int(np.iinfo(np.int64).min))
-    same = (F.coalesce("_id", none) == F.coalesce("_rep", none)) & (F.col("_key") == F.col("_rep_key"))
-    texts = stage(small.join(reps, same).select("node", "small"), "near-texts")
+    reps = members.select("node", F.coalesce("rep.doc_id", none).alias("_id"), F.col("rep.key").alias("_key"))
+    sieve = spark.sparkContext.broadcast(found := Sieve.of(reps, "_id", "_key"))
+    small = keyed.filter(F.col("text").isNotNull()).select(F.coalesce("doc_id", none).alias("_id"), F.col("key").alias("_key"), "text")
+    small = small.withColumn("_bit", Sieve.place(found.size, "_id", "_key"))
+    small = small.mapInArrow(_squeezer(sieve), "_id long, _key int, small binary")
+    texts = stage(small.join(reps, ["_id", "_key"]).select("node", "small"), "near-texts")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     multiplied = (
         texts.join(_row_blocks(members), "node").select("block", "node", "small")
