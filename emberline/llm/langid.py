@@ -171,15 +171,20 @@ def predict(model: Model, texts: list[str | None]) -> list[list]:
 
 
 def sample(labelled: DataFrame, settings: Training = Training()) -> tuple[list[str], list[str]]:
-    """At most `per_language` texts with their labels: those of least hash, so the same ones on every run.
+    """At most `per_language` distinct texts with their labels: those of least hash, so the same ones on every run.
 
-    The rank limit is applied before the shuffle: a task passes on no more rows of a language than are taken.
+    Hashes alone are ranked: copies fold before the shuffle, and a task passes on no more hashes of a language than
+    are taken. The chosen texts are then fetched by their hashes.
     """
-    place = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64(F.lit(settings.seed), "text"), "text"))
     rows = labelled.select("lang", "text").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    rows = rows.withColumn("_place", place).filter(F.col("_place") <= settings.per_language).select("lang", "text")
-    rows = sorted((r["lang"], r["text"]) for r in rows.collect())
-    return [t for _, t in rows], [v for v, _ in rows]
+    rows = rows.withColumn("_hash", F.xxhash64(F.lit(settings.seed), "text"))
+    place = F.row_number().over(W.partitionBy("lang").orderBy("_hash"))
+    chosen = rows.select("lang", "_hash").distinct().withColumn("_place", place)
+    chosen = chosen.filter(F.col("_place") <= settings.per_language).select("lang", "_hash")
+    # At most `per_language` rows a language: a bound that is set, so they may be sent to all tasks.
+    texts = rows.join(F.broadcast(chosen), ["lang", "_hash"]).groupBy("lang", "_hash").agg(F.min("text").alias("text"))
+    found = sorted((r["lang"], r["text"]) for r in texts.select("lang", "text").collect())
+    return [t for _, t in found], [v for v, _ in found]
 
 
 def train(labelled: DataFrame, settings: Training = Training()) -> Model:
