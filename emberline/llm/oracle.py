@@ -1,3 +1,78 @@
-"""SQL of the registered queries of this subpackage, where SQL can state their whole result."""
+"""SQL of the registered queries of this subpackage, where SQL can state their whole result, written for DuckDB.
 
-ORACLE: dict[str, str] = {}
+The other queries return what a trained model, a sketch or a tokenizer decides, or places that SQL cannot find.
+"""
+
+_BLANK = r"'[^\x20\x09-\x0D]+'"
+_PLAIN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_DECONTAMINATION = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_FOLDED}, {_PLAIN}) AS words FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_FOLDED}, {_PLAIN}) AS words FROM benchmark),
+item_windows AS MATERIALIZED (
+  SELECT DISTINCT item, n, array_to_string(words[i:i + n - 1], ' ') AS win
+  FROM (SELECT item, words, least(10, len(words)) AS n,
+               unnest(range(1, greatest(1, len(words) - 9) + 1)) AS i
+        FROM b WHERE len(words) > 0)),
+doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(words[i:i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM item_windows) WHERE len(words) >= n)),
+found AS MATERIALIZED (SELECT doc_id, i, n, item FROM doc_windows JOIN item_windows USING (n, win)),
+hit AS (SELECT doc_id, count(*) AS n_hit
+        FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS place FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_REPEATS = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_BLANK}) AS words FROM documents),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM d WHERE len(words) >= 50)),
+earliest AS (SELECT win, min(doc_id) AS first_doc FROM windows GROUP BY win),
+gone AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM windows JOIN earliest USING (win)
+  WHERE doc_id > first_doc),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text
+         FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+_NEAR = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_FOLDED}, {_BLANK}) AS words FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS sh
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(1, len(words) - 3) + 1)) AS i FROM d WHERE len(words) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+held AS (SELECT sh, count(*) AS docs FROM s GROUP BY sh),
+-- Linked sets share one of their rarest shingles: more of them than may be missing are looked at.
+ranked AS (SELECT doc_id, sh, n, row_number() OVER (PARTITION BY doc_id ORDER BY docs, sh) AS r
+           FROM s JOIN held USING (sh) JOIN sizes USING (doc_id)),
+rare AS MATERIALIZED (SELECT doc_id, sh, n FROM ranked WHERE r <= n - (85 * n + 99) // 100 + 1),
+pairs AS MATERIALIZED (
+  SELECT DISTINCT a.doc_id AS x, b.doc_id AS y, a.n + b.n AS total
+  FROM rare a JOIN rare b ON a.sh = b.sh AND a.doc_id < b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)),
+links AS MATERIALIZED (
+  SELECT x, y FROM pairs JOIN s sx ON sx.doc_id = x JOIN s sy ON sy.doc_id = y AND sy.sh = sx.sh
+  GROUP BY x, y, total HAVING 185 * count(*) >= 85 * total),
+arcs AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT doc_id, y FROM reach JOIN arcs ON x = other)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_decontamination": _DECONTAMINATION.strip(),
+    "op3_substring_dedup": _REPEATS.strip(),
+    "op9_ngram_jaccard": _NEAR.strip(),
+}

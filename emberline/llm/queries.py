@@ -16,8 +16,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _third(docs: DataFrame) -> DataFrame:
-    """`docs` with held_out: documents that the language model may not learn from."""
-    return docs.withColumn("held_out", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1)
+    """`docs` with held_out: documents that the language model may not learn from. One without an id is not held out."""
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    return docs.withColumn("held_out", F.coalesce(held, F.lit(False)))
 
 
 def language_model(docs: DataFrame) -> langid.Model:
