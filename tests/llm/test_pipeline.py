@@ -51,6 +51,14 @@ def test_stages_against_brute_force(spark, documents):
     assert abs(taken - sum(target.values())) < 0.1 * sum(target.values())
 
 
+def test_clashing_columns_come_through(spark, documents):
+    more = documents.selectExpr("*", "'kept' as score", "doc_id as items", "1.5 as n_words", "'z' as key")
+    for name, f in pipeline.STAGES[:4]:
+        out = f(spark, more, SF)
+        assert out.columns == more.columns
+        assert {(r["score"], r["key"], r["items"] == r["doc_id"]) for r in out.collect()} == {("kept", "z", True)}, name
+
+
 def test_run(spark):
     rows = pipeline.run(spark, SF)
     assert rows.count() > 0 and {"doc_id", "text", "copy", "shard"} <= set(rows.columns)
