@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from emberline.session import stage
 
+#: Places that the edges of one node are dealt to when they are joined.
+SPREAD = 8
+
 
 def array_components(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nodes of the edges, and the least node that each reaches."""
@@ -31,7 +34,10 @@ def _starred(edges: DataFrame, up: bool) -> DataFrame:
     else:
         arcs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = arcs.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    hung = arcs.join(least, "a")
+    # A hub may hold a large part of all edges: its edges are dealt to SPREAD places, and so is its one row.
+    salted = arcs.withColumn("s", F.pmod(F.xxhash64("b"), F.lit(SPREAD)).cast("int"))
+    copies = least.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    hung = salted.join(copies, ["a", "s"])
     if up:
         return hung.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     own = least.select("a", F.col("m").alias("b"))
