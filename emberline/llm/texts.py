@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 # Bytes of text handled at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _BYTES = np.arange(256, dtype=np.uint8)
 #: Words are runs of everything but blank, tab, line feed, vertical tab, form feed and carriage return.
