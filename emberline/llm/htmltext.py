@@ -1,6 +1,7 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree of elements. Elements that are boilerplate by tag, role or name are cut first. Every other node
+A page becomes a tree of elements. Elements that are boilerplate by tag or role, or by name unless they hold the text
+itself, are cut first. Every other node
 gets its characters per tag, adjusted by the share of link text and link tags; a parent's score is the sum of its
 children's densities. The subtree with the largest sum is the content; the least density on the path from it to the
 body is the threshold at which other subtrees outside of it count as content too.
@@ -32,6 +33,9 @@ CUT_NAMES = frozenset(
     "replies share sharing social related recommended newsletter subscribe signup login popup modal overlay "
     "breadcrumb breadcrumbs widget toolbar pagination pager search disclaimer copyright skip".split()
 )
+#: Words that make a header the one of the text, and words after which a name says what an element has or lacks.
+OWN_NAMES = frozenset("article content entry main post story".split())
+STATES = frozenset("has have with without no hide show".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 #: Open elements that a start tag ends, as the end tag may be left out.
 ENDS = {
@@ -57,7 +61,9 @@ _MARKUP = re.compile(
     r"|<[!?][^>]*+(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(
+    r"""([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+("[^"]*+"|'[^']*+'|[^ \t\n\f\r>]*+))?"""
+)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -73,27 +79,51 @@ class Node:
     tags: int = 0
     link_tags: int = 0
     density: float = 0.0
+    #: 1 if a name speaks for boilerplate, 2 if the name is nothing else.
+    doubt: int = 0
+    #: Characters of the longest article or main element in it, itself included.
+    article: int = 0
     children: list["Node"] = field(default_factory=list)
 
 
-def _boilerplate(tag: str, attrs: str, inside_article: bool) -> bool:
-    if tag in CUT or (tag == "header" and not inside_article):
-        return True
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+def _attributes(attrs: str) -> dict[str, str]:
+    """Values by lower-case name; of repeated names the first counts."""
+    out: dict[str, str] = {}
     for name, value in _ATTRIBUTE.findall(attrs):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        if name == "role" and value.lower() in CUT_ROLES:
-            return True
-        if name in ("class", "id") and any(w.lower() in CUT_NAMES for w in _NAME.findall(value)):
+        value = value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1 else value
+        out.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return out
+
+
+def _named(token: str, inside_article: bool) -> bool:
+    """Whether a class or an id speaks for boilerplate."""
+    words = [w.lower() for w in _NAME.findall(token)]
+    for i, word in enumerate(words):
+        if word not in CUT_NAMES or not STATES.isdisjoint(words[:i]):
+            continue
+        if word != "header" or not (inside_article or OWN_NAMES.intersection(words)):
             return True
     return False
 
 
+def _boilerplate(tag: str, attrs: str, inside_article: bool) -> tuple[bool, int]:
+    """Whether the element is boilerplate by tag, role or as hidden, and whether its names speak for it (`doubt`)."""
+    if tag in CUT or (tag == "header" and not inside_article):
+        return True, 0
+    if not attrs or tag in ("html", "body", "article", "main"):
+        return False, 0
+    has = _attributes(attrs)
+    if "hidden" in has or has.get("aria-hidden", "").strip().lower() == "true" or has.get("role", "").strip().lower() in CUT_ROLES:
+        return True, 0
+    found = [t for name in ("class", "id") for t in has.get(name, "").split() if _named(t, inside_article)]
+    return False, (2 if any(t.lower() in CUT_NAMES for t in found) else 1) if found else 0
+
+
 def parse(html: str) -> tuple[Node, list[str]]:
-    """The tree, and the pieces of text in page order; a node's text is pieces[first:last], cut parts left out."""
+    """The tree, and the pieces of text in page order; a node's text is pieces[first:last], cut parts left out.
+
+    Elements whose names alone speak for boilerplate are still part of it.
+    """
     root = Node("#root", None, 0)
     pieces: list[str] = []
     stack = [root]
@@ -125,6 +155,9 @@ def parse(html: str) -> tuple[Node, list[str]]:
             up.tags += node.tags + 1
             up.link_tags += node.link_tags + (node.tag == "a")
             up.children.append(node)
+            if node.tag in ("article", "main"):
+                node.article = max(node.article, node.chars)
+            up.article = max(up.article, node.article)
 
     def pop_to(tag: str, bounds: frozenset[str] | set[str]) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -171,7 +204,8 @@ def parse(html: str) -> tuple[Node, list[str]]:
             pieces.append(" ")
         if len(stack) >= DEPTH:
             continue
-        node = Node(tag, stack[-1], len(pieces), _boilerplate(tag, found["attrs"], articles > 0))
+        sure, doubt = _boilerplate(tag, found["attrs"], articles > 0)
+        node = Node(tag, stack[-1], len(pieces), sure, doubt=doubt)
         stack.append(node)
         links += tag == "a"
         cut += node.cut
@@ -184,6 +218,56 @@ def parse(html: str) -> tuple[Node, list[str]]:
     return root, pieces
 
 
+def _cut_named(root: Node, pieces: list[str]) -> None:
+    """Cut the elements that are boilerplate by name, unless they hold the text itself.
+
+    Such an element stays if the longest article of the page is in it, or if it holds most of the page's text; one
+    whose name is nothing but a word for boilerplate is cut even then where an article has text outside of it. If
+    names would leave the page without text, none is cut.
+    """
+    cut: list[Node] = []
+    # Each node with the longest article beside the path to it, and the characters of the outermost article around it.
+    todo = [(root, 0, 0)]
+    while todo:
+        node, beside, around = todo.pop()
+        if node.doubt:
+            rest = max(beside, around - node.chars)
+            holds = 0 < node.article >= rest
+            most = 2 * node.chars > root.chars and not (node.doubt == 2 and rest > 0)
+            if not holds and not most:
+                cut.append(node)
+                continue
+        if not around and node.tag in ("article", "main"):
+            around = node.chars
+        first = second = 0
+        for child in node.children:
+            first, second = max(first, child.article), max(second, min(first, child.article))
+        for child in node.children:
+            # The longest of the others: of equal ones, the other one is as long.
+            todo.append((child, max(beside, second if child.article == first else first), around))
+    if not cut or sum(n.chars for n in cut) >= root.chars:
+        return
+    gone = set(map(id, cut))
+    order = list(_walk(root))
+    for node in cut:
+        pieces[node.first : node.last] = [""] * (node.last - node.first)
+    # Counts are taken anew from the innermost elements outwards: what is cut is taken from all elements around it.
+    less: dict[int, list[int]] = {}
+    for node in reversed(order):
+        if id(node) in gone:
+            lost = [node.chars, node.link_chars, node.tags + 1, node.link_tags + (node.tag == "a")]
+        elif (lost := less.get(id(node))) is not None:
+            node.chars -= lost[0]
+            node.link_chars -= lost[1]
+            node.tags -= lost[2]
+            node.link_tags -= lost[3]
+            node.children = [c for c in node.children if id(c) not in gone]
+        if lost is not None and node.parent is not None:
+            known = less.setdefault(id(node.parent), [0, 0, 0, 0])
+            for i in range(4):
+                known[i] += lost[i]
+
+
 def _weigh(body: Node) -> list[Node]:
     """Set the composite density of every node below `body`, and list them."""
     nodes, todo = [], [body]
@@ -211,6 +295,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root, pieces = parse(html)
+    _cut_named(root, pieces)
     body = next((n for n in _walk(root) if n.tag == "body"), root)
     nodes = _weigh(body)
     best = max(nodes, key=lambda n: (sum(c.density for c in n.children), n.density))
@@ -254,7 +339,8 @@ def _walk(root: Node):
 def extract(pages: DataFrame) -> DataFrame:
     """`pages` with text and n_chars (code points) instead of columns of these names; no shuffle.
 
-    Null and empty pages, and pages without any text outside of boilerplate, give the empty text. A page that is cut
+    Null and empty pages, and pages without any text outside of boilerplate, give the empty text; names of elements
+    alone never make a page empty. A page that is cut
     off anywhere is read as far as it goes. Elements nested more than 512 deep keep their text but not their own node. Repeated rows come out alike; an empty table stays empty.
     """
     fields = [StructField("text", StringType(), False), StructField("n_chars", LongType(), False)]

@@ -32,6 +32,34 @@ def test_pages(page, wanted):
     assert htmltext.main_text(page) == wanted
 
 
+LONG = "Long words of the main part of it, and more of them."
+
+
+@pytest.mark.parametrize(
+    "tag", ['style="overflow:hidden"', 'title="a hidden path"', "data-hidden='false'", "title='id=sidebar class=ad'", "data-id=menu", 'x="role=menu"'],
+)
+def test_attributes_are_read_with_their_quoting(tag):
+    assert htmltext.main_text(f"<body><div {tag}><p>{LONG}</p></div><p>End.</p></body>") == f"{LONG} End."
+    assert htmltext.main_text(f"<body><div {tag} HIDDEN><p>{LONG}</p></div><p>End.</p></body>") == "End."
+
+
+def test_names_do_not_cut_what_holds_the_text():
+    for name in ("content has-sidebar", "post-header", "widget", "sidebar", "main-with-menu"):
+        assert htmltext.main_text(f"<div class='{name}'><article><h1>T</h1><p>{LONG}</p></article></div><p>x</p>") == f"T {LONG}"
+        assert htmltext.main_text(f"<div class='{name}'><h1>T</h1><p>{LONG}</p></div><p class=ad>x</p>") == f"T {LONG}"
+    assert htmltext.main_text(f"<article><div class=post-header><h1>T</h1></div><p>{LONG}</p></article>") == f"T {LONG}"
+    assert htmltext.main_text(f"<div><div class=post-header><h1>T</h1></div><p>{LONG}</p></div>") == f"T {LONG}"
+    assert htmltext.main_text(f"<p class=text-widget>{LONG}</p><p class=text-widget>{LONG}</p>") == f"{LONG} {LONG}"
+
+
+def test_names_still_cut_what_stands_beside_the_text():
+    thread = f"<div id=comments>{'<article>c</article>' * 90}</div>"
+    assert htmltext.main_text(f"<main><article>{LONG}</article>{thread}</main>") == LONG
+    assert htmltext.main_text(f"<article><p>{LONG}</p><div class=ad>{LONG * 3}</div></article>") == LONG
+    assert htmltext.main_text(f"<div class=ad>{LONG * 3}</div><article>{LONG}</article>") == LONG
+    assert htmltext.main_text(f"<div class=wrap><p>{LONG}</p><div class='site-footer'><a class=share>f</a> g</div>h</div>") == f"{LONG} h"
+
+
 def test_hostile_pages_take_linear_time():
     assert htmltext.main_text("<a " * 200_000) == ""
     assert htmltext.main_text("<p a='" * 100_000) == ""
