@@ -20,11 +20,17 @@ from emberline.llm.texts import add_columns
 
 # --- Fixed values: element classes of HTML, and names by which boilerplate is known -----
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg iframe object textarea title math canvas audio video xmp".split())
+#: Their content is no markup: it goes on to the end tag, or else to the end of the page.
+RAW = frozenset("script style iframe textarea title xmp".split())
+#: Content that is not shown, cut if the element is ended by its own end tag. Without one, what follows is the page's.
+ENDED = frozenset("noscript template svg object canvas audio video".split())
+#: Here and in the elements inside of them, "/>" ends an element.
+FOREIGN = frozenset(("svg", "math"))
 CUT = frozenset("head nav footer aside form menu dialog button select option label fieldset datalist".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr img input".split()
+    "strong sub sup time tt u var wbr img input math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded "
+    "mphantom msub msup msubsup munder mover munderover mmultiscripts semantics annotation".split()
 )
 BOUNDARY = frozenset("html body table td th caption".split())
 CUT_NAMES = frozenset(
@@ -127,7 +133,9 @@ def parse(html: str) -> tuple[Node, list[str]]:
     root = Node("#root", None, 0)
     pieces: list[str] = []
     stack = [root]
-    links = cut = articles = 0
+    links = cut = articles = foreign = 0
+    endless: set[str] = set()
+    lifted = False
 
     def text(raw: str) -> None:
         if cut:
@@ -139,31 +147,41 @@ def parse(html: str) -> tuple[Node, list[str]]:
         if links:
             stack[-1].link_chars += n
 
-    def pop() -> None:
-        nonlocal links, cut, articles
+    def pop(ended: bool = False) -> None:
+        nonlocal links, cut, articles, foreign, lifted
         node = stack.pop()
+        unseen = ended and node.tag in ENDED
+        if unseen:
+            del pieces[node.first :]
         node.last = len(pieces)
         links -= node.tag == "a"
         cut -= node.cut
         articles -= node.tag in ("article", "main")
+        foreign -= node.tag in FOREIGN
         if node.tag not in INLINE and not cut:
             pieces.append(" ")
         up = stack[-1]
-        if not node.cut:
+        if not node.cut and not unseen:
             up.chars += node.chars
             up.link_chars += node.link_chars
-            up.tags += node.tags + 1
             up.link_tags += node.link_tags + (node.tag == "a")
-            up.children.append(node)
+            if node.tag in ENDED:  # without an end: what was read into it is its parent's
+                up.tags += node.tags
+                up.children.extend(node.children)
+                lifted = True
+            else:
+                up.tags += node.tags + 1
+                up.children.append(node)
             if node.tag in ("article", "main"):
                 node.article = max(node.article, node.chars)
             up.article = max(up.article, node.article)
 
-    def pop_to(tag: str, bounds: frozenset[str] | set[str]) -> None:
+    def pop_to(tag: str, bounds: frozenset[str] | set[str], ended: bool = False) -> None:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag == tag:
-                while len(stack) > i:
+                while len(stack) > i + 1:
                     pop()
+                pop(ended)
                 return
             if stack[i].tag in bounds:
                 return
@@ -183,12 +201,21 @@ def parse(html: str) -> tuple[Node, list[str]]:
             if tag == "br":
                 text(" ")
             elif tag not in VOID:
-                pop_to(tag, BOUNDARY if tag not in BOUNDARY else frozenset())
+                pop_to(tag, BOUNDARY if tag not in BOUNDARY else frozenset(), True)
             continue
         if tag in RAW:
             done = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
             at = done.end() if done else len(html)
             continue
+        if (foreign or tag in FOREIGN) and found["attrs"].endswith("/"):
+            continue
+        if tag in ENDED and len(stack) >= DEPTH and tag not in endless:
+            done = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
+            if done:
+                at = done.end()
+            else:
+                endless.add(tag)
+            continue
         if tag in VOID:
             if tag not in INLINE:
                 text(" ")
@@ -204,17 +231,22 @@ def parse(html: str) -> tuple[Node, list[str]]:
             pieces.append(" ")
         if len(stack) >= DEPTH:
             continue
-        sure, doubt = _boilerplate(tag, found["attrs"], articles > 0)
+        sure, doubt = (False, 0) if tag in ENDED else _boilerplate(tag, found["attrs"], articles > 0)
         node = Node(tag, stack[-1], len(pieces), sure, doubt=doubt)
         stack.append(node)
         links += tag == "a"
         cut += node.cut
         articles += tag in ("article", "main")
+        foreign += tag in FOREIGN
     if at < len(html):
         text(html[at:])
     while len(stack) > 1:
         pop()
     root.last = len(pieces)
+    if lifted:
+        for node in _walk(root):
+            for child in node.children:
+                child.parent = node
     return root, pieces
 
 
@@ -340,7 +372,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """`pages` with text and n_chars (code points) instead of columns of these names; no shuffle.
 
     Null and empty pages, and pages without any text outside of boilerplate, give the empty text; names of elements
-    alone never make a page empty. A page that is cut
+    alone never make a page empty. Content of video, svg and their like is cut up to their end tag; without one they hide nothing. A page that is cut
     off anywhere is read as far as it goes. Elements nested more than 512 deep keep their text but not their own node. Repeated rows come out alike; an empty table stays empty.
     """
     fields = [StructField("text", StringType(), False), StructField("n_chars", LongType(), False)]

@@ -60,6 +60,20 @@ def test_names_still_cut_what_stands_beside_the_text():
     assert htmltext.main_text(f"<div class=wrap><p>{LONG}</p><div class='site-footer'><a class=share>f</a> g</div>h</div>") == f"{LONG} h"
 
 
+def test_elements_without_an_end_hide_nothing():
+    for tag in ("<svg class='icon'/>", "<svg/>", "<math/>", "<video src=x>", "<audio>", "<object>", "<canvas>", "<noscript>", "<svg><path d='M0'/>"):
+        assert htmltext.main_text(f"<article><h1>T</h1>{tag}<p>{LONG}</p></article>") == f"T {LONG}", tag
+        assert htmltext.main_text(f"<p>T</p>{tag}<p>{LONG}</p>") == f"T {LONG}", tag
+        assert htmltext.main_text(f"<div><div>T {tag}</div><p>{LONG}</p></div>") == f"T {LONG}", tag
+    for tag in ("video", "audio", "object", "canvas", "noscript", "template", "svg"):
+        inner = f"<p>x<b>y</p><{tag}>z</{tag}>" + "<i/>w" * (tag == "svg")
+        assert htmltext.main_text(f"<article>a<{tag} class=k>{inner}</{tag}>b<p>{LONG}</p></article>") in (f"a b {LONG}", f"ab {LONG}"), tag
+        assert htmltext.main_text("<div>" * 600 + f"a<{tag}>x</{tag}>b") == "ab", tag
+    assert htmltext.main_text("<p>As <math><mi>x</mi><mo>=</mo><mn>2</mn></math> shows") == "As x=2 shows"
+    assert htmltext.main_text("<p>a</p><script>b<p>c</p>") == "a"
+    assert len(htmltext.main_text("<video>w" * 100_000).replace(" ", "")) == 100_000
+
+
 def test_hostile_pages_take_linear_time():
     assert htmltext.main_text("<a " * 200_000) == ""
     assert htmltext.main_text("<p a='" * 100_000) == ""
