@@ -1,6 +1,6 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix.
 
-Two sets link if they share 85 % of their union. The sizes then bound the n-grams in which they differ, K. The columns
+Two sets link if they share a set part of their union. The sizes then bound the n-grams in which they differ, K. The columns
 of the matrix are cut into more than K blocks by hash, so linked rows agree in whole column blocks: a row's content in
 a block is one hash, and rows that agree nowhere are discarded before any product. Rows that do agree form clusters,
 which are cut into row blocks of a set size. For each pair of row blocks the product is taken over the shared columns,
@@ -26,9 +26,18 @@ from emberline.llm.repeats import pack, unpack
 from emberline.llm.texts import Words, add_columns, chunks, mix, reach_package, words
 from emberline.session import stage
 
-SHINGLE = 4
-#: 100 * overlap >= 85 * union.
-PART, WHOLE = 85, 100
+
+@dataclass(frozen=True)
+class Rule:
+    """Sets hold shingles of so many words, and link if whole * overlap >= part * union."""
+
+    shingle: int = 4
+    part: int = 85
+    whole: int = 100
+
+
+#: The rule of op 9.
+RULE = Rule()
 #: Signatures that a task folds at once and that a bucket holds, and n-grams (1,000 a row at least) of a row block.
 FOLD, BUCKET, BLOCK = 1_000_000, 1_500_000, 1_000_000
 #: A bucket per so many bytes of text, at six bytes an n-gram and a signature for every third.
@@ -37,42 +46,42 @@ BUCKET_BYTES = 18 * BUCKET
 DENSE = 32
 
 
-def linked(overlap: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def linked(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """The size-derived bound: the union is a + b - overlap."""
-    return (PART + WHOLE) * overlap >= PART * (a + b)
+    return (rule.part + rule.whole) * overlap >= rule.part * (a + b)
 
 
-@lru_cache(maxsize=1)
-def levels(most: int = 1 << 40) -> np.ndarray:
+@lru_cache(maxsize=8)
+def levels(rule: Rule = RULE, most: int = 1 << 40) -> np.ndarray:
     """First sizes of levels such that linked sets lie in one level or in two that touch."""
     out = [1]
     while out[-1] < most:
-        out.append(out[-1] * WHOLE // PART + 1)
+        out.append(out[-1] * rule.whole // rule.part + 1)
     return np.array(out, np.int64)
 
 
-def blocks_of(level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def blocks_of(level: np.ndarray, rule: Rule = RULE) -> tuple[np.ndarray, np.ndarray]:
     """K, the most n-grams in which linked sets differ whose smaller one is of this level, and the column blocks.
 
     One block more than K must be equal in both. As equal blocks may be empty in both, `spare` blocks come on top: a
     set with no more empty blocks than that has an equal block that is not empty.
     """
-    small = levels()[level + 1] - 1
-    differ = (small + small * WHOLE // PART) * (WHOLE - PART) // (WHOLE + PART)
+    small = levels(rule)[level + 1] - 1
+    differ = (small + small * rule.whole // rule.part) * (rule.whole - rule.part) // (rule.whole + rule.part)
     spare = 1 + differ // 20
     return differ, differ + 1 + spare
 
 
-def shingle_sets(found: Words) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(found: Words, width: int = RULE.shingle) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of all texts of a chunk, text by text in order of hash, and the bounds of each text."""
     hashes, n = found.hashes(), found.counts
-    inside = found.inside(SHINGLE)
-    grams = found.window_hashes(SHINGLE, hashes)[inside] if len(inside) else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(n)), np.maximum(n - SHINGLE + 1, 0))
+    inside = found.inside(width)
+    grams = found.window_hashes(width, hashes)[inside] if len(inside) else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(n)), np.maximum(n - width + 1, 0))
     # A shorter text is one n-gram as a whole.
-    short = np.flatnonzero((n > 0) & (n < SHINGLE))
+    short = np.flatnonzero((n > 0) & (n < width))
     whole = np.zeros(len(short), np.uint64)
-    for size in range(1, SHINGLE):
+    for size in range(1, width):
         at = np.flatnonzero(n[short] == size)
         if len(at):
             whole[at] = mix(found.window_hashes(size, hashes)[found.bounds[short[at]]] + np.uint64(size))
@@ -92,18 +101,18 @@ def set_names(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(total[bounds[1:]] - total[bounds[:-1]] + mix(size + np.uint64(7))).view(np.int64)
 
 
-def signatures(grams: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(grams: np.ndarray, bounds: np.ndarray, rule: Rule = RULE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the column blocks of each set, for its own level and the one below, and the set of each."""
     size = np.diff(bounds)
     rows = np.flatnonzero(size)
-    own = np.searchsorted(levels(), size[rows], side="right") - 1
+    own = np.searchsorted(levels(rule), size[rows], side="right") - 1
     out, sets = [], []
     spread = mix(grams ^ np.uint64(0x5BD1E995))
     value = mix(grams + np.uint64(3))
     for step in (0, 1):
         use = own >= step
         at, group = rows[use], own[use] - step
-        differ, blocks = blocks_of(group)
+        differ, blocks = blocks_of(group, rule)
         first = np.concatenate(([0], np.cumsum(blocks)))
         count = size[at]
         gram = np.repeat(bounds[at] - (np.cumsum(count) - count), count) + np.arange(count.sum())
@@ -149,7 +158,7 @@ _KINDS = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int6
 _NAMES = [f.split()[0] for f in PACKED.split(", ")]
 
 
-def _emitter(buckets: int):
+def _emitter(buckets: int, rule: Rule):
     """Packed signatures by bucket, and edges between sets of one task that share a signature."""
 
     def fold(keys: list, nodes: list) -> Iterator[pa.RecordBatch]:
@@ -181,8 +190,8 @@ def _emitter(buckets: int):
         keys, nodes, held = [], [], 0
         for batch in batches:
             for _, texts in chunks(batch.column(0)):
-                grams, bounds = shingle_sets(words(texts, fold=True))
-                key, owner = signatures(grams, bounds)
+                grams, bounds = shingle_sets(words(texts, fold=True), rule.shingle)
+                key, owner = signatures(grams, bounds, rule)
                 keys.append(key)
                 nodes.append(set_names(grams, bounds)[owner])
                 held += len(key)
@@ -225,7 +234,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from close(held)
 
 
-def block_links(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def block_links(grams: list[np.ndarray], rule: Rule = RULE) -> tuple[np.ndarray, np.ndarray]:
     """All linked pairs among the sets of a block, by the product of their incidence matrix with itself.
 
     Columns of one set add nothing. Sparse columns add one to each pair of their sets; dense ones are multiplied as
@@ -261,38 +270,41 @@ def block_links(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     # Owners are in order within a column, so sparse pairs lie above the diagonal; dense ones lie on both sides.
     upper = np.triu(np.ones((n, n), bool), 1)
     x, y = np.nonzero(upper & (overlap > 0))
-    keep = linked(overlap[x, y].astype(np.int64), size[x], size[y])
+    keep = linked(overlap[x, y].astype(np.int64), size[x], size[y], rule)
     return x[keep], y[keep]
 
 
-def _multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _multiplier(rule: Rule):
     """Links within each pair of row blocks, as stars. Rows (block, node, small) come sorted by block."""
-    press = zstandard.ZstdDecompressor()
 
     def close(nodes: list[int], small: list[bytes]) -> Iterator[pa.RecordBatch]:
         if len(nodes) < 2:
             return
+        press = zstandard.ZstdDecompressor()
         grams, names = [], []
         for _, texts in chunks(pa.array([press.decompress(s) for s in small], pa.binary()).cast(pa.string())):
-            made, bounds = shingle_sets(words(texts, fold=True))
+            made, bounds = shingle_sets(words(texts, fold=True), rule.shingle)
             grams += [made[lo:hi] for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         names = np.array(nodes, np.int64)
-        x, y = block_links(grams)
+        x, y = block_links(grams, rule)
         if len(x):
             a, b = _stars(names[x], names[y])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    nodes, small, now, last = [], [], None, None
-    for batch in batches:
-        for block, node, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-            if block != now:
-                yield from close(nodes, small)
-                nodes, small, now, last = [], [], block, None
-            if node != last:  # repeated rows of one text
-                nodes.append(node)
-                small.append(text)
-            last = node
-    yield from close(nodes, small)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, small, now, last = [], [], None, None
+        for batch in batches:
+            for block, node, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                if block != now:
+                    yield from close(nodes, small)
+                    nodes, small, now, last = [], [], block, None
+                if node != last:  # repeated rows of one text
+                    nodes.append(node)
+                    small.append(text)
+                last = node
+        yield from close(nodes, small)
+
+    return run
 
 
 @dataclass(frozen=True)
@@ -370,11 +382,11 @@ def _row_blocks(members: DataFrame) -> DataFrame:
     return plain.unionByName(cut.select("node", name.alias("block")))
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
+def near_groups(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """Per row of `docs`: doc_id, key (hash of the text), n_shingles, component_id (the least doc_id reachable by
     links, itself included), and group, which rows of one component share and which is null for an empty set.
 
-    Words are runs without white space, A-Z lower-cased. A set holds the distinct 4-word shingles, or the whole text if
+    Words are runs without white space, A-Z lower-cased. A set holds the distinct shingles of `rule`, or the whole text if
     it has fewer words; a text that is null or has no word has an empty set and links with nothing. Rows without a
     doc_id have a null component_id unless they link with a row that has one.
     Repeated rows are linked with each other. An empty table gives an empty result; other columns are not looked at.
@@ -385,9 +397,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def measure(texts: pa.Array) -> list[list]:
-        grams, bounds = shingle_sets(words(texts, fold=True))
+        grams, bounds = shingle_sets(words(texts, fold=True), rule.shingle)
         size = np.diff(bounds)
-        return [size.tolist(), set_names(grams, bounds).tolist(), (np.searchsorted(levels(), size, side="right") - 1).tolist()]
+        return [size.tolist(), set_names(grams, bounds).tolist(), (np.searchsorted(levels(rule), size, side="right") - 1).tolist()]
 
     keyed = docs.withColumn("key", F.hash("text"))
     fields = [StructField("n_shingles", LongType()), StructField("node", LongType()), StructField("level", IntegerType())]
@@ -402,7 +414,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
     size = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     buckets = int(max(-(-size // BUCKET_BYTES), spark.sparkContext.defaultParallelism))
-    dealt = docs.select("text").mapInArrow(_emitter(buckets), PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = docs.select("text").mapInArrow(_emitter(buckets, rule), PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     clusters = components(dealt.mapInArrow(_meet, "a long, b long"), "near-clusters")
     members = stage(clusters.join(nodes, "node").select("node", "root", "n", "level", "rep"), "near-members")
     # Texts of one row for each set in a cluster, small, then dealt to their row blocks. Most texts lie in no cluster;
@@ -417,7 +429,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     multiplied = (
         texts.join(_row_blocks(members), "node").select("block", "node", "small")
-        .repartition(width, "block").sortWithinPartitions("block", "node").mapInArrow(_multiply, "a long, b long")
+        .repartition(width, "block").sortWithinPartitions("block", "node").mapInArrow(_multiplier(rule), "a long, b long")
     )
     linked_nodes = components(multiplied, "near-links")
     grouped = stage(
@@ -438,12 +450,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return near_groups(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     """The rows of `docs` that stay: of each group the one of least doc_id (then of least text hash).
 
     Rows with an empty set stay. Repeated rows (one doc_id, one text) are one document and stay once.
     """
-    found = near_groups(docs)
+    found = near_groups(docs, rule)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     first = found.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min(order).alias("rep")).select("rep.doc_id", "rep.key")
     stay = first.unionByName(found.filter(F.col("group").isNull()).select("doc_id", "key")).distinct()

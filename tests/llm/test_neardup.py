@@ -83,6 +83,22 @@ def test_linked_sets_share_a_signature():
             assert set(key[owner == 0].tolist()) & set(key[owner == 1].tolist()), (size, change, len(other))
 
 
+def test_rules_of_other_widths_and_parts(spark):
+    rule = neardup.Rule(shingle=5, part=80)
+    docs = copies(8) + ODD
+    sets = []
+    for _, text in docs:
+        w = blank_words(text, fold=True)
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1 if w else 0, len(w) - 4))})
+    links = [(i, j) for i in range(len(docs)) for j in range(i) if sets[i] & sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    least = {i: i for i in range(len(docs))}
+    nodes, roots = array_components(*(np.array(x) for x in zip(*links, strict=True)))
+    least.update(zip(nodes.tolist(), roots.tolist(), strict=True))
+    wanted = sorted({(docs[least[i]][0], docs[least[i]][1]) for i in range(len(docs))}, key=str)
+    assert rows_of(neardup.one_of_each(texts(spark, docs).repartition(3), rule)) == wanted
+    assert rows_of(neardup.one_of_each(texts(spark, docs))) != wanted
+
+
 def test_dense_and_sparse_columns_agree(monkeypatch):
     rng = np.random.default_rng(2)
     grams = [np.unique(rng.integers(0, 60, 50)).astype(np.uint64) for _ in range(80)]

@@ -51,6 +51,15 @@ def test_stages_against_brute_force(spark, documents):
     assert abs(taken - sum(target.values())) < 0.1 * sum(target.values())
 
 
+def test_near_duplicates_of_five_words_and_four_fifths(spark, documents):
+    base = [f"w{i}" for i in range(50)]
+    near = [*base[:25], "x", *base[26:]]  # 41 of 51 five-word shingles are shared, and 43 of 51 four-word ones
+    far = [*near[:10], "y", *near[11:40], "z", *near[41:]]
+    rows = [(i, " ".join(w)) for i, w in enumerate((base, near, far), 1)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], documents.schema)
+    assert [r["doc_id"] for r in step("ngram_jaccard", spark, docs).orderBy("doc_id").collect()] == [1, 3]
+
+
 def test_clashing_columns_come_through(spark, documents):
     more = documents.selectExpr("*", "'kept' as score", "doc_id as items", "1.5 as n_words", "'z' as key")
     for name, f in pipeline.STAGES[:4]:
