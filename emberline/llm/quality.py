@@ -22,7 +22,8 @@ MEASURES = ("symbol_share", "dup_line_share", "repeat_share", "word_length")
 class Fences:
     """A fence lies `reach` interquartile ranges beyond the quartile, `room` at least (by measure).
 
-    Groups of fewer than `least` documents take the fences of their language, and these those of all documents.
+    The quartiles of a group of n documents below `least` count n / `least`, and those of its language the rest; so do
+    the quartiles of a language beside those of all documents.
     """
 
     reach: float = 4.0
@@ -135,13 +136,13 @@ def fences(measured: DataFrame, rule: Fences = Fences()) -> DataFrame:
     wide = by_lang.select("_lang", F.col("n").alias("lang_n"), *bounds("lang"))
     # One row; an inner join on nothing would drop all groups if there is none, so it is a left join on truth.
     every = overall.filter(F.col("n") > 0).select(*bounds("all"))
+    share = lambda n: F.least(F.lit(1.0), F.col(n) / F.lit(rule.least))
+    blend = lambda part, inner, outer: part * inner + (1 - part) * outer
     rows = own.join(wide, F.col("lang").eqNullSafe(F.col("_lang"))).join(every, F.lit(True), "left")
     out = [F.col("lang"), F.col("source")]
     for m, room in zip(MEASURES, rule.room, strict=True):
         q1, q3 = (
-            F.when(F.col("own_n") >= rule.least, F.col(f"own_{m}_{at}"))
-            .when(F.col("lang_n") >= rule.least, F.col(f"lang_{m}_{at}"))
-            .otherwise(F.col(f"all_{m}_{at}"))
+            blend(share("own_n"), F.col(f"own_{m}_{at}"), blend(share("lang_n"), F.col(f"lang_{m}_{at}"), F.col(f"all_{m}_{at}")))
             for at in ("q1", "q3")
         )
         width = F.greatest(rule.reach * (q3 - q1), F.lit(room))

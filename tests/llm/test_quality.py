@@ -50,6 +50,14 @@ def test_fences_follow_the_group(spark):
     assert not got[2000]["kept"] and not got[2000]["base_failed"] and got[2001]["kept"] and got[2002]["base_failed"]
 
 
+def test_small_groups_count_by_their_documents(spark):
+    long = lambda i: " ".join(f"{w}abcd" for w in prose(i).split())
+    rows = [(i, prose(i), "en", "a") for i in range(500)] + [(1000 + i, long(i), "en", "b") for i in range(100)]
+    rows += [(2000 + i, long(i), "en", "c") for i in range(2)]
+    got = {r["doc_id"]: r["kept"] for r in quality.quality(texts(spark, rows, SCHEMA)).collect()}
+    assert all(got[i] for i in range(500)) and all(got[1000 + i] for i in range(100)) and not (got[2000] or got[2001])
+
+
 def test_odd_tables(spark):
     rows = [(i, t, lang, s) for i, (t, lang, s) in enumerate([(None, None, None), ("", "x", None), (prose(1), None, "s"), (prose(1), None, "s")])]
     docs = texts(spark, [(*r, 1.0) for r in rows], SCHEMA + ", symbol_share double")
