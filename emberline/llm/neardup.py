@@ -383,14 +383,15 @@ def _row_blocks(members: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
-    """Per row of `docs`: doc_id, key (hash of the text), n_shingles, component_id (the least doc_id reachable by
+    """Per row of `docs`: doc_id, key (64-bit hash of the text), n_shingles, component_id (the least doc_id reachable by
     links, itself included), and group, which rows of one component share and which is null for an empty set.
 
     Words are runs without white space, A-Z lower-cased. A set holds the distinct shingles of `rule`, or the whole text if
     it has fewer words; a text that is null or has no word has an empty set and links with nothing. Rows without a
     doc_id have a null component_id unless they link with a row that has one.
     Repeated rows are linked with each other. An empty table gives an empty result; other columns are not looked at.
-    Equal 64-bit hashes are taken for equal shingles, and equal names for equal sets.
+    Equal 64-bit hashes are taken for equal shingles, equal names for equal sets, and equal keys for equal
+    texts of one doc_id or of none.
     """
     spark = docs.sparkSession
     reach_package(spark)
@@ -401,7 +402,7 @@ def near_groups(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
         size = np.diff(bounds)
         return [size.tolist(), set_names(grams, bounds).tolist(), (np.searchsorted(levels(rule), size, side="right") - 1).tolist()]
 
-    keyed = docs.withColumn("key", F.hash("text"))
+    keyed = docs.withColumn("key", F.xxhash64("text"))
     fields = [StructField("n_shingles", LongType()), StructField("node", LongType()), StructField("level", IntegerType())]
     rows = add_columns(keyed, "text", fields, measure).drop("text")
     rows = stage(rows, "near-rows")
@@ -424,7 +425,7 @@ def near_groups(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     sieve = spark.sparkContext.broadcast(found := Sieve.of(reps, "_id", "_key"))
     small = keyed.filter(F.col("text").isNotNull()).select(F.coalesce("doc_id", none).alias("_id"), F.col("key").alias("_key"), "text")
     small = small.withColumn("_bit", Sieve.place(found.size, "_id", "_key"))
-    small = small.mapInArrow(_squeezer(sieve), "_id long, _key int, small binary")
+    small = small.mapInArrow(_squeezer(sieve), "_id long, _key long, small binary")
     texts = stage(small.join(reps, ["_id", "_key"]).select("node", "small"), "near-texts")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     multiplied = (
@@ -462,6 +463,6 @@ def one_of_each(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     stay = stage(stay.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), "near-stay")
     none = F.lit(int(np.iinfo(np.int64).min))
     # One missing id and the least long would meet here; the text hash keeps them apart.
-    rows = docs.withColumns({"_at": F.coalesce(F.col("doc_id").cast("long"), none), "_hash": F.hash("text")})
+    rows = docs.withColumns({"_at": F.coalesce(F.col("doc_id").cast("long"), none), "_hash": F.xxhash64("text")})
     stay = stay.select(F.coalesce("_id", none).alias("_at"), F.col("_key").alias("_hash"))
     return rows.join(stay, ["_at", "_hash"], "left_semi").dropDuplicates(["_at", "_hash"]).select(*docs.columns)

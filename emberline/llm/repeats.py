@@ -116,7 +116,7 @@ def _emitter(k: int, buckets: int):
                 found = words(texts)
                 inside = found.inside(k)
                 ids.append(batch.column(0).slice(at, len(texts)).fill_null(LAST).to_numpy(zero_copy_only=False))
-                keys.append(batch.column(1).slice(at, len(texts)).to_numpy(zero_copy_only=False))
+                keys.append(batch.column(1).slice(at, len(texts)).to_numpy(zero_copy_only=False).astype(np.int64))
                 if len(inside):
                     hashes = found.window_hashes(k)
                     row = np.repeat(np.arange(len(texts)), np.maximum(found.counts - k + 1, 0))
@@ -139,7 +139,7 @@ def _emitter(k: int, buckets: int):
 
 #: Places of repeated windows: of many documents in a row on the way to them, of one in a row at last.
 DEALT = "deal int, ids binary, keys binary, counts binary, places binary"
-MARKS = "doc_id long, key int, places binary"
+MARKS = "doc_id long, key long, places binary"
 
 
 def _by_document(row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -178,7 +178,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, place = (np.concatenate([h[n] for h in held]) for n in (0, 1, 2))
         order = np.lexsort((place, keys, ids))
         ids, keys, place = ids[order], keys[order], place[order]
-        new = (np.diff(ids, prepend=ids[0] - 1) != 0) | (np.diff(keys.astype(np.int64), prepend=0) != 0)
+        new = (np.diff(ids, prepend=ids[0] - 1) != 0) | (np.diff(keys, prepend=0) != 0)
         new[0] = True
         first, data, offsets = _by_document(np.cumsum(new), place)
         places = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
@@ -197,7 +197,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _opened(batch: pa.RecordBatch, i: int, at: int):
     """ids and keys of a packed row's documents, and the document and place of each entry; columns from `at` on."""
-    kinds = (np.int64, np.int32, np.uint8, np.uint8)
+    kinds = (np.int64, np.int64, np.uint8, np.uint8)
     raw = [np.frombuffer(batch.column(at + c)[i].as_buffer(), t) for c, t in enumerate(kinds)]
     counts, steps = unpack(raw[2])[0], unpack(raw[3])[0]
     first = np.cumsum(counts) - counts
@@ -277,11 +277,12 @@ def cut_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     A window counts as repeated if its words also start somewhere in a row of smaller doc_id; rows of one doc_id never
     cut each other, so repeated rows come out alike. A missing doc_id is later than all others (and ties with the
     greatest long). Null and empty texts, and those of fewer than `k` words, keep all their words. An empty table gives
-    an empty result; other columns are not looked at. Equal 64-bit hashes are taken for equal windows.
+    an empty result; other columns are not looked at. Equal 64-bit hashes are taken for equal windows, and for
+    equal texts of one doc_id or of none.
     """
     spark = docs.sparkSession
     reach_package(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("key"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
     size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     buckets = int(max(-(-size // BUCKET_BYTES), spark.sparkContext.defaultParallelism))
     dealt = rows.mapInArrow(_emitter(k, buckets), PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
@@ -289,7 +290,7 @@ def cut_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = dealt.mapInArrow(_finder(width), DEALT).repartition(width, "deal").sortWithinPartitions("deal")
     marks = found.mapInArrow(_gather, MARKS).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("places").alias("marks"))
-    small = rows.mapInArrow(_squeeze, "doc_id long, key int, small binary")
+    small = rows.mapInArrow(_squeeze, "doc_id long, key long, small binary")
     same = (F.coalesce("doc_id", F.lit(int(LAST))) == F.col("_id")) & (F.col("key") == F.col("_key"))
     joined = small.join(marks, same, "left").select("doc_id", "small", "marks")
     span = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])

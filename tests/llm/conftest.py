@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -24,5 +25,12 @@ def texts(spark, rows, schema="doc_id long, text string"):
     return spark.createDataFrame(rows, schema)
 
 
+def clash(spark):
+    """Two unrelated texts whose 32-bit hashes are equal."""
+    rows = spark.range(400_000).selectExpr("concat_ws(' ', 'a' || id, 'b' || id, 'c' || id, 'd' || id, 'e' || id) AS text")
+    pair = rows.groupBy(F.hash("text")).agg(F.min("text").alias("a"), F.max("text").alias("b")).filter("a != b").first()
+    return pair["a"], pair["b"]
+
+
 def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=str)

@@ -6,7 +6,7 @@ import numpy as np
 from emberline.llm import neardup
 from emberline.llm.graph import array_components, components
 from emberline.llm.queries import op9_ngram_jaccard
-from tests.llm.conftest import blank_words, rows_of, texts
+from tests.llm.conftest import blank_words, clash, rows_of, texts
 
 
 def sets_of(docs):
@@ -126,6 +126,12 @@ def test_empty_table_and_missing_ids(spark):
     assert rows_of(neardup.near_duplicates(docs)) == sorted([(None, 2, 3), (None, 1, None), (3, 2, 3), (None, 0, None)], key=str)
 
 
+def test_texts_without_an_id_are_told_apart(spark):
+    a, b = clash(spark)
+    docs = [(None, a), (None, b), (3, b + " z y x w v u t s"), (None, a)]
+    assert rows_of(neardup.one_of_each(texts(spark, docs))) == sorted({*docs}, key=str)
+
+
 def test_one_of_each_group_stays(spark):
     docs = [(4, "a b c d e", 1), (2, "a b c d e", 2), (2, "a b c d e", 2), (7, "z", 3), (8, None, 4), (9, None, 5), (None, "a b c d e", 6)]
     found = neardup.one_of_each(texts(spark, docs, "doc_id long, text string, key int"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from emberline.llm import repeats
 from emberline.llm.queries import op3_substring_dedup
-from tests.llm.conftest import blank_words, rows_of, texts
+from tests.llm.conftest import blank_words, clash, rows_of, texts
 
 
 def brute(docs, k=50):
@@ -39,6 +39,12 @@ def test_random_and_odd_texts(spark):
     assert report(repeats.cut_repeats(texts(spark, docs).repartition(5), 5)) == brute(docs, 5)
 
 
+def test_texts_without_an_id_are_told_apart(spark):
+    a, b = clash(spark)
+    docs = [(None, a), (None, b), (1, a + " more")]
+    assert report(repeats.cut_repeats(texts(spark, docs), 5)) == brute(docs, 5)
+
+
 def test_folding_in_small_pieces(spark, monkeypatch):
     monkeypatch.setattr(repeats, "FOLD", 40)
     rng = random.Random(4)
