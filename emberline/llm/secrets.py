@@ -21,9 +21,11 @@ IDENTIFIER = (
     r"\b(?:(?:AKIA|ASIA|AROA|AIDA)[A-Z0-9]{8,}|(?i:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key(?:_?id)?)"
     r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{3,})"""
 )
+# A run of key characters is tried at its first start alone (the look behind): what a later one finds, the first finds.
 SECRET = (
     r"""\b(?:(?i:pwd|passphrase|auth|bearer|private_?key|credential)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}"""
-    r"|(?=[A-Za-z0-9+/]{0,80}[0-9])(?=[0-9a-z+/]{0,80}[A-Z])[A-Za-z0-9+/]{32,80}={0,2}(?![A-Za-z0-9+/])|[0-9a-f]{16,23}(?![0-9A-Za-z]))"
+    r"|(?=[A-Za-z0-9+/]{32})(?<!\b[A-Za-z0-9]{1,256}[+/]{0,8})(?=[A-Za-z+/]*+[0-9])(?=[0-9a-z+/]*+[A-Z])"
+    r"[A-Za-z0-9+/]{32,}+={0,2}(?![A-Za-z0-9+/])|[0-9a-f]{16,23}(?![0-9A-Za-z]))"
 )
 ENDPOINT = r"\b(?:(?:https?|ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]{3,}|(?i:host|endpoint|server)\x20*[:=]\x20*[A-Za-z0-9.-]{4,}|[0-9]{1,3}(?:\.[0-9]{1,3}){3}:[0-9]{2,5})"
 

@@ -56,6 +56,17 @@ def test_weak_parts_need_their_complements(spark):
     assert spans(spark, user + " word" * 400 + f" {pwd}") == []
 
 
+def test_secrets_of_any_length(spark):
+    keys = ["aB3/" * 20, "Zm9v" * 21 + "Zg==", "q" * 100 + "Z" + "x/" * 300 + "7k", "aB3dE" * 24, "Ab1" * 7_000]
+    cases = [(f"user=bob {key}, and", key) for key in keys]
+    cases += [(f"user=bob {key}", None) for key in ("aB3" * 10, "x/" * 100_000, "X" * 200, "7a/" * 60, "é" * 90)]
+    cases += [(f"user=bob {'x/' * 40}0123456789abcdef", "0123456789abcdef"), (f"user=bob _x/{'aB3' * 40}", "/" + "aB3" * 40)]
+    for row in secrets.find_secrets(texts(spark, [(i, t) for i, (t, _) in enumerate(cases)])).collect():
+        text, key = cases[row["doc_id"]]
+        found = [(x["kind"], text[x["start"] : x["end"]]) for x in row["spans"]]
+        assert found == ([("identifier", "user=bob"), ("secret", key)] if key else []), text[:80]
+
+
 def test_strong_parts_complete_weak_ones(spark):
     strong = "token = abcdefgh12"
     assert spans(spark, f"{strong} login: alice@example.org") == [("assign", strong), ("identifier", "login: alice@example.org")]
