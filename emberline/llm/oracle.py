@@ -71,8 +71,72 @@ SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
+# CRC-32 of the decimal conv_id: each byte, then eight steps marked by -1.
+_CRC = """
+xor(list_reduce(
+  list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda c: list_concat([CAST(ascii(c) AS BIGINT)], list_transform(range(8), lambda k: -1::BIGINT))))),
+  lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END
+), 4294967295::BIGINT)"""
+
+_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, length(coalesce(text, '')) AS chars, md5(coalesce(role, '') || chr(1) || coalesce(text, '')) AS h,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, length(coalesce(text, '')), role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS MATERIALIZED (
+  SELECT conv_id, list(h ORDER BY i) AS hs, list(chars ORDER BY i) AS cs, {_CRC.strip()} % 6 AS n
+  FROM turns GROUP BY conv_id),
+conv AS MATERIALIZED (
+  SELECT o.conv_id, list_concat(coalesce(f.hs, [])[1:o.n], o.hs[o.n + 1:]) AS path,
+         list_concat(coalesce(f.cs, [])[1:o.n], o.cs[o.n + 1:]) AS chars
+  FROM own o LEFT JOIN own f ON f.conv_id = o.conv_id - o.conv_id % 100),
+prefixes AS (
+  SELECT conv_id, d, path[1:d] AS p, len(path) = d AS ends, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars
+  FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM conv)),
+nodes AS MATERIALIZED (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ids
+  FROM prefixes GROUP BY p, d),
+kids AS MATERIALIZED (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+up AS (
+  SELECT p[1:a] AS p, CAST(sum((n - 1) * chars) AS BIGINT) AS saved_tokens, count(*) FILTER (leaf) AS n_leaves
+  FROM (SELECT nodes.*, kids.p IS NULL AS leaf, unnest(range(0, d + 1)) AS a FROM nodes LEFT JOIN kids ON kids.p = nodes.p)
+  GROUP BY 1)
+SELECT x.conv_id, x.d AS depth, above.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved_tokens, sha256(coalesce(x.ids, '')) AS ends_sha256
+FROM nodes x JOIN up ON up.p = x.p LEFT JOIN kids ON kids.p = x.p
+LEFT JOIN nodes above ON x.d > 0 AND above.d = x.d - 1 AND above.p = x.p[1:x.d - 1]
+"""
+
+_SEARCH = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all({_FOLDED}, {_PLAIN}) AS words FROM documents),
+q AS MATERIALIZED (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_FOLDED}, {_PLAIN})) AS term FROM benchmark),
+totals AS MATERIALIZED (SELECT count(*) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_terms FROM d WHERE len(words) > 0),
+postings AS MATERIALIZED (
+  SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(words) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY row_id, term),
+weights AS MATERIALIZED (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals),
+lengths AS MATERIALIZED (SELECT row_id, doc_id, 50 + (50 * len(words) * n_docs) // n_terms AS m FROM d, totals),
+scored AS (
+  SELECT item_id, row_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (row_id)
+  GROUP BY item_id, row_id, doc_id)
+SELECT * FROM (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+         doc_id, score
+  FROM scored WHERE score > 0)
+WHERE rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op2_decontamination": _DECONTAMINATION.strip(),
     "op3_substring_dedup": _REPEATS.strip(),
     "op9_ngram_jaccard": _NEAR.strip(),
+    "op12_prefix_trie": _TRIE.strip(),
+    "op13_lexical_search": _SEARCH.strip(),
 }

@@ -5,9 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberline.llm import htmltext, langid, leaks, mixing, neardup, personal, repeats
+from emberline.llm import htmltext, langid, leaks, lexical, mixing, neardup, packing, personal, prefixes, repeats
 from emberline.llm import quality as rules
 from emberline.llm import secrets, tokencounts
+from emberline.llm.encoding import Definition
 from emberline.session import scratch_path
 
 
@@ -81,6 +82,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as files
+
+    tokenizer = Definition.read(files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(prefixes.branched(table(spark, sf_dir, "conversations")))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,5 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_ngram_jaccard,
         op10_token_counts,
+        op11_packing,
+        op12_prefix_trie,
+        op13_lexical_search,
     )
 }

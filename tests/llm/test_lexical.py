@@ -1,0 +1,100 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from emberline.llm import lexical
+from emberline.llm.queries import op13_lexical_search
+from tests.llm.conftest import plain_words, rows_of, texts
+
+
+def ranked(docs, items, top=50):
+    """The contract by plain loops: docs and items are (id, text)."""
+    words = [(d, Counter(plain_words(t))) for d, t in docs]
+    some = [(d, w, sum(w.values())) for d, w in words if w]
+    n_all, length = len(some), sum(n for _, _, n in some)
+    df = Counter(t for _, w, _ in some for t in w)
+    own = {}
+    for i, t in items:
+        own.setdefault(i, set()).update(plain_words(t))
+    out = []
+    for i, terms in own.items():
+        scored = []
+        for d, w, n in some:
+            m = 50 + 50 * n * n_all // length
+            score = sum(
+                math.floor(1000 * math.log((2 * n_all + 2) / (2 * df[t] + 1))) * (1_000_000_000 * w[t] // (1000 * w[t] + 20 * m))
+                for t in terms if t in w
+            )
+            if score > 0:
+                scored.append((-score, d is None, d or 0))
+        out += [(i, rank, None if none else d, -s) for rank, (s, none, d) in enumerate(sorted(scored)[:top], 1)]
+    return sorted(out, key=str)
+
+
+def found(df):
+    assert df.columns == ["item_id", "rank", "doc_id", "score"]
+    return rows_of(df)
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.sets(st.integers(0, 9), min_size=1), min_size=1, max_size=12), st.integers(0, 2**32))
+def test_shared_parts_add_up_to_the_items(sets, seed):
+    used = sorted(set().union(*sets))
+    items = [[used.index(t) for t in s] for s in sets]
+    dag = lexical.share(items, len(used))
+    values = np.random.default_rng(seed).integers(0, 1000, (len(used), 3))
+    term, doc = (a.ravel() for a in np.indices(values.shape))
+    got = lexical.evaluate(dag, term, doc, values.ravel(), 3)
+    assert got.tolist() == [values[own].sum(axis=0).tolist() for own in items]
+
+
+def test_common_parts_are_evaluated_once():
+    shared = list(range(40))
+    items = [shared + [40 + i] for i in range(30)] + [list(range(20)), [3]]
+    dag = lexical.share(items, 70)
+    # 30 items of 41 terms: a part for the shared terms, one of their own, and few sums in between.
+    assert dag.leaves == 30 + 3 and len(dag.pairs) <= 4 and len(dag.parts) <= 30 * 2 + 3
+
+
+def rows(seed, n):
+    rng = np.random.default_rng(seed)
+    vocabulary = ["the", "of", "École", "naïve", "x1", *(f"w{i}" for i in range(60))]
+    out = []
+    for d in range(n):
+        many = int(rng.integers(0, 40))
+        out.append((d, " ".join(rng.choice(vocabulary, many, p=np.r_[[0.1] * 5, [0.5 / 60] * 60]).tolist()).title()))
+    return out
+
+
+@pytest.mark.parametrize("block", [1 << 16, 30])
+def test_search(spark, block):
+    docs = rows(2, 300) + [(None, "the w1 w2"), (None, "The, W1; w2!"), (7, "w3 the"), (7, "w3 the"), (901, None), (902, ""), (903, "long w5 " * 40_000)]
+    items = [(1, "the W1 w2"), (2, "École of naïve x1"), (3, None), (4, "nothing here"), (5, " ".join(f"w{i}" for i in range(60))), (5, "the"), (None, "w3 w3 w3")]
+    frame = spark.createDataFrame([(*r, 1, 2, "z") for r in docs], "doc_id long, text string, rank int, score long, item_id string").repartition(7)
+    got = found(lexical.search(frame, texts(spark, items, "item_id long, text string"), block=block))
+    assert got == ranked(docs, items)
+
+
+def test_ties_and_copies_beyond_the_top(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "HELD", 100)
+    docs = [(d, "same words here") for d in range(500, 100, -1)] + [(d, "same") for d in range(20)]
+    items = [(1, "same words"), (2, "here")]
+    got = found(lexical.search(texts(spark, docs).repartition(5), texts(spark, items, "item_id long, text string")))
+    assert got == ranked(docs, items)
+
+
+def test_empty_tables(spark):
+    docs, items = texts(spark, [(1, "a")]), texts(spark, [(1, "a")], "item_id long, text string")
+    assert lexical.search(docs.limit(0), items).count() == 0
+    assert lexical.search(docs, items.limit(0)).count() == 0
+    assert lexical.search(texts(spark, [(1, None), (2, " . ")]), items).count() == 0
+
+
+def test_registered_query(spark, documents):
+    items = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text").collect()]
+    docs = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    assert found(op13_lexical_search(spark, "/root/testdata/sf0.001")) == ranked(docs, items)

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, name):
     engine = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         engine.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     found = QUERIES[name](spark, SF)
     columns = sorted(found.columns)

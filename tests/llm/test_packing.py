@@ -1,0 +1,146 @@
+import bisect
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers as files
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from emberline.llm import packing
+from emberline.llm.encoding import Definition, encoder
+from emberline.llm.queries import op11_packing
+from emberline.llm.tokencounts import _SETTLED
+from tests.llm.conftest import texts
+
+JSON = files.path("byte_bpe_50k.json")
+FILES = Definition.read(JSON, files.path("byte_bpe_50k.tiktoken"), files.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(JSON)
+    return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def one_by_one(lengths, size):
+    """Rooms left by best-fit decreasing, piece by piece."""
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(rooms, length)
+        room = rooms.pop(at) if at < len(rooms) else size
+        bisect.insort(rooms, room - length)
+    return sorted(rooms)
+
+
+def rooms_of(placed, size):
+    used = defaultdict(list)
+    for length, lo, hi, window, per, offset in placed.rows:
+        for nth in range(hi - lo):
+            used[window + nth // per].append((offset + nth % per * length, length))
+    for spans in used.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= size
+    assert sorted(used) == list(range(placed.windows))
+    return sorted(size - sum(n for _, n in spans) for spans in used.values())
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.integers(1, 40).flatmap(lambda n: st.tuples(st.just(n), st.lists(st.integers(1, n), max_size=120))))
+def test_equal_lengths_in_bulk_leave_the_rooms_that_single_pieces_leave(case):
+    size, lengths = case
+    counts = {n: lengths.count(n) for n in set(lengths)}
+    placed = packing.best_fit(counts, size)
+    assert rooms_of(placed, size) == one_by_one(lengths, size)
+    for length, count in counts.items():
+        spans = sorted((lo, hi) for n, lo, hi, *_ in placed.rows if n == length)
+        assert [lo for lo, _ in spans] == [0] + [hi for _, hi in spans[:-1]] and spans[-1][1] == count
+
+
+def test_placements_do_not_grow_with_the_corpus():
+    rng = np.random.default_rng(5)
+    few, many = (packing.best_fit(dict(enumerate(rng.integers(1, top, 2048).tolist(), 1))) for top in (100, 10**9))
+    assert len(many.rows) < 3 * len(few.rows) < 100_000
+
+
+def test_the_tree_finds_the_least_capacity():
+    free = packing.OpenWindows(20)
+    assert free.tightest(1) is None
+    for room in (3, 7, 20, 7):
+        free.add(room, 0, 1)
+    assert [free.tightest(n) for n in (1, 3, 4, 7, 8, 20)] == [3, 3, 7, 7, 20, 20]
+    free.take(7)
+    assert free.tightest(4) == 7
+    free.take(7)
+    free.take(20)
+    assert free.tightest(4) is None and free.tightest(2) == 3
+
+
+def test_quick_ids_equal_the_library(library):
+    quick = encoder(FILES)
+    codes = [c for c in [*range(0x3000), *range(0x3040, 0xD7B0), 0x1F642, 0x10FFFF]]
+    for lo in range(0, len(codes), 200):
+        own = [chr(c) for c in codes[lo : lo + 200]]
+        for text in [" ".join(f"a{c}b {c} 1{c}2{c}{c}\n{c} 's" for c in own if _SETTLED.fullmatch(c)), "".join(own)]:
+            assert quick(text).tolist() == library(text)
+    for text in ("", " ", "x<|endoftext|>y <|endoftext|><|endoftext|>", "<|endoftext|", "don't I'LL we've"):
+        assert quick(text).tolist() == library(text)
+
+
+def check(got, docs, library, size):
+    """Each id lies in one piece, pieces say what they hold, and sequences have no gap and no overlap."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in got:
+        by_doc[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]))
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    wanted = defaultdict(list)
+    for doc_id, text in docs:
+        ids = [*library(text), 1]
+        for lo in range(0, len(ids), size):
+            piece = np.array(ids[lo : lo + size], "<u4")
+            wanted[doc_id].append((lo, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+    assert {k: sorted(v) for k, v in by_doc.items()} == {k: sorted(v) for k, v in wanted.items()}
+    for spans in by_sequence.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= size
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    lengths = [n for pieces in wanted.values() for _, n, _, _ in pieces]
+    assert len(by_sequence) == len(one_by_one(lengths, size))
+
+
+ROWS = [
+    (1, None), (2, ""), (3, "the same"), (4, "the same"), (3, "the same"), (5, "é<|endoftext|>"), (None, "w " * 9_000),
+    (None, "w"), (7, "a b c d e f g h i j k l m n o"), (8, "x " * 2047), (9, "y " * 4095),
+]
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_pieces(spark, library, parts):
+    docs = texts(spark, [(*r, 9, "z") for r in ROWS], "doc_id long, text string, length int, part string").repartition(parts)
+    check(packing.pack(docs, FILES).collect(), ROWS, library, 2048)
+    check(packing.pack(docs, FILES, size=16).collect(), ROWS, library, 16)
+
+
+def test_slow_and_quick_files_give_the_same_pieces(spark):
+    docs = texts(spark, ROWS).coalesce(1)
+    quick, slow = (sorted(map(str, packing.pack(docs, f).collect())) for f in (FILES, Definition.read(JSON)))
+    assert quick == slow
+
+
+def test_empty_table(spark):
+    found = packing.pack(texts(spark, []), FILES)
+    assert found.count() == 0 and found.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+def test_registered_query(spark, documents, library):
+    got = op11_packing(spark, "/root/testdata/sf0.001").collect()
+    check(got, [(r["doc_id"], r["text"]) for r in documents.collect()], library, 2048)
+    assert len({r["sequence_id"] for r in got}) <= -(-sum(r["length"] for r in got) // 2048) + 1
