@@ -53,13 +53,11 @@ def encoder(files: Definition):
         if not text.isascii() and not _SETTLED.fullmatch(text):
             return slow(text)
         if cut is None or not cut.search(text):
-            return quick.encode_to_numpy(text, disallowed_special=()).astype(np.uint32, copy=False)
-        parts, at = [], 0
+            return np.array(quick.encode_ordinary(text), np.uint32)
+        ids, at = [], 0
         for found in cut.finditer(text):
-            parts.append(quick.encode_to_numpy(text[at : found.start()], disallowed_special=()))
-            parts.append(np.array([added[found.group()]], np.uint32))
+            ids += [*quick.encode_ordinary(text[at : found.start()]), added[found.group()]]
             at = found.end()
-        parts.append(quick.encode_to_numpy(text[at:], disallowed_special=()))
-        return np.concatenate(parts).astype(np.uint32, copy=False)
+        return np.array(ids + quick.encode_ordinary(text[at:]), np.uint32)
 
     return fast
