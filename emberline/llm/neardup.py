@@ -2,11 +2,14 @@
 
 Two sets link if they share a set part of their union. The sizes then bound the n-grams in which they differ, K. The columns
 of the matrix are cut into more than K blocks by hash, so linked rows agree in whole column blocks: a row's content in
-a block is one hash, and rows that agree nowhere are discarded before any product. Rows that do agree form clusters,
-which are cut into row blocks of a set size. For each pair of row blocks the product is taken over the shared columns,
-overlaps add up, and pairs below the bound of their sizes are dropped. What is left are the links, all of them.
-
-Rows of equal sets are one row from the start. Links leave a task as stars of their components, never as pairs.
+a block is one hash, and rows that agree nowhere are discarded before any product. Rows that agree by a shared passage
+alone are told apart by parities: every n-gram flips one of BITS bits of its row, so linked rows differ in K bits at
+most. What passes both forms clusters, which are cut into row blocks of a set size. The product of two row blocks is
+taken over their shared columns, overlaps add up, and pairs below the bound of their sizes are dropped. What is left
+are the links.
+
+Rows of equal sets are one row from the start. Links leave a task as stars of their components, never as pairs. A cluster
+of many blocks is first multiplied with one of them; what that joins into one component needs no product within itself.
 """
 
 from collections.abc import Iterator
@@ -16,10 +19,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField
 
 from emberline.llm.graph import array_components, components
 from emberline.llm.repeats import pack, unpack
@@ -44,6 +46,9 @@ FOLD, BUCKET, BLOCK = 1_000_000, 1_500_000, 1_000_000
 BUCKET_BYTES = 18 * BUCKET
 #: Columns with more rows than this in a row block are multiplied densely.
 DENSE = 32
+#: Parity bits of a row, and the rows that agree in a block up to which each is held against each. More of them are one
+#: cluster at once, which the product then takes apart.
+BITS, LIST = 512, 20_000
 
 
 def linked(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, rule: Rule = RULE) -> np.ndarray:
@@ -51,6 +56,26 @@ def linked(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, rule: Rule = RULE)
     return (rule.part + rule.whole) * overlap >= rule.part * (a + b)
 
 
+def reach(a: np.ndarray, b: np.ndarray, rule: Rule = RULE) -> np.ndarray:
+    """K: the most n-grams in which linked sets of these sizes differ."""
+    return (a + b) * (rule.whole - rule.part) // (rule.whole + rule.part)
+
+
+def parities(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """BITS bits of each set, as rows of words: an n-gram flips one. Two rows differ in no more bits than their sets
+    in n-grams."""
+    cell = (mix(grams ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(BITS)).astype(np.int64)
+    out = np.zeros((len(bounds) - 1, BITS // 64), np.uint64)
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    np.bitwise_xor.at(out.reshape(-1), owner * (BITS // 64) + (cell >> 6), np.uint64(1) << (cell & 63).astype(np.uint64))
+    return out
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which rows of parities differ."""
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+
+
 @lru_cache(maxsize=8)
 def levels(rule: Rule = RULE, most: int = 1 << 40) -> np.ndarray:
     """First sizes of levels such that linked sets lie in one level or in two that touch."""
@@ -134,18 +159,6 @@ def signatures(grams: np.ndarray, bounds: np.ndarray, rule: Rule = RULE) -> tupl
     return np.concatenate(out), np.concatenate(sets)
 
 
-def _least(keys: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    """The least node with the same key."""
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else order
-    out = np.zeros(len(keys), np.int64)
-    if len(first):
-        least = np.minimum.reduceat(nodes[order], first)
-        out[order] = np.repeat(least, np.diff(np.append(first, len(ordered))))
-    return out
-
-
 def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """As few edges as hold the same nodes together."""
     nodes, roots = array_components(a, b)
@@ -153,87 +166,225 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[inner], roots[inner]
 
 
-PACKED = "bucket int, signatures binary, nodes binary, counts binary, a long, b long"
-_KINDS = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+#: Signatures by bucket; each stands for its node and, within `slack` bits, for nodes of its task. Or an edge (a, b).
+PACKED = "bucket int, signatures binary, nodes binary, counts binary, slacks binary, a long, b long"
+_KINDS = [pa.int32(), *[pa.binary()] * 4, pa.int64(), pa.int64()]
 _NAMES = [f.split()[0] for f in PACKED.split(", ")]
 
 
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+
+
+def fold(key: np.ndarray, row: np.ndarray, node: np.ndarray, size: np.ndarray, parity: np.ndarray, rule: Rule):
+    """Entries (key, row) that must travel, their slack, and edges for the rest.
+
+    Of the rows of one task with the same signature the one of least node speaks for those close to it: they are tied to
+    it by an edge. Its slack keeps every node that one of them may be linked with within reach of it, by the triangle
+    inequality, in bits and in size.
+    """
+    order = np.lexsort((node[row], key))
+    key, row = key[order], row[order]
+    # Copies of one set in one task are one entry.
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (node[row[1:]] != node[row[:-1]])
+    key, row = key[new], row[new]
+    first = _runs(key)
+    centre = np.repeat(first, np.diff(np.append(first, len(key))))
+    slack = np.zeros(len(key), np.int64)
+    rest = np.flatnonzero(centre != np.arange(len(key)))
+    mine, other = row[rest], row[centre[rest]]
+    bits, shift = apart(parity[mine], parity[other]), np.abs(size[mine] - size[other])
+    bound = reach(size[mine], size[other], rule)
+    wide = np.maximum(bits, shift) + reach(shift, shift, rule) + 1
+    close = (bits <= bound) & (shift <= bound) & (2 * wide <= bound)
+    gone = rest[close]
+    np.maximum.at(slack, centre[gone], wide[close])
+    stay = np.ones(len(key), bool)
+    stay[gone] = False
+    return key[stay], row[stay], slack[stay], node[row[gone]], node[row[centre[gone]]]
+
+
 def _emitter(buckets: int, rule: Rule):
-    """Packed signatures by bucket, and edges between sets of one task that share a signature."""
-
-    def fold(keys: list, nodes: list) -> Iterator[pa.RecordBatch]:
-        key, node = np.concatenate(keys), np.concatenate(nodes)
-        least = _least(key, node)
-        later = least != node
-        if later.any():
-            a, b = _stars(node[later], least[later])
+    """Packed signatures by bucket, and edges between close sets of one task that share a signature."""
+
+    def packed(keys: list, rows: list, sets: list) -> Iterator[pa.RecordBatch]:
+        node, size, parity = (np.concatenate(p) for p in zip(*sets, strict=True))
+        key, row, slack, a, b = fold(np.concatenate(keys), np.concatenate(rows), node, size, parity, rule)
+        if len(a):
+            a, b = _stars(a, b)
             none = pa.nulls(len(a), pa.binary())
             # Edges need no bucket of their own; they are dealt by their node.
             deal = pa.array((a.view(np.uint64) % np.uint64(buckets)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([deal, none, none, none, pa.array(a), pa.array(b)], names=_NAMES)
-        key, node = key[~later], node[~later]
+            yield pa.RecordBatch.from_arrays([deal, none, none, none, none, pa.array(a), pa.array(b)], names=_NAMES)
+        node = node[row]
         bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
         order = np.lexsort((node, bucket))
-        key, node, bucket = key[order], node[order], bucket[order]
+        key, node, slack, bucket = key[order], node[order], slack[order], bucket[order]
         bounds = np.searchsorted(bucket, np.arange(buckets + 1))
-        rows: list[list] = [[] for _ in _NAMES]
+        out: list[list] = [[] for _ in _NAMES]
         for nth in np.flatnonzero(np.diff(bounds)).tolist():
-            own = node[bounds[nth] : bounds[nth + 1]]
-            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            counts = pack(np.diff(np.append(first, len(own))))[0]
-            made = (nth, key[bounds[nth] : bounds[nth + 1]].tobytes(), own[first].tobytes(), counts.tobytes(), None, None)
-            for column, v in zip(rows, made, strict=True):
+            own = slice(bounds[nth], bounds[nth + 1])
+            first = _runs(node[own])
+            counts = pack(np.diff(np.append(first, bounds[nth + 1] - bounds[nth])))[0]
+            made = (nth, key[own].tobytes(), node[own][first].tobytes(), counts.tobytes(), pack(slack[own])[0].tobytes(), None, None)
+            for column, v in zip(out, made, strict=True):
                 column.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, _KINDS, strict=True)], names=_NAMES)
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, _KINDS, strict=True)], names=_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes, held = [], [], 0
+        keys, rows, sets, held, many = [], [], [], 0, 0
         for batch in batches:
             for _, texts in chunks(batch.column(0)):
                 grams, bounds = shingle_sets(words(texts, fold=True), rule.shingle)
                 key, owner = signatures(grams, bounds, rule)
                 keys.append(key)
-                nodes.append(set_names(grams, bounds)[owner])
+                rows.append(owner + many)
+                sets.append((set_names(grams, bounds), np.diff(bounds), parities(grams, bounds)))
+                many += len(texts)
                 held += len(key)
                 if held >= FOLD:
-                    yield from fold(keys, nodes)
-                    keys, nodes, held = [], [], 0
+                    yield from packed(keys, rows, sets)
+                    keys, rows, sets, held, many = [], [], [], 0, 0
         if held:
-            yield from fold(keys, nodes)
+            yield from packed(keys, rows, sets)
 
     return run
 
 
+#: Nodes that share a signature, under a name that equal lists have in common. Or an edge.
+LISTS = "list long, nodes binary, slacks binary, a long, b long"
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges between sets that share a signature; rows come sorted by bucket, and a bucket is held until complete."""
+    """Lists of nodes that share a signature, equal ones once; rows come sorted by bucket, and a bucket is held until
+    complete. A list that is too long to be held against itself is tied together as it is."""
+    names = [f.split()[0] for f in LISTS.split(", ")]
 
     def edges(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(a):
-            a, b = _stars(a, b)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        none = [pa.nulls(len(a), t) for t in (pa.int64(), pa.binary(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(a), pa.array(b)], names=names)
 
     def close(held: list) -> Iterator[pa.RecordBatch]:
-        if held:
-            key, node = (np.concatenate(p) for p in zip(*held, strict=True))
-            least = _least(key, node)
-            yield from edges(node[least != node], least[least != node])
+        if not held:
+            return
+        key, node, slack = (np.concatenate(p) for p in zip(*held, strict=True))
+        order = np.lexsort((-slack, node, key))
+        key, node, slack = key[order], node[order], slack[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])  # of one node the entry of most slack
+        key, node, slack = key[new], node[new], slack[new]
+        first = _runs(key)
+        many = np.diff(np.append(first, len(key)))
+        each = mix(node.view(np.uint64) + mix(slack.astype(np.uint64) + np.uint64(5)))
+        name = mix(np.add.reduceat(each, first) + many.astype(np.uint64)).view(np.int64)
+        long = np.flatnonzero(many > LIST)
+        for lo, n in zip(first[long].tolist(), many[long].tolist(), strict=True):
+            yield from edges(node[lo + 1 : lo + n], np.full(n - 1, node[lo]))
+        short = np.flatnonzero((many > 1) & (many <= LIST))
+        name, nth = np.unique(name[short], return_index=True)
+        out: list[list] = [[], [], []]
+        for label, g in zip(name.tolist(), short[nth].tolist(), strict=True):
+            own = slice(first[g], first[g] + many[g])
+            for column, v in zip(out, (label, node[own].tobytes(), pack(slack[own])[0].tobytes()), strict=True):
+                column.append(v)
+        if len(name):
+            none = pa.nulls(len(name), pa.int64())
+            kinds = (pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(out, kinds, strict=True)), none, none], names=names)
 
     held, now = [], None
     for batch in batches:
-        known = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
+        known = batch.column(5).is_valid().to_numpy(zero_copy_only=False)
         if known.any():
             part = batch.filter(pa.array(known))
-            yield from edges(part.column(4).to_numpy(), part.column(5).to_numpy())
+            yield from edges(part.column(5).to_numpy(), part.column(6).to_numpy())
         for i in np.flatnonzero(~known).tolist():
             nth = batch.column(0)[i].as_py()
             if nth != now:
                 yield from close(held)
                 held, now = [], nth
-            key, node, counts = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in ((1, np.uint64), (2, np.int64), (3, np.uint8)))
-            held.append((key.copy(), np.repeat(node, unpack(counts)[0])))
+            kinds = ((1, np.uint64), (2, np.int64), (3, np.uint8), (4, np.uint8))
+            key, node, counts, slacks = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in kinds)
+            held.append((key.copy(), np.repeat(node, unpack(counts)[0]), unpack(slacks)[0]))
     yield from close(held)
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists to their rows (list, node, slack)."""
+    for batch in batches:
+        for label, nodes, slacks in zip(*(batch.column(c) for c in range(3)), strict=True):
+            node = np.frombuffer(nodes.as_buffer(), np.int64)
+            slack = unpack(np.frombuffer(slacks.as_buffer(), np.uint8))[0]
+            columns = [pa.array(np.full(len(node), label.as_py(), np.int64)), pa.array(node), pa.array(slack.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["list", "node", "slack"])
+
+
+def tied(node: np.ndarray, size: np.ndarray, parity: np.ndarray, slack: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that hold together what may be linked, directly or over others: a search from node to node, each against
+    those not reached yet."""
+    left, a, b = np.arange(len(node)), [], []
+    while len(left) > 1:
+        ahead, left = [left[0]], left[1:]
+        while ahead and len(left):
+            at = ahead.pop()
+            bound = reach(size[left], size[at], rule) + slack[left] + slack[at]
+            # The cheap test first.
+            near = np.flatnonzero(np.abs(size[left] - size[at]) <= bound)
+            near = near[apart(parity[left[near]], parity[at]) <= bound[near]]
+            if len(near):
+                found = left[near]
+                a.append(node[found])
+                b.append(np.full(len(found), node[at]))
+                ahead += found.tolist()
+                stay = np.ones(len(left), bool)
+                stay[near] = False
+                left = left[stay]
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+
+
+def _tier(rule: Rule):
+    """Edges of each list. Rows (list, node, n, parity, slack) come sorted by list."""
+
+    def close(lists, node, size, parity, slack) -> Iterator[pa.RecordBatch]:
+        first = _runs(lists)
+        many = np.diff(np.append(first, len(lists)))
+        # Lists of two at once, the others one by one.
+        two = first[many == 2]
+        bound = reach(size[two], size[two + 1], rule) + slack[two] + slack[two + 1]
+        near = (np.abs(size[two] - size[two + 1]) <= bound) & (apart(parity[two], parity[two + 1]) <= bound)
+        a, b = [node[two[near]]], [node[two[near] + 1]]
+        for lo, n in zip(first[many > 2].tolist(), many[many > 2].tolist(), strict=True):
+            own = slice(lo, lo + n)
+            x, y = tied(node[own], size[own], parity[own], slack[own], rule)
+            a.append(x)
+            b.append(y)
+        a, b = np.concatenate(a), np.concatenate(b)
+        if len(a):
+            a, b = _stars(a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists, node, size, slack = (batch.column(c).to_numpy() for c in (0, 1, 2, 4))
+            parity = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(-1, BITS // 64)
+            held.append([lists, node, size, parity, slack.astype(np.int64)])
+            if sum(len(h[0]) for h in held) >= 10 * LIST:
+                whole = [np.concatenate(c) for c in zip(*held, strict=True)]
+                cut = _runs(whole[0])[-1]  # the last list may go on
+                yield from close(*[c[:cut] for c in whole])
+                held = [[c[cut:] for c in whole]]
+        if held:
+            yield from close(*[np.concatenate(c) for c in zip(*held, strict=True)])
+
+    return run
+
+
 def block_links(grams: list[np.ndarray], rule: Rule = RULE) -> tuple[np.ndarray, np.ndarray]:
     """All linked pairs among the sets of a block, by the product of their incidence matrix with itself.
 
@@ -247,7 +398,7 @@ def block_links(grams: list[np.ndarray], rule: Rule = RULE) -> tuple[np.ndarray,
     token, owner = token[order], owner[order]
     first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
     many = np.diff(np.append(first, len(token)))
-    overlap = np.zeros((n, n), np.float32)
+    overlap = np.zeros((n, n), np.int32)
     flat = overlap.reshape(-1)
     for count in np.unique(many[(many > 1) & (many <= DENSE)]).tolist():
         x, y = np.triu_indices(count, 1)
@@ -257,7 +408,7 @@ def block_links(grams: list[np.ndarray], rule: Rule = RULE) -> tuple[np.ndarray,
             rows = owner[starts[lo : lo + step, None] + np.arange(count)]
             cells = (rows[:, x] * n + rows[:, y]).ravel()
             if len(cells) * 8 > n * n:
-                flat += np.bincount(cells, minlength=n * n).astype(np.float32)
+                flat += np.bincount(cells, minlength=n * n).astype(np.int32)
             else:
                 np.add.at(flat, cells, 1)
     dense = np.flatnonzero(many > DENSE)
@@ -266,7 +417,7 @@ def block_links(grams: list[np.ndarray], rule: Rule = RULE) -> tuple[np.ndarray,
         matrix = np.zeros((n, len(part)), np.float32)
         for column, d in enumerate(part.tolist()):
             matrix[owner[first[d] : first[d] + many[d]], column] = 1
-        overlap += matrix @ matrix.T
+        overlap += (matrix @ matrix.T).astype(np.int32)  # at most 512 each: exact
     # Owners are in order within a column, so sparse pairs lie above the diagonal; dense ones lie on both sides.
     upper = np.triu(np.ones((n, n), bool), 1)
     x, y = np.nonzero(upper & (overlap > 0))
@@ -307,79 +458,57 @@ def _multiplier(rule: Rule):
     return run
 
 
-@dataclass(frozen=True)
-class Sieve:
-    """Bits set at the hashes of some keys: what misses its bit is none of them. At most 16 MB."""
-
-    bits: np.ndarray
-    size: int
-
-    @staticmethod
-    def place(size: int, *columns: str) -> Column:
-        return F.pmod(F.xxhash64(*columns), F.lit(size)).alias("_bit")
-
-    @classmethod
-    def of(cls, keys: DataFrame, *columns: str) -> "Sieve":
-        size = 1 << 15
-        wanted = min(1 << 27, 16 * keys.count())
-        while size < wanted:
-            size *= 2
-        at = keys.select(cls.place(size, *columns))
-        # Bucket 1 holds the numbers 1 to 32,768, and so on.
-        number = F.col("_bit") + 1
-        words = at.groupBy(F.bitmap_bucket_number(number).alias("nth")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
-        )
-        bits = np.zeros(size // 8, np.uint8)
-        for row in words.collect():  # at most 4,096 rows of 4 KB
-            lo, part = (row["nth"] - 1) * 4096, np.frombuffer(bytes(row["bits"]), np.uint8)
-            bits[lo : lo + len(part)] = part
-        return cls(bits, size)
-
-    def holds(self, at: np.ndarray) -> np.ndarray:
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-
-
-def _squeezer(sieve: Broadcast):
-    """Texts that the sieve lets through, as small as they get before they cross the shuffle."""
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as small as they get before they cross the shuffle."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        small = [press.compress(t.encode()) for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(small, pa.binary())], names=["_id", "_key", "small"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            part = batch.filter(pa.array(sieve.value.holds(batch.column(3).to_numpy())))
-            small = [press.compress(t.encode()) for t in part.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(small, pa.binary())], names=["_id", "_key", "small"])
 
-    return run
+def _name(*columns: str) -> Column:
+    return F.concat_ws(":", *[F.col(c).cast("string") for c in columns]).alias("block")
+
+
+def _blocked(members: DataFrame, name: str) -> DataFrame:
+    """`members` (node, root, level, w) with parts and nth: each level of a cluster is cut by hash into `parts` blocks of
+    about BLOCK n-grams."""
+    sums = members.groupBy("root", "level").agg(F.ceil(F.sum("w") / BLOCK).cast("int").alias("parts"))
+    return members.join(stage(sums, name), ["root", "level"]).withColumn("nth", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+
+
+def _first_units(members: DataFrame) -> DataFrame:
+    """node, block: a cluster of up to BLOCK n-grams is one block. A larger one is cut into blocks by hash, and its first
+    block goes to all of them, so every row is multiplied with that one. `members` are node, root, w."""
+    parts = members.groupBy("root").agg(F.ceil(F.sum("w") / BLOCK).cast("int").alias("parts"))
+    rows = members.join(stage(parts, "near-parts"), "root").withColumn("nth", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    places = F.expr("if(nth = 0, sequence(0, parts - 1), array(nth))")
+    rows = rows.withColumn("place", F.explode(places))
+    return rows.select("node", _name("root", "place"))
 
 
-def _row_blocks(members: DataFrame) -> DataFrame:
-    """`members` (node, root, n, level) with block: a name for each pair of row blocks that the node is multiplied in.
+def _second_units(members: DataFrame) -> DataFrame:
+    """node, block: the rows that the first product left outside of their cluster's largest component, against all rows.
 
-    A cluster of up to BLOCK n-grams is one block. A larger one is cut by level, and each level by hash into blocks
-    of about BLOCK n-grams; a block meets all blocks of its level and of the next one.
+    `members` are node, root, level, w, comp. Linked rows of one component need no product, so the largest one of a
+    cluster is multiplied with the others only. A block meets those of its level and of the levels beside it.
     """
-    rows = members.withColumn("w", F.greatest(F.col("n"), F.lit(1000)))
-    sums = rows.groupBy("root", "level").agg(F.sum("w").alias("w"))
-    total = sums.groupBy("root").agg(F.sum("w").alias("total"))
-    parts = stage(
-        sums.join(total, "root").select("root", "level", (F.col("total") <= BLOCK).alias("whole"), F.ceil(F.col("w") / BLOCK).cast("int").alias("parts")),
-        "near-parts",
-    )
-    rows = rows.join(parts, ["root", "level"])
-    plain = rows.filter("whole").select("node", F.col("root").cast("string").alias("block"))
-    cut = rows.filter("NOT whole").withColumn("nth", F.pmod(F.xxhash64("node"), F.col("parts")))
-    beside = parts.select("root", F.col("level").alias("_level"), F.col("parts").alias("_parts"))
-    near = F.expr("sequence(-1, 1)")
-    cut = cut.withColumn("_level", F.explode(near)).withColumn("_level", F.col("_level") + F.col("level"))
-    cut = cut.join(beside, ["root", "_level"]).withColumn("_nth", F.explode(F.expr("sequence(0, _parts - 1)")))
-    one = F.struct(F.col("level").alias("l"), F.col("nth").cast("int").alias("b"))
-    two = F.struct(F.col("_level").alias("l"), F.col("_nth").cast("int").alias("b"))
-    # Within a level of several blocks, a block meets itself in its pairs with the others.
-    cut = cut.filter((F.col("level") != F.col("_level")) | (F.col("parts") == 1) | (F.col("nth") != F.col("_nth")))
-    low, high = F.least(one, two), F.greatest(one, two)
-    name = F.concat_ws(":", *[c.cast("string") for c in (F.col("root"), low["l"], low["b"], high["l"], high["b"])])
-    return plain.unionByName(cut.select("node", name.alias("block")))
+    weight = members.groupBy("root", "comp").agg(F.sum("w").alias("w"))
+    largest = weight.groupBy("root").agg(F.max_by("comp", F.struct("w", "comp")).alias("_most"), F.count("*").alias("_comps"))
+    rows = members.join(largest.filter("_comps > 1"), "root")
+    rest = _blocked(rows.filter("comp != _most").select("node", "root", "level", "w"), "near-rest-parts")
+    every = _blocked(rows.select("node", "root", "level", "w"), "near-all-parts")
+    near = F.explode(F.expr("sequence(-1, 1)"))
+
+    def beside(own: DataFrame, others: DataFrame) -> DataFrame:
+        """Each row of `own` with every block of `others` in its level and beside it."""
+        blocks = others.select("root", F.col("level").alias("_level"), F.col("parts").alias("_parts")).distinct()
+        wide = own.withColumn("_step", near).withColumn("_level", F.col("level") + F.col("_step"))
+        return wide.join(blocks, ["root", "_level"]).withColumn("_nth", F.explode(F.expr("sequence(0, _parts - 1)")))
+
+    left = beside(rest, every).select("node", _name("root", "level", "nth", "_level", "_nth"))
+    right = beside(every, rest).select("node", _name("root", "_level", "_nth", "level", "nth"))
+    return left.unionByName(right)
 
 
 def near_groups(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
@@ -400,39 +529,53 @@ def near_groups(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
     def measure(texts: pa.Array) -> list[list]:
         grams, bounds = shingle_sets(words(texts, fold=True), rule.shingle)
         size = np.diff(bounds)
-        return [size.tolist(), set_names(grams, bounds).tolist(), (np.searchsorted(levels(rule), size, side="right") - 1).tolist()]
+        level = (np.searchsorted(levels(rule), size, side="right") - 1).tolist()
+        return [size.tolist(), set_names(grams, bounds).tolist(), level, [p.tobytes() for p in parities(grams, bounds)]]
 
     keyed = docs.withColumn("key", F.xxhash64("text"))
-    fields = [StructField("n_shingles", LongType()), StructField("node", LongType()), StructField("level", IntegerType())]
+    fields = [
+        StructField("n_shingles", LongType()), StructField("node", LongType()), StructField("level", IntegerType()), StructField("parity", BinaryType())
+    ]
     rows = add_columns(keyed, "text", fields, measure).drop("text")
     rows = stage(rows, "near-rows")
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     nodes = stage(
         rows.filter("n_shingles > 0").groupBy("node").agg(
-            F.min(own).alias("rep"), F.first("n_shingles").alias("n"), F.first("level").alias("level")
+            F.min(own).alias("rep"), F.first("n_shingles").alias("n"), F.first("level").alias("level"), F.first("parity").alias("parity")
         ),
         "near-nodes",
     )
     size = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     buckets = int(max(-(-size // BUCKET_BYTES), spark.sparkContext.defaultParallelism))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = docs.select("text").mapInArrow(_emitter(buckets, rule), PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    clusters = components(dealt.mapInArrow(_meet, "a long, b long"), "near-clusters")
-    members = stage(clusters.join(nodes, "node").select("node", "root", "n", "level", "rep"), "near-members")
-    # Texts of one row for each set in a cluster, small, then dealt to their row blocks. Most texts lie in no cluster;
-    # the sieve keeps those from crossing the join's shuffle.
+    met = stage(dealt.mapInArrow(_meet, LISTS), "near-lists")
+    lists = met.filter("list IS NOT NULL").select("list", "nodes", "slacks").dropDuplicates(["list"])
+    entries = lists.mapInArrow(_members, "list long, node long, slack int").join(nodes.select("node", "n", "parity"), "node")
+    entries = entries.select("list", "node", "n", "parity", "slack").repartition(width, "list").sortWithinPartitions("list")
+    edges = met.filter("a IS NOT NULL").select("a", "b").unionByName(entries.mapInArrow(_tier(rule), "a long, b long"))
+    clusters = components(edges, "near-clusters")
+    weight = F.greatest(F.col("n"), F.lit(1000)).alias("w")
+    members = stage(clusters.join(nodes, "node").select("node", "root", "level", weight, "rep"), "near-members")
+    # The text of one row for each set in a cluster, small, then dealt to its row blocks.
     none = F.lit(int(np.iinfo(np.int64).min))
     reps = members.select("node", F.coalesce("rep.doc_id", none).alias("_id"), F.col("rep.key").alias("_key"))
-    sieve = spark.sparkContext.broadcast(found := Sieve.of(reps, "_id", "_key"))
     small = keyed.filter(F.col("text").isNotNull()).select(F.coalesce("doc_id", none).alias("_id"), F.col("key").alias("_key"), "text")
-    small = small.withColumn("_bit", Sieve.place(found.size, "_id", "_key"))
-    small = small.mapInArrow(_squeezer(sieve), "_id long, _key long, small binary")
+    small = small.mapInArrow(_squeeze, "_id long, _key long, small binary")
     texts = stage(small.join(reps, ["_id", "_key"]).select("node", "small"), "near-texts")
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    multiplied = (
-        texts.join(_row_blocks(members), "node").select("block", "node", "small")
-        .repartition(width, "block").sortWithinPartitions("block", "node").mapInArrow(_multiplier(rule), "a long, b long")
-    )
-    linked_nodes = components(multiplied, "near-links")
+
+    def product(units: DataFrame) -> DataFrame:
+        dealt = texts.join(units, "node").select("block", "node", "small").repartition(width, "block")
+        return stage(dealt.sortWithinPartitions("block", "node").mapInArrow(_multiplier(rule), "a long, b long"), "near-product")
+
+    links = product(_first_units(members.select("node", "root", "w")))
+    many = members.groupBy("root").agg(F.sum("w").alias("total")).filter(F.col("total") > BLOCK).select("root")
+    if not many.isEmpty():
+        cut = members.join(many, "root").select("node", "root", "level", "w")
+        comps = components(links.join(cut.select("node"), F.col("a") == F.col("node"), "left_semi"), "near-first")
+        marked = cut.join(comps.withColumnRenamed("root", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        links = links.unionByName(product(_second_units(stage(marked, "near-marked"))))
+    linked_nodes = components(links, "near-links")
     grouped = stage(
         nodes.join(linked_nodes, "node", "left").select("node", F.coalesce("root", "node").alias("group"), "rep.doc_id"),
         "near-groups",

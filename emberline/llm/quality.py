@@ -1,7 +1,9 @@
 """Quality rules with adaptive thresholds: fences from mergeable quantile sketches per language and source.
 
 Measures are taken once per document and stored narrow; the sketches are merged from small to large groups, the
-fences are joined back, and a document is kept if no measure lies beyond its group's fences. Built-in functions only.
+fences are joined back, and a document is kept if no measure lies beyond its group's fences. Most documents have none of
+what the shares measure, so a sketch holds the part of a group that has some: there lie quartiles that tell a usual
+share from an odd one. No measure has a fixed cutoff. Built-in functions only.
 """
 
 from dataclasses import dataclass
@@ -20,15 +22,14 @@ MEASURES = ("symbol_share", "dup_line_share", "repeat_share", "word_length")
 
 @dataclass(frozen=True)
 class Fences:
-    """A fence lies `reach` interquartile ranges beyond the quartile, `room` at least (by measure).
+    """A fence lies `reach` interquartile ranges beyond the quartile.
 
-    The quartiles of a group of n documents below `least` count n / `least`, and those of its language the rest; so do
+    The quartiles of a group with n values below `least` count n / `least`, and those of its language the rest; so do
     the quartiles of a language beside those of all documents.
     """
 
     reach: float = 4.0
-    room: tuple[float, ...] = (0.2, 0.5, 0.4, 3.0)
-    least: int = 200
+    least: int = 50
     k: int = 200
 
 
@@ -114,38 +115,45 @@ def base_failed() -> Column:
 
 
 def fences(measured: DataFrame, rule: Fences = Fences()) -> DataFrame:
-    """Fences per (lang, source): columns lang, source, low_<measure> and high_<measure>.
+    """Fences per (lang, source): columns lang, source, low_<measure> and high_<measure>; null where no document has any
+    of the measure.
 
-    Sketches are built over the rows that pass the base rules, merged from (lang, source) to languages and to all.
+    Sketches are built over the values above 0 of rows that pass the base rules, merged from (lang, source) to languages
+    and to all.
     """
-    kinds = [F.kll_sketch_agg_double(F.col(m), F.lit(rule.k)).alias(m) for m in MEASURES]
-    groups = measured.filter(~base_failed()).groupBy("lang", "source").agg(F.count("*").alias("n"), *kinds)
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(rule.k)).alias(m) for m in MEASURES]]
+    part = {m: F.when(F.col(m) > 0, F.col(m)) for m in MEASURES}
+    kinds = [F.kll_sketch_agg_double(v, F.lit(rule.k)).alias(m) for m, v in part.items()]
+    numbers = [F.count(v).alias(f"n_{m}") for m, v in part.items()]
+    groups = measured.filter(~base_failed()).groupBy("lang", "source").agg(*numbers, *kinds)
+    merged = [
+        c for m in MEASURES for c in (F.sum(f"n_{m}").alias(f"n_{m}"), F.kll_merge_agg_double(m, F.lit(rule.k)).alias(m))
+    ]
 
     def bounds(name: str) -> list[Column]:
-        return [
-            F.kll_sketch_get_quantile_double(F.col(m), F.lit(q)).alias(f"{name}_{m}_{at}")
-            for m in MEASURES
-            for at, q in (("q1", 0.25), ("q3", 0.75))
-        ]
+        out = [F.col(f"n_{m}").alias(f"{name}_n_{m}") for m in MEASURES]
+        for m in MEASURES:
+            for at, q in (("q1", 0.25), ("q3", 0.75)):
+                value = F.when(F.col(f"n_{m}") > 0, F.kll_sketch_get_quantile_double(F.col(m), F.lit(q)))
+                out.append(value.alias(f"{name}_{m}_{at}"))
+        return out
 
     groups = stage(groups, "quality-sketches")
     by_lang = groups.groupBy(F.col("lang").alias("_lang")).agg(*merged)
     overall = groups.agg(*merged)
-    own = groups.select("lang", "source", F.col("n").alias("own_n"), *bounds("own"))
-    wide = by_lang.select("_lang", F.col("n").alias("lang_n"), *bounds("lang"))
-    # One row; an inner join on nothing would drop all groups if there is none, so it is a left join on truth.
-    every = overall.filter(F.col("n") > 0).select(*bounds("all"))
-    share = lambda n: F.least(F.lit(1.0), F.col(n) / F.lit(rule.least))
-    blend = lambda part, inner, outer: part * inner + (1 - part) * outer
+    own = groups.select("lang", "source", *bounds("own"))
+    wide = by_lang.select("_lang", *bounds("lang"))
+    every = overall.select(*bounds("all"))  # one row
     rows = own.join(wide, F.col("lang").eqNullSafe(F.col("_lang"))).join(every, F.lit(True), "left")
+
+    def blend(name: str, m: str, at: str, outer: Column) -> Column:
+        """The group's quartile by its number of values, the outer group's for the rest; a side without any has no say."""
+        share, inner = F.least(F.lit(1.0), F.col(f"{name}_n_{m}") / F.lit(rule.least)), F.col(f"{name}_{m}_{at}")
+        return F.coalesce(share * inner + (1 - share) * outer, inner, outer)
+
     out = [F.col("lang"), F.col("source")]
-    for m, room in zip(MEASURES, rule.room, strict=True):
-        q1, q3 = (
-            blend(share("own_n"), F.col(f"own_{m}_{at}"), blend(share("lang_n"), F.col(f"lang_{m}_{at}"), F.col(f"all_{m}_{at}")))
-            for at in ("q1", "q3")
-        )
-        width = F.greatest(rule.reach * (q3 - q1), F.lit(room))
+    for m in MEASURES:
+        q1, q3 = (blend("own", m, at, blend("lang", m, at, F.col(f"all_{m}_{at}"))) for at in ("q1", "q3"))
+        width = rule.reach * (q3 - q1)
         out += [(q1 - width).alias(f"low_{m}"), (q3 + width).alias(f"high_{m}")]
     return rows.select(*out)
 

@@ -41,9 +41,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
-    taken = (F.col("size") * F.size("draws")).alias("taken")
-    return plan.select("doc_id", "size", "source_size", "target", taken)
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

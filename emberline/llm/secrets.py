@@ -1,15 +1,17 @@
 """Secret scans: strong matches stand alone, weak parts count only beside their complements. Built-in functions only.
 
 Strong kinds are the base patterns. Weak parts are access identifiers, secret-like values and endpoints; each alone is
-too common to report. Parts of one text are linked by an interval join on a grid: a part lies in the cell of its start,
-and its scope is that cell and the two beside it. The cells of a role are a sorted distinct list, so a part is looked
-up in lists of cells and no pair of parts is ever built. Nothing is shuffled.
+too common to report. Parts of one text are linked by an interval join: two are in one scope if their starts lie at
+most SCOPE code points apart, wherever in the text they stand. All parts of a text are sorted by start, and one sweep
+forward and one backward carry the nearest part of each role along, so no pair of parts is built. A sweep works by
+doubling: round k joins what lies 2**k places apart, and n parts take log n rounds. Nothing is shuffled.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SCOPE = 256
+#: Code points between the starts of two parts that belong together, at most.
+SCOPE = 400
 
 # --- Fixed values: base patterns, in the order in which kinds are listed ----------------
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -39,20 +41,29 @@ def _matches(pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
 
 
+def _sweep(values: str, joined: str, ahead: bool = False) -> str:
+    """Each entry joined with all before it (or behind it, if `ahead`). `joined` is an expression of `a` and `b`, where
+    `b` may be null: there is none."""
+    other = f"get(acc, i {'+' if ahead else '-'} shiftleft(1, k))"
+    step = joined.replace("{b}", other).replace("{a}", "v")
+    return (
+        f"transform(array({values}), x -> aggregate(sequence(0, cast(floor(log2(greatest(size(x), 1))) AS int)), x, "
+        f"(acc, k) -> transform(acc, (v, i) -> {step})))[0]"
+    )
+
+
 def _spans(kind: str, pattern: str, found: str, keep: str = "true") -> Column:
     """Code point spans of the matches in column `found`: gaps between matches come from a split at the pattern.
 
-    `keep` is a condition on `m` (the match) and `i` (its number). Matches that fail it are dropped, not retried.
+    `keep` is a condition on `m` (the match). Matches that fail it are dropped, not retried.
     """
     literal = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    # The split is bound once, as the one entry of an array; the fold adds up gaps and matches.
+    # A match ends where all gaps and matches up to it end. Split and ends are bound once, as the one entry of an array.
+    ends = _sweep(f"transform({found}, (m, i) -> length(g[i]) + length(m))", "{a} + coalesce({b}, 0)")
+    span = f"named_struct('start', e[i] - length(m), 'rank', {KINDS.index(kind)}, 'end', e[i], 'kind', '{kind}')"
     fold = (
-        f"transform(array(split(text, '{literal}')), g -> aggregate({found}, "
-        f"named_struct('i', 0, 'at', 0, 'out', cast(array() AS {SPAN})), (a, m) -> named_struct("
-        "'i', a.i + 1, 'at', a.at + length(g[a.i]) + length(m), 'out', "
-        f"CASE WHEN {keep} THEN concat(a.out, array(named_struct('start', a.at + length(g[a.i]), "
-        f"'rank', {KINDS.index(kind)}, 'end', a.at + length(g[a.i]) + length(m), 'kind', '{kind}'))) ELSE a.out END), "
-        "a -> a.out))[0]"
+        f"transform(array(split(text, '{literal}')), g -> transform(array({ends}), e -> "
+        f"filter(transform({found}, (m, i) -> CASE WHEN {keep} THEN {span} END), s -> s IS NOT NULL))[0])[0]"
     )
     return F.expr(f"CASE WHEN size({found}) = 0 THEN cast(array() AS {SPAN}) ELSE {fold} END")
 
@@ -61,8 +72,32 @@ def _digest_form(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def _cells(spans: Column) -> Column:
-    return F.array_distinct(F.transform(spans, lambda s: F.floor(s["start"] / SCOPE)))
+def _strong(span: str) -> str:
+    return f"{span}.rank < {KINDS.index('identifier')}"
+
+
+def _of_role(span: str, role: str) -> str:
+    kinds = [role, *[k for k, r in STRONG_ROLE.items() if r == role]]
+    return f"{span}.kind IN ({', '.join(repr(k) for k in kinds)})"
+
+
+def _clear(spans: str) -> str:
+    """The strong spans, and the weak ones that overlap none of them; `spans` are sorted."""
+    ends = _sweep(f"transform({spans}, s -> CASE WHEN {_strong('s')} THEN s.end END)", "greatest({a}, {b})")
+    starts = _sweep(f"transform({spans}, s -> CASE WHEN {_strong('s')} THEN s.start END)", "least({a}, {b})", True)
+    alone = f"{_strong('s')} OR NOT (coalesce(e[i] > s.start, false) OR coalesce(n[i] < s.end, false))"
+    return f"transform(array({ends}), e -> transform(array({starts}), n -> filter({spans}, (s, i) -> {alone}))[0])[0]"
+
+
+def _nearest(spans: str, role: str) -> Column:
+    """For each span, whether a part of the role starts at most SCOPE before or behind its start."""
+    own = f"transform({spans}, s -> CASE WHEN {_of_role('s', role)} THEN s.start END)"
+    before, behind = _sweep(own, "greatest({a}, {b})"), _sweep(own, "least({a}, {b})", True)
+    near = f"coalesce(s.start - e[i] <= {SCOPE}, false) OR coalesce(n[i] - s.start <= {SCOPE}, false)"
+    return F.expr(
+        f"CASE WHEN _any THEN transform(array({before}), e -> transform(array({behind}), n -> "
+        f"transform({spans}, (s, i) -> {near}))[0])[0] END"
+    )
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -94,27 +129,14 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     rows = rows.select("_row", "text", F.array_sort("_base").alias("base"), *[_matches(p).alias(f"_{r}") for r, p in WEAK.items()])
     rows = rows.select("_row", "base", *[_spans(r, p, f"_{r}").alias(f"_{r}") for r, p in WEAK.items()])
     any_weak = F.expr(" + ".join(f"size(_{r})" for r in WEAK)) > 0
-    clear = lambda role: F.filter(
-        f"_{role}", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))
-    )
-    rows = rows.select("_row", "base", any_weak.alias("_any"), *[clear(r).alias(f"_{r}") for r in WEAK])
-
-    def of_role(role: str) -> Column:
-        strong = [k for k, r in STRONG_ROLE.items() if r == role]
-        return F.concat(F.filter("base", lambda b: b["kind"].isin(*strong)) if strong else F.col(f"_{role}"), f"_{role}")
-
-    rows = rows.select("*", *[F.when(F.col("_any"), _cells(of_role(r))).alias(f"_at_{r}") for r in WEAK])
-
-    def near(role: str, span: Column) -> Column:
-        cell = F.floor(span["start"] / SCOPE)
-        return F.array_contains(f"_at_{role}", cell) | F.array_contains(f"_at_{role}", cell - 1) | F.array_contains(f"_at_{role}", cell + 1)
-
-    linked = F.concat(
-        F.filter("_identifier", lambda w: near("secret", w)),
-        F.filter("_secret", lambda w: near("identifier", w) | near("endpoint", w)),
-        F.filter("_endpoint", lambda w: near("identifier", w) & near("secret", w)),
+    rows = rows.select("_row", "base", any_weak.alias("_any"), F.array_sort(F.concat("base", *[f"_{r}" for r in WEAK])).alias("_all"))
+    rows = rows.select("_row", "base", "_any", F.expr(f"CASE WHEN _any THEN {_clear('_all')} END").alias("_all"))
+    rows = rows.select("*", *[_nearest("_all", r).alias(f"_near_{r}") for r in WEAK])
+    linked = (
+        f"{_strong('s')} OR CASE s.kind WHEN 'identifier' THEN _near_secret[i] "
+        "WHEN 'secret' THEN _near_identifier[i] OR _near_endpoint[i] ELSE _near_identifier[i] AND _near_secret[i] END"
     )
-    spans = F.when(F.col("_any"), F.array_sort(F.concat("base", linked))).otherwise(F.col("base"))
+    spans = F.expr(f"CASE WHEN _any THEN filter(_all, (s, i) -> {linked}) ELSE base END")
     return rows.select("_row.*", "base", spans.alias("spans"))
 
 

@@ -2,6 +2,7 @@ import collections
 import random
 
 import numpy as np
+import pytest
 
 from emberline.llm import neardup
 from emberline.llm.graph import array_components, components
@@ -17,7 +18,7 @@ def sets_of(docs):
     return out
 
 
-def brute(docs):
+def brute(docs, part=85):
     sets = sets_of(docs)
     root = list(range(len(docs)))
 
@@ -29,7 +30,7 @@ def brute(docs):
     for i, a in enumerate(sets):
         for j in range(i):
             both = len(a & sets[j])
-            if both and 100 * both >= 85 * len(a | sets[j]):
+            if both and 100 * both >= part * len(a | sets[j]):
                 root[find(i)] = find(j)
     least = collections.defaultdict(lambda: 10**18)
     for i, (d, _) in enumerate(docs):
@@ -63,10 +64,83 @@ def test_families_and_odd_texts(spark):
     assert rows_of(neardup.near_duplicates(texts(spark, docs).repartition(3))) == brute(docs)
 
 
-def test_row_blocks_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "BLOCK", 8_000)
+@pytest.mark.parametrize("limits", [dict(BLOCK=8_000), dict(BLOCK=3_000, LIST=5), dict(LIST=2), dict(FOLD=500)])
+def test_blocks_and_lists_of_any_size_lose_no_link(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(neardup, name, value)
     docs = copies(6, families=4, each=30)
-    assert rows_of(neardup.near_duplicates(texts(spark, docs))) == brute(docs)
+    assert rows_of(neardup.near_duplicates(texts(spark, docs).repartition(3))) == brute(docs)
+
+
+def passages(seed, n):
+    """Texts of which most share one long passage without being near copies, and some that are."""
+    rng, docs = random.Random(seed), []
+    passage = [f"p{i}" for i in range(30)]
+    for d in range(n):
+        own = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(3, 40))]
+        w = own + passage if d % 5 else own
+        docs.append((3 * d, " ".join(w)))
+        if d % 7 == 0:
+            docs.append((3 * d + 1, " ".join(w + ["z"])))
+    return docs
+
+
+@pytest.mark.parametrize("part", [85, 80])
+def test_a_shared_passage_makes_no_cluster(spark, monkeypatch, part):
+    docs, sizes = passages(3, 400), []
+    whole = neardup._first_units
+
+    def seen(members):
+        sizes.append(members.groupBy("root").count().agg({"count": "max"}).first()[0])
+        return whole(members)
+
+    monkeypatch.setattr(neardup, "_first_units", seen)
+    found = neardup.near_groups(texts(spark, docs).repartition(4), neardup.Rule(shingle=4, part=part))
+    assert rows_of(found.select("doc_id", "n_shingles", "component_id")) == brute(docs, part)
+    # Hundreds of texts share signatures through the passage; few of them are held for possible copies.
+    assert sizes[0] <= 12
+
+
+def random_sets(rng, n, size):
+    """Sets that are copies of a few with some members changed."""
+    bases = [rng.integers(0, 2**62, size) for _ in range(3)]
+    out = []
+    for _ in range(n):
+        own = bases[rng.integers(0, 3)].copy()
+        change = rng.integers(0, max(1, size // 3))
+        own[rng.integers(0, size, change)] = rng.integers(0, 2**62, change)
+        out.append(np.unique(own[: size - rng.integers(0, size // 6 + 1)].astype(np.uint64)))
+    return out
+
+
+@pytest.mark.parametrize("size", [8, 40, 300])
+def test_folding_and_parities_keep_linked_sets_tied(size):
+    """Whatever task a set is in, linked sets that share a signature end up in one cluster."""
+    rng = np.random.default_rng(size)
+    for _ in range(30):
+        grams = random_sets(rng, 24, size)
+        bounds = np.concatenate(([0], np.cumsum([len(g) for g in grams])))
+        flat = np.concatenate(grams)
+        n, parity, node = np.diff(bounds), neardup.parities(flat, bounds), neardup.set_names(flat, bounds)
+        links = [
+            (i, j) for i in range(24) for j in range(i)
+            if neardup.linked(np.array([len(np.intersect1d(grams[i], grams[j]))]), n[[i]], n[[j]])[0]
+        ]
+        for i, j in links:
+            assert neardup.apart(parity[i], parity[j]) <= neardup.reach(n[i], n[j])
+        task = rng.integers(0, 3, 24)
+        a, b, rest = [], [], []
+        for t in range(3):
+            own = np.flatnonzero(task == t)
+            _, row, slack, x, y = neardup.fold(np.zeros(len(own), np.uint64), own, node, n, parity, neardup.RULE)
+            a.append(x)
+            b.append(y)
+            rest += list(zip(row.tolist(), slack.tolist(), strict=True))
+        row, slack = (np.array(c) for c in zip(*rest, strict=True))
+        x, y = neardup.tied(node[row], n[row], parity[row], slack, neardup.RULE)
+        nodes, roots = array_components(np.concatenate([*a, x, node]), np.concatenate([*b, y, node]))
+        root = dict(zip(nodes.tolist(), roots.tolist(), strict=True))
+        assert all(root[int(node[i])] == root[int(node[j])] for i, j in links)
 
 
 def test_linked_sets_share_a_signature():

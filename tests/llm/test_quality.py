@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -50,6 +51,47 @@ def test_fences_follow_the_group(spark):
     assert not got[2000]["kept"] and not got[2000]["base_failed"] and got[2001]["kept"] and got[2002]["base_failed"]
 
 
+def test_fences_follow_the_spread_of_the_group(spark):
+    """Two groups about the same middle, one of them wide: what is odd in the one is usual in the other."""
+    rng = random.Random(3)
+
+    def text(length):
+        sizes = [rng.choice((length - 1, length, length + 1)) for _ in range(60)]
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(max(1, n))) for n in sizes)
+
+    rows = [(i, text(6), "en", "narrow") for i in range(300)] + [(1000 + i, text(rng.choice((4, 6, 8, 10))), "en", "wide") for i in range(300)]
+    rows += [(2000 + n, text(10), "en", s) for n, s in enumerate(("narrow", "wide"))]
+    got = {r["doc_id"]: r["kept"] for r in quality.quality(texts(spark, rows, SCHEMA)).collect()}
+    assert sum(got[i] for i in range(300)) >= 298 and all(got[1000 + i] for i in range(300))
+    assert not got[2000] and got[2001]
+
+
+def test_no_cutoff_is_fixed(spark):
+    """Whatever scale a share has in a group, its fences scale with it."""
+    def noisy(i, every):
+        return " ".join(f"{w}{'|' * (1 + i % 3)}" if j % every == 0 else w for j, w in enumerate(prose(i).split()))
+
+    rows = [(i, noisy(i, 2), "en", "loud") for i in range(200)] + [(1000 + i, noisy(i, 20), "en", "quiet") for i in range(200)]
+    rows += [(2000, noisy(2, 1), "en", "loud"), (2001, noisy(2, 2), "en", "quiet")]
+    found = quality.quality(texts(spark, rows, SCHEMA))
+    limits = {r["source"]: r["high_symbol_share"] for r in quality.fences(quality.measures(texts(spark, rows, SCHEMA))).collect()}
+    assert limits["quiet"] < 0.3 * limits["loud"]
+    got = {r["doc_id"]: r["kept"] for r in found.collect()}
+    assert all(got[i] for i in [*range(200), *range(1000, 1200), 2000]) and not got[2001]
+
+
+def test_quartiles_of_the_sketch(spark):
+    """Fences of a large group against exact quartiles of its values above 0."""
+    rows = [(i, f"{prose(i)} " + "$" * (i % 40 if i % 4 else 0), "en", "s") for i in range(2000)]
+    measured = quality.measures(texts(spark, rows, SCHEMA))
+    got = quality.fences(measured).first()
+    for m in ("symbol_share", "word_length"):
+        values = sorted(r[m] for r in measured.collect() if r[m] > 0)
+        q1, q3 = values[len(values) // 4], values[3 * len(values) // 4]
+        assert abs(got[f"high_{m}"] - (q3 + 4 * (q3 - q1))) < 0.1 * (q3 + 4 * (q3 - q1))
+    assert got["high_dup_line_share"] is None
+
+
 def test_small_groups_count_by_their_documents(spark):
     long = lambda i: " ".join(f"{w}abcd" for w in prose(i).split())
     rows = [(i, prose(i), "en", "a") for i in range(500)] + [(1000 + i, long(i), "en", "b") for i in range(100)]
