@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 
 from emberline.config import Settings
 from emberline.functions.moments import AsOf, hours_before
-from emberline.operators.normalise import fill_hot_text, harmonise_hot, mark_stream
+from emberline.operators.normalise import HOT, fill_hot_text, harmonise_hot, mark_stream
 from emberline.schemas import quoted
 
 # `rest` stands for a hash of all other columns: rows that agree in the named ones still have one order.
@@ -89,13 +89,44 @@ def latest_hot(bronze: DataFrame) -> DataFrame:
     return dedup(bronze, "id", LATEST_FETCH)
 
 
+# What the merge compares of a copy; the rest of it travels as one box.
+_COMPARED = ("score", "processed_ts", "num_comments", "data_source")
+
+
+def _copies(df: DataFrame, fetched: Column, rest: Column) -> DataFrame:
+    others = rest_hash([c for c in df.columns if c != "_rest"], ["id", *_COMPARED, "fetch_timestamp"]).alias("_hash")
+    return df.select("id", *_COMPARED, fetched.alias("_fetched"), others, rest.alias("_rest"))
+
+
+def _best_copies(stream: DataFrame, hot: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row an id from `_copies` of both sources: the last fetched hot copy against the best stream copy, by score.
+
+    Both winners are found in one aggregation, so a row crosses one exchange, and a task sends two copies of an id at
+    most, however many it holds. At equal score and time the hot copy wins, as its source comes first.
+    """
+    is_hot = F.col("data_source") == HOT
+    copy = F.struct(*_COMPARED, "_rest")
+    # A null order takes no part, so each side sees its own source only.
+    last = F.when(is_hot, F.struct("_fetched", "score", "num_comments", "_hash"))
+    best = F.when(~is_hot, F.struct("score", "processed_ts", "num_comments", "_hash"))
+    won = stream.unionByName(hot).groupBy("id").agg(F.max_by(copy, last).alias("hot"), F.max_by(copy, best).alias("stream"))
+    rank = lambda side: F.struct(F.col(f"{side}.score"), F.col(f"{side}.processed_ts"))
+    hot_wins = F.col("stream").isNull() | (F.col("hot").isNotNull() & (rank("hot") >= rank("stream")))
+    rows = won.select("id", F.when(hot_wins, F.col("hot")).otherwise(F.col("stream")).alias("_won"))
+    return _unboxed(rows.select("id", "_won.*"), columns)
+
+
 def merge_sources(silver: DataFrame, bronze: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """All posts of both sources, the best-scored copy of each id.
 
-    Hot texts are cleaned after the dedup: neither the losers nor the cleaned text cross the shuffle.
+    Hot texts are cleaned after the merge: neither the losers nor the cleaned text cross the shuffle.
     """
-    hot = harmonise_hot(latest_hot(bronze), cfg, with_text=False)
-    return fill_hot_text(dedup(mark_stream(silver).unionByName(hot)))
+    hot = harmonise_hot(bronze, cfg, False, "fetch_timestamp")
+    stream = mark_stream(silver)
+    rest = F.expr(_rest(stream.columns, ["id", *_COMPARED]))
+    none = F.lit(None).cast("string")
+    copies = _copies(stream, none, rest), _copies(hot, F.col("fetch_timestamp"), rest)
+    return fill_hot_text(_best_copies(*copies, stream.columns))
 
 
 def merge_history(
@@ -110,9 +141,11 @@ def merge_history(
     # Every boxed column is used later: a half-used box would be opened before the shuffle.
     used = bronze.drop("created_utc", "is_original_content", "fetch_source", "fetch_hour", "has_media")
     copies = box_history(used, "fetch_ts", since, ["id", "fetch_timestamp", "fetch_ts", "score", "num_comments"])
-    hot = harmonise_hot(_unboxed(latest_hot(copies), used.columns), cfg, with_text=False)
-    keep = ["id", "processed_ts", "score", "num_comments", "data_source"]
-    rest = F.when(F.col("processed_ts") >= since, F.expr(_rest(hot.columns, keep)))
-    boxed = hot.select(*keep, rest.alias("_rest"))
+    hot = harmonise_hot(_unboxed(copies, used.columns), cfg, False, "fetch_timestamp")
+    keep = ["id", *_COMPARED]
+    rest = F.when(F.col("processed_ts") >= since, F.expr(_rest([c for c in hot.columns if c != "fetch_timestamp"], keep)))
     stream = box_history(mark_stream(silver), "processed_ts", since, keep)
-    return fill_hot_text(_unboxed(dedup(stream.unionByName(boxed)), hot.columns))
+    columns = [c for c in hot.columns if c != "fetch_timestamp"]
+    none = F.lit(None).cast("string")
+    pair = _copies(stream, none, F.col("_rest")), _copies(hot, F.col("fetch_timestamp"), rest)
+    return fill_hot_text(_best_copies(*pair, columns))

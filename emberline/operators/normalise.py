@@ -75,20 +75,20 @@ def add_bronze_derived(df: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
-def to_common(df: DataFrame) -> DataFrame:
-    """The common columns in order; refuses a column whose type would be coerced by a later union."""
+def to_common(df: DataFrame, *also: str) -> DataFrame:
+    """The common columns in order, and those named in `also`; refuses a column whose type would be coerced by a later union."""
     wrong = mismatches(df.schema, COMMON)
     if wrong:
         raise TypeError("not a common post table: " + "; ".join(wrong))
-    return df.selectExpr(*COMMON.names)
+    return df.selectExpr(*COMMON.names, *also)
 
 
 def mark_source(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn("data_source", F.lit(name))
 
 
-def harmonise_hot(df: DataFrame, cfg: Settings = Settings(), with_text: bool = True) -> DataFrame:
-    """Bronze rows in the common layout. `has_media` follows `is_video`, null included.
+def harmonise_hot(df: DataFrame, cfg: Settings = Settings(), with_text: bool = True, *also: str) -> DataFrame:
+    """Bronze rows in the common layout, and the columns named in `also`. `has_media` follows `is_video`, null included.
 
     Without text the text features stay null, to be filled by `fill_hot_text` for the rows that are left.
     """
@@ -108,9 +108,7 @@ def harmonise_hot(df: DataFrame, cfg: Settings = Settings(), with_text: bool = T
     )
     texts = text_features(renamed) if with_text else renamed.withColumns(no_text_features())
     features = time_features(engagement_features(texts, cfg))
-    return to_common(
-        mark_source(features, HOT).drop("fetch_timestamp", "fetch_source", "fetch_hour", "is_self")
-    )
+    return to_common(mark_source(features, HOT), *also)
 
 
 def no_text_features() -> dict[str, Column]:

@@ -9,7 +9,6 @@ from emberline.config import Settings
 from emberline.functions.scoring import already_viral, label_columns
 from emberline.functions.moments import AsOf
 from emberline.operators.ranking import attach_scalars, stamp
-from emberline.operators.dedup import BEST_SCORE, dedup
 from emberline.operators.selection import exclude_ids, recent
 from emberline.schemas import PREDICTION
 
@@ -91,13 +90,8 @@ def similarity(
 
 
 def candidates(silver: DataFrame, archetypes: DataFrame, as_of: AsOf, cfg: Settings = Settings()) -> DataFrame:
-    """Recent stream posts that are no archetypes, one row an id.
-
-    The stream remembers an id for a time span only: a copy that comes later is stored again, and must not be scored
-    again. Of several copies the best one counts, in the same order as in the merge.
-    """
-    rows = exclude_ids(recent(silver, as_of, cfg.lookback_hours, by_day=True), archetypes)
-    return dedup(rows, "id", [k for k in BEST_SCORE if not k.startswith("data_source")])
+    """Recent stream posts that are no archetypes. Every stored row is scored: the intake stores an id once."""
+    return exclude_ids(recent(silver, as_of, cfg.lookback_hours, by_day=True), archetypes)
 
 
 def viral_flag(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:

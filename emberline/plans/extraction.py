@@ -54,11 +54,15 @@ def run_extraction(
 ) -> DataFrame:
     """Write archetypes, embedding input, embeddings and the run summary; return the summary.
 
-    A damaged Bronze file fails the run. A `tolerant` run leaves such files out and counts them in the summary.
+    A damaged Bronze file fails the run. A `tolerant` run goes on without what cannot be read; its summary counts the
+    files that are damaged, and the rows that their footers promise and no read delivers.
     """
     silver = read_table(spark, silver_path, SILVER, fmt)
     bronze = require_rows(read_batches(spark, bronze_root, tolerant=tolerant), "no hot posts batch can be read")
-    skipped = skipped_files(spark, bronze_root).count() if tolerant else 0
+    skipped, lost = 0, 0
+    if tolerant:
+        damage = skipped_files(spark, bronze_root).agg(F.count("*"), F.coalesce(F.sum("lost"), F.lit(0))).first()
+        skipped, lost = damage
     staged, merged = stage_recent(silver, bronze, as_of, cfg)
     found = archetypes_of(staged, as_of, cfg)
     # Checked before the write: an empty run must not replace the last archetypes.
@@ -68,6 +72,6 @@ def run_extraction(
     write_gold(embedding_rows(tfidf_vectors(archetypes, cfg.tfidf_dims)), embeddings_path, fmt)
     window = recent_window(staged, as_of, cfg)
     summary = extraction_summary(merged.get["rows"], window, viral_tiered(window, cfg), archetypes, as_of, cfg)
-    summary = summary.withColumn("skipped_files", F.lit(skipped).cast("long"))
+    summary = summary.withColumns({"skipped_files": F.lit(skipped).cast("long"), "lost_rows": F.lit(lost).cast("long")})
     write_summary(summary, f"{archetypes_path}/_summary")
     return summary

@@ -363,6 +363,16 @@ FROM copies""",
         "bronze_batch_list": f"""WITH {_SUBMISSION},{_COPIES}
 SELECT CASE copy WHEN 0 THEN '2024-01-30_18-00' ELSE '2024-01-31_00-00' END AS batch, count(*) AS posts
 FROM copies GROUP BY 1""",
+        "bronze_skipped_files": f"""WITH {_SUBMISSION},{_COPIES},
+stored AS (
+  SELECT CASE copy WHEN 0 THEN '2024-01-30_18-00' ELSE '2024-01-31_00-00' END AS batch, subreddit, count(*) AS n
+  FROM copies GROUP BY ALL)
+SELECT batch, subreddit, n AS promised, n AS delivered, 0 AS lost FROM stored
+UNION ALL
+SELECT '2024-02-01_00-00', subreddit, n, 0, n FROM stored
+WHERE batch = '2024-01-31_00-00' AND subreddit = (SELECT min(lang) FROM documents)
+UNION ALL
+SELECT '2024-02-01_00-00', 'none', NULL, 0, NULL""",
         "date_range": """SELECT CAST(min(ts)::DATE AS VARCHAR) AS min_date, CAST(max(ts)::DATE AS VARCHAR) AS max_date
 FROM events""",
         "hot_dedup_latest": f"""WITH {_SUBMISSION},{_COPIES},{_HOT}
@@ -475,6 +485,20 @@ SELECT {_prediction_columns(_AS_OF)} FROM predicted WHERE viral_potential_label
 SELECT viral_potential_label, count(*) AS count FROM predicted GROUP BY 1""",
         "stream_silver": f"""WITH {_SUBMISSION},{_STREAM_SILVER}
 {_common("(SELECT *, '' AS data_source FROM silver)").replace(", data_source", "")}""",
+        "stream_survivors": f"""WITH {_SUBMISSION}
+SELECT id, score + moved AS score, ups,
+       {_r("(score + moved) * 0.5e0 + num_comments * 0.3e0 + total_awards_received * 0.2e0")} AS engagement_score
+FROM (SELECT *, CASE WHEN event_type = 'purchase' THEN greatest(event_id % 9 - 4, 0) ELSE 0 END AS moved
+      FROM submission WHERE event_type <> 'error')""",
+        "stream_ledger": f"""WITH {_SUBMISSION},{_MESSAGES}
+SELECT count(*) AS processed, count(*) FILTER (event_type <> 'error') AS sent,
+       count(*) FILTER (event_type = 'error') AS failed,
+       count(DISTINCT id) FILTER (event_type <> 'error') AS stored
+FROM deliveries""",
+        "stream_progress": f"""WITH {_SUBMISSION},{_MESSAGES}
+SELECT count(*) AS processed, count(*) FILTER (event_type <> 'error') AS sent,
+       count(*) FILTER (event_type = 'error') AS failed, 0 AS late
+FROM deliveries""",
         "stream_quarantine": f"""WITH {_SUBMISSION},{_MESSAGES}
 SELECT {_t("ts")} AS timestamp, id FROM deliveries WHERE event_type = 'error'""",
         "stream_counters": f"""WITH {_SUBMISSION},{_MESSAGES}
@@ -484,6 +508,11 @@ SELECT {_t("date_trunc('minute', ts)")} AS window_start, count(*) AS processed,
 FROM deliveries GROUP BY date_trunc('minute', ts)""",
     }
     sql["landing_to_bronze"] = sql["bronze_roundtrip"]
+    # Stored and read again, another way in, another name for the table: the rows are the same.
+    sql["stored_embedding_prep"] = sql["embedding_prep"]
+    sql["stored_embeddings"] = sql["tfidf_vectors"]
+    sql["stream_from_files"] = sql["stream_silver"]
+    sql["sql_external_table"] = sql["sql_label_counts"]
     # The chain sees the messages that are whole: errors arrive cut off.
     whole = "  FROM submission),\nsilver"
     assert whole in sql["predictions"]

@@ -3,6 +3,7 @@
 `comparable` gives doubles nine places and writes times as text, so results compare across engines.
 """
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -15,12 +16,12 @@ from emberline.config import Criteria, Settings
 from emberline.operators import audits, dedup, normalise, reports, selection, similarity, textfeatures
 from emberline.operators.ranking import viral_maxima, viral_scores
 from emberline.plans import extraction, intake, prediction, summaries, views
-from emberline.schemas import LANDING, LISTING, STORED_PREDICTION
+from emberline.schemas import EMBEDDING, LANDING, LISTING, STORED_PREDICTION
 from emberline.session import scratch_path, stage
 from emberline.sinks.tables import register_views, write_bronze, write_predictions
 from emberline.sources import testbed
-from emberline.sources.tables import list_batches, read_batches, read_table
-from emberline.streaming import counters, posts
+from emberline.sources.tables import file_audit, list_batches, read_batches, read_optional, read_table
+from emberline.streaming import counters, intake as messages_in, posts
 
 AS_OF = testbed.AS_OF
 CFG = testbed.SETTINGS
@@ -167,6 +168,20 @@ def bronze_batch_list(spark, sf_dir):
     return list_batches(spark, bronze_batches(spark, sf_dir))
 
 
+def bronze_skipped_files(spark, sf_dir):
+    """Both fetches and a third batch: damaged copies of all files of one subreddit, and a file that is no Parquet.
+
+    Rows that the footers promise and rows that a tolerant read of all columns delivers.
+    """
+    root = bronze_batches(spark, sf_dir)
+    least = testbed.documents_table(spark, sf_dir).agg(F.min("lang")).first()[0]
+    day = "fetch_date=2024-01-31"
+    testbed.damaged_copies(spark, f"{root}/2024-01-31_00-00/{day}/subreddit={least}", f"{root}/2024-02-01_00-00/{day}/subreddit={least}")
+    testbed.no_parquet(spark, f"{root}/2024-02-01_00-00/{day}/subreddit=none/part-0.parquet")
+    sums = [F.sum(c).alias(c) for c in ("promised", "delivered", "lost")]
+    return file_audit(spark, root).groupBy("batch", "subreddit").agg(*sums)
+
+
 # --- merge and selection ------------------------------------------------------------------
 
 
@@ -266,15 +281,37 @@ def embedding_prep(spark, sf_dir):
 
 
 def tfidf_vectors(spark, sf_dir):
-    """The embedding rows, their vectors unfolded to the entries that are not 0."""
-    rows = textfeatures.embedding_rows(textfeatures.tfidf_vectors(archetypes(spark, sf_dir), CFG.tfidf_dims))
+    return unfolded(textfeatures.embedding_rows(textfeatures.tfidf_vectors(archetypes(spark, sf_dir), CFG.tfidf_dims)))
+
+
+def tfidf_terms(spark, sf_dir):
+    return textfeatures.tfidf_terms(archetypes(spark, sf_dir))
+
+
+def stored_gold(spark: SparkSession, sf_dir: str) -> str:
+    """An extraction run on stored Silver and Bronze: the folder of its embeddings."""
+    silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    testbed.silver(spark, sf_dir).write.partitionBy("processing_date").parquet(silver)
+    extraction.run_extraction(spark, silver, bronze_batches(spark, sf_dir), f"{gold}/archetypes", f"{gold}/embeddings", AS_OF, CFG)
+    return f"{gold}/embeddings"
+
+
+def stored_embedding_prep(spark, sf_dir):
+    """The embedding input as the extraction stores it."""
+    rows = spark.read.parquet(stored_gold(spark, sf_dir) + "_prep")
+    return digest(rows, "selftext", "text_combined", "embedding_text")
+
+
+def unfolded(rows: DataFrame) -> DataFrame:
+    """Embedding rows, their vectors unfolded to the entries that are not 0."""
     entries = F.posexplode(vector_to_array("tfidf_features")).alias("bucket", "weight")
     others = [c for c in rows.columns if c != "tfidf_features"]
     return rows.select(*others, entries).filter(F.col("weight") != 0)
 
 
-def tfidf_terms(spark, sf_dir):
-    return textfeatures.tfidf_terms(archetypes(spark, sf_dir))
+def stored_embeddings(spark, sf_dir):
+    """The embeddings as the extraction stores them, and as the prediction reads them."""
+    return unfolded(read_optional(spark, stored_gold(spark, sf_dir), EMBEDDING))
 
 
 def extraction_summary(spark, sf_dir):
@@ -371,6 +408,14 @@ def _on_view(sql: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def sql_external_table(spark, sf_dir):
+    """Labels counted in the external table that lies over the stored predictions."""
+    path, database = scratch_path(spark, "predictions"), f"emberline_{uuid.uuid4().hex}"
+    write_predictions(predictions(spark, sf_dir), path, AS_OF)
+    register_views(spark, path, database=database)
+    return spark.sql(views.LABEL_COUNTS.format(view=f"`{database}`.viral_predictions"))
+
+
 # --- the whole chain --------------------------------------------------------------------------------
 
 
@@ -399,9 +444,7 @@ def landing_to_bronze(spark, sf_dir):
 
 def pipeline_predictions(spark, sf_dir):
     """Messages to the stream table, two hot fetches, extraction, prediction, and the published view."""
-    silver, checkpoint = scratch_path(spark, "silver"), scratch_path(spark, "silver-checkpoint")
-    good, _ = posts.split_malformed(messages(spark, sf_dir))
-    posts.write_silver_stream(posts.silver_stream(good, cfg=CFG), silver, checkpoint).awaitTermination()
+    silver = intake_of(messages(spark, sf_dir), CFG)["silver"]
     root, wide = scratch_path(spark, "bronze"), CFG.but(listing_limit=10**9)
     for copy, at in enumerate(FETCHES):
         intake.run_hot_fetch(landed(spark, sf_dir, copy), testbed.requested_sources(spark, sf_dir), root, at, wide)
@@ -417,37 +460,67 @@ def pipeline_predictions(spark, sf_dir):
 # --- streaming ------------------------------------------------------------------------------------
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream of queue messages from the events file: purchases arrive twice, errors are cut off in the middle."""
-    arriving = spark.readStream.schema(testbed.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    posted = testbed.with_document(spark, sf_dir, arriving).selectExpr(*testbed.SUBMISSION, "event_type")
-    event = normalise.event_from_submission(posted, F.col("ts"), "event_type")
-    fields = F.struct(*[c for c in event.columns if c != "event_type"])
+def messages_of(spark: SparkSession, sf_dir: str, rows: DataFrame, edited: bool = False) -> DataFrame:
+    """Queue messages of event rows: purchases arrive twice, errors are cut off in the middle.
+
+    If `edited`, the copies of a purchase differ: the post's score was moved in between.
+    """
+    posted = testbed.with_document(spark, sf_dir, rows).selectExpr(*testbed.SUBMISSION, "event_type")
+    event = normalise.event_from_submission(posted, F.col("ts"), "event_type", "event_id")
+    event = event.selectExpr("*", "explode(sequence(0, if(event_type = 'purchase', 1, 0))) as delivery")
+    if edited:
+        event = event.withColumn("score", F.expr("score + delivery * (event_id % 9 - 4)"))
+    fields = F.struct(*[c for c in event.columns if c not in ("event_type", "event_id", "delivery")])
     return (
         event.withColumn("value", F.to_json(fields))
         .withColumn("value", F.expr("if(event_type = 'error', substring(value, 1, length(value) div 2), value)"))
-        .selectExpr(
-            "value",
-            "cast(ingestion_timestamp as timestamp) as timestamp",
-            "explode(array_repeat(1, if(event_type = 'purchase', 2, 1))) as delivery",
-        )
-        .drop("delivery")
+        .selectExpr("value", "cast(ingestion_timestamp as timestamp) as timestamp")
     )
 
 
+def messages(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFrame:
+    """A stream of the messages of the events file."""
+    arriving = spark.readStream.schema(testbed.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return messages_of(spark, sf_dir, arriving, edited)
+
+
+def intake_of(stream: DataFrame, cfg: Settings = Settings()) -> dict[str, str]:
+    """Take all messages in; the folders of both sinks and of the checkpoint."""
+    places = {name: scratch_path(stream.sparkSession, name) for name in ("silver", "quarantine", "checkpoint")}
+    messages_in.write_intake(stream, **places, cfg=cfg).awaitTermination()
+    return places
+
+
 def stream_silver(spark, sf_dir):
-    path, checkpoint = scratch_path(spark, "silver"), scratch_path(spark, "silver-checkpoint")
-    good, _ = posts.split_malformed(messages(spark, sf_dir))
-    posts.write_silver_stream(posts.silver_stream(good), path, checkpoint).awaitTermination()
-    return digest(posts.read_silver(spark, path), "selftext", "text_combined")
+    places = intake_of(messages(spark, sf_dir))
+    return digest(messages_in.read_silver(spark, places["silver"]), "selftext", "text_combined")
+
+
+def stream_survivors(spark, sf_dir):
+    """Of copies that differ the best one is stored."""
+    places = intake_of(messages(spark, sf_dir, edited=True))
+    return messages_in.read_silver(spark, places["silver"]).select("id", "score", "ups", "engagement_score")
+
+
+def stream_from_files(spark, sf_dir):
+    """The messages landed as lines in one folder, and followed from there."""
+    folder = scratch_path(spark, "messages")
+    messages_of(spark, sf_dir, testbed.events_table(spark, sf_dir)).select("value").write.text(folder)
+    places = intake_of(posts.read_post_stream(spark, folder))
+    return digest(messages_in.read_silver(spark, places["silver"]), "selftext", "text_combined")
 
 
 def stream_quarantine(spark, sf_dir):
-    path, checkpoint = scratch_path(spark, "quarantine"), scratch_path(spark, "quarantine-checkpoint")
-    _, bad = posts.split_malformed(messages(spark, sf_dir))
-    posts.write_quarantine(bad, path, checkpoint).awaitTermination()
+    places = intake_of(messages(spark, sf_dir))
     id_in_text = F.regexp_extract("value", '"id":"([^"]*)"', 1).alias("id")
-    return spark.read.parquet(path).select("timestamp", id_in_text)
+    return messages_in.read_quarantine(spark, places["quarantine"]).select("timestamp", id_in_text)
+
+
+def stream_ledger(spark, sf_dir):
+    """What the intake took, sent and failed, and the rows it stored, over all batches."""
+    places = intake_of(messages(spark, sf_dir))
+    ledger = messages_in.read_ledger(spark, places["checkpoint"])
+    return ledger.agg(*[F.sum(c).alias(c) for c in ("processed", "sent", "failed", "stored")])
 
 
 def stream_counters(spark, sf_dir):
@@ -457,6 +530,23 @@ def stream_counters(spark, sf_dir):
     return counters.read_counters(spark, path)
 
 
+def stream_progress(spark, sf_dir):
+    """The counts that rode on the stream, and the messages that came too late for their window."""
+    path, log, checkpoint = (scratch_path(spark, n) for n in ("counters", "progress", "counters-checkpoint"))
+    listener = counters.ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        counted = counters.stream_counters(counters.counted(messages(spark, sf_dir)))
+        counters.write_counters(counted, path, checkpoint).awaitTermination()
+        listener.wait()
+    finally:
+        spark.streams.removeListener(listener)
+    progress = counters.read_progress(spark, log)
+    sums = progress.agg(*[F.sum(c).alias(c) for c in ("processed", "sent", "failed")])
+    late = counters.late_messages(progress, counters.read_counters(spark, path)).select("late").scalar()
+    return sums.withColumn("late", late)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalise_events": normalise_events,
     "normalise_listing": normalise_listing,
@@ -473,6 +563,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_posts": sample_posts,
     "bronze_roundtrip": bronze_roundtrip,
     "bronze_batch_list": bronze_batch_list,
+    "bronze_skipped_files": bronze_skipped_files,
     "date_range": date_range,
     "hot_dedup_latest": hot_dedup_latest,
     "merged_posts": merged_posts,
@@ -493,6 +584,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "embedding_prep": embedding_prep,
     "tfidf_vectors": tfidf_vectors,
     "tfidf_terms": tfidf_terms,
+    "stored_embedding_prep": stored_embedding_prep,
+    "stored_embeddings": stored_embeddings,
     "extraction_summary": extraction_summary,
     "candidates_anti_join": candidates_anti_join,
     "viral_split": viral_split,
@@ -511,9 +604,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_top_similarity": _on_view(views.TOP_SIMILARITY),
     "sql_high_posts": _on_view(views.HIGH_POSTS),
     "sql_summary_of_day": _on_view(views.SUMMARY_OF_DAY),
+    "sql_external_table": sql_external_table,
     "landing_to_bronze": landing_to_bronze,
     "pipeline_predictions": pipeline_predictions,
     "stream_silver": stream_silver,
+    "stream_survivors": stream_survivors,
+    "stream_from_files": stream_from_files,
+    "stream_ledger": stream_ledger,
+    "stream_progress": stream_progress,
     "stream_quarantine": stream_quarantine,
     "stream_counters": stream_counters,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from emberline.schemas import BRONZE, BRONZE_PARTITIONS, LANDING
+from emberline.session import stage
 
 FORMAT = "parquet"
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
@@ -43,31 +44,61 @@ def read_landing(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows, lines.filter(F.trim("value") != "").filter(F.from_json("value", LANDING)["id"].isNull())
 
 
-def _from_path(name: str) -> Column:
+def _from_path(name: str, path: str = "_metadata.file_path") -> Column:
     """Value of a `name=value` folder of the row's file, unescaped; null for the null folder.
 
     The path is percent-encoded once by the partition writer and once as a URI. A plus sign is literal in
     both and would be decoded to a blank, so it is protected.
     """
-    value = F.regexp_extract("_metadata.file_path", f"/{name}=([^/]*)/", 1)
+    value = F.regexp_extract(path, f"/{name}=([^/]*)/", 1)
     for _ in range(2):
         value = F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
     return F.when(value != "__HIVE_DEFAULT_PARTITION__", value)
 
 
-def skipped_files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """Bronze files of which a tolerant read returns no row: `file`, `batch`. Of good files no column is read."""
-    files = (
+def _batch_name(path: str = "_metadata.file_path") -> Column:
+    return F.regexp_extract(path, f"([^/]+)/{BRONZE_PARTITIONS[0]}=", 1)
+
+
+def file_audit(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    """Per Bronze file: file, batch, fetch_date, subreddit, promised, delivered, lost, checksum.
+
+    `promised` are the rows that its footer states; it is null where no footer can be read, or the file holds no row.
+    `delivered` are the rows that a tolerant read of all columns gives, up to the first damaged page, and `checksum`
+    their hash. `lost` is the difference, null where nothing is known of the file. Footers and columns are read in one
+    pass each. The result is a written table: counts of a lazy read would shrink with the columns asked of it.
+    """
+    path = F.col("_metadata.file_path").alias("path")
+    listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(f"{root}/{pattern}" if pattern else root)
+        .select(path)
     )
-    batch = F.regexp_extract("path", f"([^/]+)/{BRONZE_PARTITIONS[0]}=", 1).alias("batch")
-    listed = files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), batch)
-    read = _batch_files(spark, root, pattern, tolerant=True)
-    seen = read.select(F.regexp_extract("_metadata.file_path", "([^/]+)$", 1).alias("file")).distinct()
-    return listed.join(seen, "file", "left_anti")
+    rows = _batch_files(spark, root, pattern, tolerant=True)
+    promised = rows.select(path).groupBy("path").agg(F.count("*").alias("promised"))
+    hashed = rows.select(path, F.xxhash64(*rows.columns).alias("hash"))
+    delivered = hashed.groupBy("path").agg(F.count("*").alias("delivered"), F.bit_xor("hash").alias("checksum"))
+    found = listed.join(promised, "path", "left").join(delivered, "path", "left")
+    return stage(
+        found.select(
+            F.regexp_extract("path", "([^/]+)$", 1).alias("file"),
+            _batch_name("path").alias("batch"),
+            _from_path("fetch_date", "path").cast("date").alias("fetch_date"),
+            _from_path("subreddit", "path").alias("subreddit"),
+            "promised",
+            F.coalesce("delivered", F.lit(0)).cast("long").alias("delivered"),
+            (F.col("promised") - F.coalesce("delivered", F.lit(0))).alias("lost"),
+            "checksum",
+        ),
+        "file-audit",
+    )
+
+
+def skipped_files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    """Bronze files of which a tolerant read loses rows: those of `file_audit` that lack a footer or some rows."""
+    return file_audit(spark, root, pattern).filter("promised IS NULL OR lost > 0")
 
 
 def _batch_files(spark: SparkSession, root: str, pattern: str | None, tolerant: bool) -> DataFrame:
@@ -77,6 +108,8 @@ def _batch_files(spark: SparkSession, root: str, pattern: str | None, tolerant:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .option("ignoreCorruptFiles", str(tolerant).lower())
+        # A page with flipped bits may still decode; its checksum says that it is damaged.
+        .option("parquet.page.verify-checksum.enabled", "true")
         .parquet(f"{root}/{pattern}" if pattern else root)
     )
 
@@ -85,14 +118,14 @@ def read_batches(spark: SparkSession, root: str, pattern: str | None = None, tol
     """All Bronze batches under `root` in one scan, with the folder name as `batch`.
 
     `pattern` narrows the folders read, e.g. `2024-01-3*`. Folders that start with `_` are skipped. A file that
-    cannot be read is an error; `tolerant` leaves such files out, and `skipped_files` names them. Partition values
-    come from the path, with their declared types.
+    cannot be read is an error, and so is a page whose checksum is wrong. `tolerant` leaves out what cannot be read: a
+    whole file without a footer, and the rows of a file from its first damaged page on. `skipped_files` names such
+    files and counts the rows. Partition values come from the path, with their declared types.
     """
     files = _batch_files(spark, root, pattern, tolerant)
-    batch = F.regexp_extract("_metadata.file_path", f"([^/]+)/{BRONZE_PARTITIONS[0]}=", 1)
     rows = files.withColumns(
         {
-            "batch": batch,
+            "batch": _batch_name(),
             "fetch_date": _from_path("fetch_date").cast("date"),
             "subreddit": _from_path("subreddit"),
         }

@@ -131,3 +131,29 @@ def requested_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested sources: every subreddit there is, `all`, and one that never answers."""
     langs = documents_table(spark, sf_dir).select(F.col("lang").alias("listing")).distinct()
     return langs.unionByName(spark.range(1).selectExpr("explode(array('all', 'nowhere')) as listing"))
+
+
+def damaged_copies(spark: SparkSession, folder: str, target: str) -> None:
+    """Copy the Parquet files of a folder with the head of their first page overwritten: footers stay sound.
+
+    The bytes pass through the file system's own streams, whatever store the folder lies in.
+    """
+    hadoop = spark._jvm.org.apache.hadoop
+    source = hadoop.fs.Path(folder)
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.listStatus(source):
+        name = found.getPath().getName()
+        if name.endswith(".parquet"):
+            head = b"PAR1" + b"\xff" * 60
+            bytes_in, out = files.open(found.getPath()), files.create(hadoop.fs.Path(f"{target}/{name}"))
+            bytes_in.seek(len(head))
+            out.write(bytearray(head))
+            hadoop.io.IOUtils.copyBytes(bytes_in, out, 1 << 16, True)
+
+
+def no_parquet(spark: SparkSession, path: str) -> None:
+    """A file that has the name of a Parquet file and is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    out.write(bytearray(b"cut off while it was written"))
+    out.close()

@@ -1,18 +1,11 @@
-"""Queue messages to the Silver table.
-
-Delivery retries are Spark's: tasks are retried, and the checkpoint together with the file sink's commit log
-writes every message once.
-"""
+"""Queue messages as a stream."""
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
-from emberline.config import Settings
-from emberline.operators.normalise import normalise_event, silver_columns
-from emberline.schemas import EVENT, SILVER
+from emberline.schemas import EVENT
 
-# Bounds a micro-batch, and with it what one hot id can send to one task.
+# Bounds a micro-batch, and with it what is staged and parsed at once.
 FILES_PER_TRIGGER = "1000"
 
 
@@ -32,55 +25,3 @@ def read_post_stream(spark: SparkSession, path: str = "", fmt: str = "text", **o
 def post_id(message: str = "value") -> Column:
     """Id of the post in a message; null if the message is no JSON or has none. Only the id is parsed."""
     return F.from_json(message, EVENT)["id"]
-
-
-def split_malformed(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Events, and the messages that are no post: not JSON, or without an id.
-
-    `inline` parses a message once: a filter on plain struct fields would be pushed down as a second parse.
-    """
-    events = messages.select(F.inline(F.array(F.from_json("value", EVENT)))).filter(F.col("id").isNotNull())
-    return events, messages.filter(post_id().isNull())
-
-
-def silver_stream(
-    events: DataFrame,
-    delay: str = Settings.stream_delay,
-    cfg: Settings = Settings(),
-    spread: int = 16,
-) -> DataFrame:
-    """Normalised posts with features, one row per id.
-
-    Repeats are remembered for `delay` after they are seen. The clock is the micro-batch time, not a time of
-    the post, so no row is ever late and none is dropped but repeats. The first pass is keyed by id and input
-    slice: copies of one hot id meet in `spread` tasks before the survivors meet in one. `spread=1` skips it.
-    """
-    seen = normalise_event(events, cfg).withColumn("_seen", F.current_timestamp()).withWatermark("_seen", delay)
-    if spread > 1:
-        seen = (
-            seen.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(spread)))
-            .dropDuplicatesWithinWatermark(["id", "_slice"])
-            .drop("_slice")
-        )
-    return silver_columns(seen.dropDuplicatesWithinWatermark(["id"]).drop("_seen"), cfg)
-
-
-def write_silver_stream(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Append to the Silver folder; `once` takes what is there and stops."""
-    writer = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("processing_date")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(availableNow=True) if once else writer).start()
-
-
-def write_quarantine(messages: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    writer = messages.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
-
-
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SILVER).parquet(path)

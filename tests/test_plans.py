@@ -113,7 +113,8 @@ def test_damaged_batch_fails_the_run_unless_it_is_tolerant(spark, lake):
     with pytest.raises(Exception, match="CANNOT_READ|Parquet|parquet"):
         extract(spark, lake)
     args = (str(lake / n) for n in ("silver", "bronze", "arch", "emb"))
-    assert run_extraction(spark, *args, AS_OF, tolerant=True).first()["skipped_files"] == 1
+    summary = run_extraction(spark, *args, AS_OF, tolerant=True).first()
+    assert (summary["skipped_files"], summary["lost_rows"]) == (1, 0)
 
 
 def test_stream_written_silver_passes_extraction_and_prediction(spark, lake):
@@ -161,6 +162,40 @@ def test_dedup_limits_ranks_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange hashpartitioning") < text.index("Partial")
 
 
+def test_merge_crosses_one_exchange(spark, tmp_path):
+    """Both sources meet by id once, and a task sends a copy of each source an id at most."""
+    silver(spark, {}).write.parquet(str(tmp_path / "s"))
+    normalise.add_bronze_derived(listing(spark, {}), AS_OF).write.parquet(str(tmp_path / "b"))
+    posts, hot = spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "b"))
+    for merged in (dedup.merge_sources(posts, hot), dedup.merge_history(posts, hot, AS_OF, 48)):
+        text = plan(merged)
+        assert text.count("Exchange hashpartitioning(id") == text.count("Exchange ") == 1
+        before, after = text.split("Exchange hashpartitioning(id")
+        assert "partial_max_by" in after and "partial_max_by" not in before
+
+
+def test_merge_takes_the_last_fetch_against_the_best_stream_copy(spark):
+    def hot(id, score, at, **more):
+        return dict(id=id, score=score, fetch_timestamp=at, **more)
+
+    bronze = normalise.add_bronze_derived(
+        listing(
+            spark, hot("a", 90, "2024-01-30T10:00:00"), hot("a", 10, "2024-01-30T12:00:00"), hot("b", 5, "2024-01-30T10:00:00"),
+            hot("c", 7, "2024-01-30T22:00:00"), hot("d", 8, "2024-01-30T10:00:00"), hot("e", None, "2024-01-30T10:00:00"),
+            hot(None, 3, "2024-01-30T10:00:00"), hot("g", None, "2024-01-30T10:00:00"),
+        ),
+        AS_OF,
+    )
+    stream = silver(
+        spark, dict(id="a", score=11), dict(id="b", score=5, processed_ts=dt.datetime(2024, 1, 30, 10)), dict(id="c", score=7),
+        dict(id="d", score=9), dict(id="d", score=4), dict(id="e", score=None), dict(id="f", score=1), dict(id=None, score=4),
+    )
+    wanted = [("a", 11, "stream"), ("b", 5, "hot_api"), ("c", 7, "hot_api" if hours_before(2).hour == 22 else "stream"),
+              ("d", 9, "stream"), ("e", None, "stream"), ("f", 1, "stream"), ("g", None, "hot_api"), (None, 4, "stream")]
+    for merged in (dedup.merge_sources(stream, bronze), dedup.merge_history(stream, bronze, AS_OF, 48)):
+        assert values(merged, "id", "score", "data_source") == sorted(wanted, key=str)
+
+
 def test_history_scan_reads_narrow_columns_and_pushes_the_window(spark, tmp_path):
     silver(spark, {}).write.parquet(str(tmp_path / "s"))
     bronze = normalise.add_bronze_derived(listing(spark, {}), AS_OF)

@@ -1,11 +1,13 @@
+import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from emberline.config import Settings
 from emberline.schemas import EVENT, SILVER, mismatches
-from emberline.streaming import counters, posts
+from emberline.streaming import counters, intake, posts
 from tests.conftest import values
 
 
@@ -33,54 +35,143 @@ def land(folder, name, lines):
     (folder / name).write_text("\n".join(lines) + "\n")
 
 
-def run_silver(spark, tmp_path, spread=16):
-    good, _ = posts.split_malformed(posts.read_post_stream(spark, str(tmp_path / "in")))
-    stream = posts.silver_stream(good, spread=spread)
-    posts.write_silver_stream(stream, str(tmp_path / "silver"), str(tmp_path / "ckpt")).awaitTermination()
-    return posts.read_silver(spark, str(tmp_path / "silver"))
+def start(spark, folder, remember_days=2):
+    stream = posts.read_post_stream(spark, str(folder / "in"), maxFilesPerTrigger="1")
+    return intake.write_intake(stream, str(folder / "silver"), str(folder / "bad"), str(folder / "ckpt"), remember_days=remember_days)
 
 
-@pytest.mark.parametrize("spread", [1, 16])
-def test_intake(spark, tmp_path, spread):
+def take(spark, folder, **options):
+    start(spark, folder, **options).awaitTermination()
+    return intake.read_silver(spark, str(folder / "silver"))
+
+
+def ledger(spark, folder):
+    return values(intake.read_ledger(spark, str(folder / "ckpt")), *[f.split()[0] for f in intake.LEDGER.split(", ")])
+
+
+def test_intake(spark, tmp_path):
     land(tmp_path / "in", "1.jsonl", LINES)
-    stored = run_silver(spark, tmp_path, spread)
-    assert mismatches(stored.schema, SILVER) == []
+    stored = take(spark, tmp_path)
+    assert stored.columns == SILVER.names and mismatches(stored.schema, SILVER) == []
     rows = {r["id"]: r for r in stored.collect()}
     assert sorted(rows) == ["a", "b"] and stored.count() == 2
     assert len(rows["a"]["title"]) == 500
     assert (rows["b"]["author"], rows["b"]["selftext"], rows["b"]["content_type"]) == ("[deleted]", "", "link")
     assert rows["a"]["content_type"] == "text" and rows["a"]["link_flair_text"] == "unknown"
     assert rows["a"]["engagement_score"] == pytest.approx(7 * 0.5 + 3 * 0.3 + 0.2)
+    bad = intake.read_quarantine(spark, str(tmp_path / "bad"))
+    assert bad.columns == ["value", "timestamp"] and values(bad, "value") == sorted([LINES[3], LINES[4]])
+    assert ledger(spark, tmp_path) == [(0, 5, 3, 2, 2)]
 
 
 def test_restart_takes_new_files_only_and_late_posts_are_kept(spark, tmp_path):
     land(tmp_path / "in", "1.jsonl", LINES)
-    run_silver(spark, tmp_path)
+    take(spark, tmp_path)
     late = message(id="old", created_utc=1000.0, ingestion_timestamp="2001-01-01T00:00:00")
-    land(tmp_path / "in", "2.jsonl", [message(id="b"), message(id="c"), late])
-    assert values(run_silver(spark, tmp_path), "id") == ["a", "b", "c", "old"]
+    undated = message(id="never", ingestion_timestamp="no time")
+    land(tmp_path / "in", "2.jsonl", [message(id="b"), message(id="c"), late, undated])
+    land(tmp_path / "in", "3.jsonl", [late, undated])
+    land(tmp_path / "in", "4.jsonl", [message(id="never"), late])
+    assert values(take(spark, tmp_path), "id") == ["a", "b", "c", "never", "never", "old"]
+    assert [row[4] for row in ledger(spark, tmp_path)] == [2, 3, 0, 1]
+
+
+def test_an_id_comes_back_after_the_days_that_are_remembered(spark, tmp_path):
+    for day in (10, 12, 13, 15):
+        land(tmp_path / "in", f"{day}.jsonl", [message(ingestion_timestamp=f"2024-01-{day}T10:00:00")])
+        stored = take(spark, tmp_path)
+    assert [str(d) for d in values(stored, "processing_date")] == ["2024-01-10", "2024-01-13"]
+
+
+def test_the_best_of_copies_that_differ_is_stored(spark, tmp_path):
+    """Whatever the order and the files of the batch."""
+    copies = [message(id=f"p{i % 5}", score=i * 7 % 13, title=f"t{i * 31 % 17}", num_comments=i * 3 % 7) for i in range(60)]
+    results = []
+    for name, lines, files in (("x", copies, 1), ("y", copies[::-1], 7)):
+        for part in range(files):
+            land(tmp_path / name, f"{part}.jsonl", lines[part::files])
+        stream = posts.read_post_stream(spark, str(tmp_path / name))
+        places = [str(tmp_path / f"{name}-{n}") for n in ("silver", "bad", "ckpt")]
+        intake.write_intake(stream, *places).awaitTermination()
+        results.append(values(intake.read_silver(spark, places[0]), *SILVER.names))
+    best = [max(i * 7 % 13 for i in range(p, 60, 5)) for p in range(5)]
+    assert results[0] == results[1] and [r[SILVER.names.index("score")] for r in results[0]] == best
+
+
+def test_a_hot_id_leaves_a_task_as_one_row(spark):
+    text = intake.survivors(spark.createDataFrame([], EVENT))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("WindowGroupLimit") == 2 and text.count("Exchange hashpartitioning(id") == 1
 
 
 def test_stream_equals_batch(spark, tmp_path):
     lines = [message(id=f"p{i % 70}", score=i % 70, title=f"Title, {i % 70}") for i in range(200)]
     for part in range(4):
         land(tmp_path / "in", f"{part}.jsonl", lines[part::4])
-    batch = posts.split_malformed(
-        spark.read.text(str(tmp_path / "in")).withColumn("timestamp", F.current_timestamp())
-    )[0].dropDuplicates(["id"])
-    from emberline.operators.normalise import normalise_event, silver_columns
+    rows = intake.parsed(spark.read.text(str(tmp_path / "in")).withColumn("timestamp", F.current_timestamp()))
+    wanted = intake.survivors(rows.select(*EVENT.names))
+    assert values(take(spark, tmp_path), *SILVER.names) == values(wanted, *SILVER.names)
 
-    wanted = silver_columns(normalise_event(batch, Settings()))
-    assert values(run_silver(spark, tmp_path), *SILVER.names) == values(wanted, *SILVER.names)
 
-
-def test_quarantine(spark, tmp_path):
+def test_messages_are_read_and_parsed_once(spark, tmp_path):
+    land(tmp_path / "in", "1.jsonl", LINES)
+    text = intake.parsed(spark.read.text(str(tmp_path / "in")).withColumn("timestamp", F.current_timestamp()))
+    text = text._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json") == 1 and text.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("broken", ["write_partitioned", "record", "after"])
+def test_a_batch_that_fails_is_taken_again_and_nothing_twice(spark, tmp_path, monkeypatch, broken):
+    """It fails in the Silver sink, between the sinks and the ledger, or between the ledger and the checkpoint."""
+    for part in range(3):
+        lines = [message(id=f"p{part}-{i}", score=part) for i in range(5)] + [message(id="p0-0", score=50 + part), f"{{broken {part}"]
+        land(tmp_path / "in", f"{part}.jsonl", lines)
+    name = "record" if broken == "after" else broken
+    whole, calls = getattr(intake, name), []
+
+    def failing(*args, **options):
+        calls.append(args)
+        if len(calls) == 2 and broken == "record":
+            raise RuntimeError("the driver is lost")
+        done = whole(*args, **options)
+        if len(calls) == 2:
+            raise RuntimeError("the driver is lost")
+        return done
+
+    monkeypatch.setattr(intake, name, failing)
+    with pytest.raises(Exception, match="driver is lost"):
+        take(spark, tmp_path)
+    stored = values(take(spark, tmp_path), "id", "score")
+    assert stored == sorted([("p0-0", 50)] + [(f"p{p}-{i}", p) for p in range(3) for i in range(5) if (p, i) != (0, 0)], key=str)
+    assert values(intake.read_quarantine(spark, str(tmp_path / "bad")), "value") == [f"{{broken {p}" for p in range(3)]
+    assert ledger(spark, tmp_path) == [(0, 7, 6, 1, 5), (1, 7, 6, 1, 5), (2, 7, 6, 1, 5)]
+
+
+def test_a_finished_batch_is_not_written_again(spark, tmp_path):
     land(tmp_path / "in", "1.jsonl", LINES)
-    _, bad = posts.split_malformed(posts.read_post_stream(spark, str(tmp_path / "in")))
-    posts.write_quarantine(bad, str(tmp_path / "bad"), str(tmp_path / "ckpt")).awaitTermination()
-    stored = spark.read.parquet(str(tmp_path / "bad"))
-    assert stored.columns == ["value", "timestamp"]
-    assert values(stored, "value") == sorted([LINES[3], LINES[4]])
+    take(spark, tmp_path)
+    before = sorted((p, p.stat().st_mtime_ns) for p in tmp_path.rglob("*.parquet"))
+    rows = spark.read.text(str(tmp_path / "in")).withColumn("timestamp", F.current_timestamp())
+    places = [str(tmp_path / n) for n in ("silver", "bad", "ckpt")]
+    intake.take_batch(rows, 0, *places, Settings(), 2)
+    assert sorted((p, p.stat().st_mtime_ns) for p in tmp_path.rglob("*.parquet")) == before
+
+
+def test_closed_days_are_rewritten_to_one_batch(spark, tmp_path):
+    for part in range(6):
+        land(tmp_path / "in", f"{part}.jsonl", [message(id=f"p{part}-{i}") for i in range(4)])
+    before = values(take(spark, tmp_path), *SILVER.names)
+    day = tmp_path / "silver" / "processing_date=2024-01-30"
+    assert len(list(day.iterdir())) == 6
+    half = tmp_path / "half"  # as a run leaves it that ended between its two steps
+    spark.read.parquet(str(day)).filter("batch_id < 3").drop("batch_id").write.parquet(str(half))
+    intake.compact_day(spark, str(tmp_path / "silver"), "2024-01-30")
+    assert [p.name for p in day.iterdir()] == ["batch_id=5"] and len(list(day.rglob("*.parquet"))) == 1
+    assert values(intake.read_silver(spark, str(tmp_path / "silver")), *SILVER.names) == before
+    spark.read.parquet(str(half)).write.parquet(str(day / "batch_id=2"))
+    for _ in range(2):
+        intake.compact_day(spark, str(tmp_path / "silver"), "2024-01-30")
+        assert values(intake.read_silver(spark, str(tmp_path / "silver")), *SILVER.names) == before
+    intake.compact_day(spark, str(tmp_path / "silver"), "1999-01-01")
 
 
 def test_counters_batch(spark):
@@ -90,13 +181,58 @@ def test_counters_batch(spark):
     assert result == [(1, 1, 0, 1 / 60), (2, 1, 1, 1 / 60)]
 
 
+def lines_at(spark, rows):
+    df = spark.createDataFrame(rows, "value string, t string")
+    return df.select("value", F.col("t").cast("timestamp").alias("timestamp"))
+
+
+def follow(spark, folder):
+    schema = "value string, timestamp timestamp"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(str(folder / "in"))
+
+
+def count_all(spark, folder, window="1 minute"):
+    log = counters.ProgressLog(spark, str(folder / "log"))
+    spark.streams.addListener(log)
+    try:
+        counted = counters.stream_counters(counters.counted(follow(spark, folder)), window)
+        counters.write_counters(counted, str(folder / "out"), str(folder / "ckpt")).awaitTermination()
+        log.wait()
+    finally:
+        spark.streams.removeListener(log)
+    return counters.read_counters(spark, str(folder / "out")), counters.read_progress(spark, str(folder / "log"))
+
+
 def test_counters_stream_keeps_the_last_state(spark, tmp_path):
-    source, total = str(tmp_path / "in"), 0
-    for name, lines in (("1.jsonl", LINES), ("2.jsonl", LINES[:3])):
-        land(tmp_path / "in", name, lines)
-        total += len(lines)
-        counted = counters.stream_counters(posts.read_post_stream(spark, source), "3650 days")
-        counters.write_counters(counted, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
-        stored = counters.read_counters(spark, str(tmp_path / "out"))
-        assert stored.agg(F.sum("processed")).first()[0] == total
+    for name, lines in (("1", LINES), ("2", LINES[:3])):
+        lines_at(spark, [(v, "2024-01-30 10:00:05") for v in lines]).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+    stream = spark.readStream.schema("value string, timestamp timestamp").option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in" / "*"))
+    counters.write_counters(counters.stream_counters(stream), str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
+    stored = counters.read_counters(spark, str(tmp_path / "out"))
     assert values(stored, "processed", "sent", "failed") == [(8, 6, 2)]
+
+
+def test_state_and_folders_stay_bounded_and_late_messages_are_counted(spark, tmp_path):
+    """Fifty batches, a minute each, over two days' end; the last but one brings a message from the first minute."""
+    start_at = dt.datetime(2024, 1, 30, 23, 35)
+    for n in range(50):
+        rows = [(message(id=f"p{n}-{i}"), str(start_at + dt.timedelta(minutes=n, seconds=20 * i))) for i in range(3)]
+        rows += [("{broken", str(start_at + dt.timedelta(minutes=n)))] * (n % 2) + [(LINES[0], str(start_at))] * (n == 48)
+        lines_at(spark, rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        for new in (p for p in (tmp_path / "in").glob("*.parquet") if p.stat().st_mtime > 1_700_000_100):
+            os.utime(new, (1_700_000_000 + n,) * 2)  # files come in the order of their times
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        stored, progress = count_all(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    wanted = [(start_at + dt.timedelta(minutes=n), 3 + n % 2, 3, n % 2) for n in range(50)]
+    assert values(stored, "window_start", "processed", "sent", "failed") == sorted(wanted, key=str)
+    done = progress.orderBy(F.col("batch_id").cast("long")).collect()
+    assert len(done) == 50 and max(r["state_rows"] for r in done) <= 13
+    assert sum(r["processed"] for r in done) == 50 * 3 + 25 + 1
+    assert values(counters.late_messages(progress, stored), "processed", "counted", "late") == [(176, 175, 1)]
+    assert len([p for p in (tmp_path / "out").iterdir() if p.is_dir()]) == 2
+    # The counts ride along: the plan that carries them has no exchange.
+    rows = counters.counted(lines_at(spark, [(LINES[0], "2024-01-30 10:00:05")]))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
