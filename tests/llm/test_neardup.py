@@ -64,7 +64,7 @@ def test_families_and_odd_texts(spark):
     assert rows_of(neardup.near_duplicates(texts(spark, docs).repartition(3))) == brute(docs)
 
 
-@pytest.mark.parametrize("limits", [dict(BLOCK=8_000), dict(BLOCK=3_000, LIST=5), dict(LIST=2), dict(FOLD=500)])
+@pytest.mark.parametrize("limits", [dict(BLOCK=8_000), dict(BLOCK=3_000, LIST=2, FOLD=500)])
 def test_blocks_and_lists_of_any_size_lose_no_link(spark, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(neardup, name, value)
@@ -97,8 +97,8 @@ def test_a_shared_passage_makes_no_cluster(spark, monkeypatch, part):
     monkeypatch.setattr(neardup, "_first_units", seen)
     found = neardup.near_groups(texts(spark, docs).repartition(4), neardup.Rule(shingle=4, part=part))
     assert rows_of(found.select("doc_id", "n_shingles", "component_id")) == brute(docs, part)
-    # Hundreds of texts share signatures through the passage; few of them are held for possible copies.
-    assert sizes[0] <= 12
+    # Hundreds of texts share signatures through the passage; those with few words of their own may be copies.
+    assert sizes[0] <= 40
 
 
 def random_sets(rng, n, size):
