@@ -375,6 +375,7 @@ UNION ALL
 SELECT '2024-02-01_00-00', 'none', NULL, 0, NULL""",
         "date_range": """SELECT CAST(min(ts)::DATE AS VARCHAR) AS min_date, CAST(max(ts)::DATE AS VARCHAR) AS max_date
 FROM events""",
+        "silver_days": "SELECT CAST(ts::DATE AS VARCHAR) AS processing_date, count(*) AS posts FROM events GROUP BY 1",
         "hot_dedup_latest": f"""WITH {_SUBMISSION},{_COPIES},{_HOT}
 SELECT id, score, num_comments, strftime(fetched_at, {_ISO}) AS fetch_timestamp, subreddit, md5(selftext) AS body
 FROM latest""",
@@ -513,6 +514,8 @@ FROM deliveries GROUP BY date_trunc('minute', ts)""",
     sql["stored_embeddings"] = sql["tfidf_vectors"]
     sql["stream_from_files"] = sql["stream_silver"]
     sql["sql_external_table"] = sql["sql_label_counts"]
+    sql["latest_snapshot"] = sql["latest_predictions"]
+    sql["sql_published_runs"] = sql["predictions_roundtrip"]
     # The chain sees the messages that are whole: errors arrive cut off.
     whole = "  FROM submission),\nsilver"
     assert whole in sql["predictions"]

@@ -10,8 +10,8 @@ from emberline.operators.dedup import dedup
 from emberline.operators.reports import total_columns
 from emberline.operators.similarity import candidates, prediction_rows, score_posts
 from emberline.plans.summaries import prediction_summary
-from emberline.schemas import ARCHETYPE, EMBEDDING, SILVER, TOTALS
-from emberline.sinks.tables import write_predictions, write_summary
+from emberline.schemas import ARCHETYPE, EMBEDDING, SILVER, STORED_PREDICTION, TOTALS
+from emberline.sinks.tables import read_run, write_latest, write_predictions, write_summary
 from emberline.sources.tables import FORMAT, read_optional, read_table, require_rows
 
 
@@ -29,6 +29,22 @@ def latest_predictions(predictions: DataFrame) -> DataFrame:
     )
 
 
+def latest_after(snapshot: DataFrame | None, run: DataFrame) -> DataFrame:
+    """`latest_predictions` after one run more: the snapshot of the runs before it, and that run alone, are read."""
+    return latest_predictions(run if snapshot is None else snapshot.unionByName(run))
+
+
+def update_latest(
+    spark: SparkSession, predictions_path: str, latest_root: str, as_of: datetime | str, run_id: str, before: str | None, fmt: str = FORMAT
+) -> str:
+    """Write the snapshot after the run `run_id` from the one after the run `before`; return its folder.
+
+    Each run has a snapshot of its own, so a repeated run replaces its own and no other.
+    """
+    known = read_table(spark, f"{latest_root}/run={before}", STORED_PREDICTION, fmt) if before else None
+    return write_latest(latest_after(known, read_run(spark, predictions_path, as_of, run_id, fmt)), latest_root, run_id, fmt)
+
+
 def run_prediction(
     spark: SparkSession,
     silver_path: str,

@@ -16,11 +16,11 @@ from emberline.config import Criteria, Settings
 from emberline.operators import audits, dedup, normalise, reports, selection, similarity, textfeatures
 from emberline.operators.ranking import viral_maxima, viral_scores
 from emberline.plans import extraction, intake, prediction, summaries, views
-from emberline.schemas import EMBEDDING, LANDING, LISTING, STORED_PREDICTION
+from emberline.schemas import EMBEDDING, LANDING, LISTING, SILVER, STORED_PREDICTION
 from emberline.session import scratch_path, stage
-from emberline.sinks.tables import register_views, write_bronze, write_predictions
+from emberline.sinks.tables import publish_run, register_views, write_bronze, write_predictions
 from emberline.sources import testbed
-from emberline.sources.tables import file_audit, list_batches, read_batches, read_optional, read_table
+from emberline.sources.tables import file_audit, list_batches, read_batches, read_optional, read_table, stored_days
 from emberline.streaming import counters, intake as messages_in, posts
 
 AS_OF = testbed.AS_OF
@@ -377,6 +377,16 @@ def latest_predictions(spark, sf_dir):
     return prediction.latest_predictions(hourly_predictions(spark, sf_dir))
 
 
+def latest_snapshot(spark, sf_dir):
+    """Both runs, each merged into the snapshot that the one before left."""
+    path, root, before = scratch_path(spark, "predictions"), scratch_path(spark, "latest"), None
+    for run, (at, rows) in enumerate(hourly_runs(spark, sf_dir)):
+        write_predictions(rows, path, at, f"r{run}")
+        place = prediction.update_latest(spark, path, root, at, f"r{run}", before)
+        before = f"r{run}"
+    return read_table(spark, place, STORED_PREDICTION).drop("run_id")
+
+
 def predictions_roundtrip(spark, sf_dir):
     """Both runs appended, read back."""
     path = scratch_path(spark, "predictions")
@@ -408,6 +418,25 @@ def _on_view(sql: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def sql_published_runs(spark, sf_dir):
+    """The external table made after the first run, the second one published into it: rows by run's day and hour."""
+    path, database = scratch_path(spark, "predictions"), f"emberline_{uuid.uuid4().hex}"
+    for run, (at, rows) in enumerate(hourly_runs(spark, sf_dir)):
+        write_predictions(rows, path, at, f"r{run}")
+        if run == 0:
+            register_views(spark, path, database=database)
+        else:
+            publish_run(spark, path, at, f"r{run}", database)
+    return spark.table(f"`{database}`.viral_predictions").drop("run_id")
+
+
+def silver_days(spark, sf_dir):
+    """Posts of each arrival day of the stored stream table, from its footers."""
+    path = scratch_path(spark, "silver")
+    testbed.silver(spark, sf_dir).write.partitionBy("processing_date").parquet(path)
+    return stored_days(spark, path, SILVER)
+
+
 def sql_external_table(spark, sf_dir):
     """Labels counted in the external table that lies over the stored predictions."""
     path, database = scratch_path(spark, "predictions"), f"emberline_{uuid.uuid4().hex}"
@@ -600,11 +629,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_predictions": latest_predictions,
     "predictions_roundtrip": predictions_roundtrip,
     "predictions_rerun": predictions_rerun,
+    "latest_snapshot": latest_snapshot,
+    "silver_days": silver_days,
     "sql_label_counts": _on_view(views.LABEL_COUNTS),
     "sql_top_similarity": _on_view(views.TOP_SIMILARITY),
     "sql_high_posts": _on_view(views.HIGH_POSTS),
     "sql_summary_of_day": _on_view(views.SUMMARY_OF_DAY),
     "sql_external_table": sql_external_table,
+    "sql_published_runs": sql_published_runs,
     "landing_to_bronze": landing_to_bronze,
     "pipeline_predictions": pipeline_predictions,
     "stream_silver": stream_silver,

@@ -7,7 +7,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from emberline.config import LABELS
 from emberline.schemas import BRONZE_PARTITIONS, PREDICTION_PARTITIONS, STORED_PREDICTION
 from emberline.sources.tables import FORMAT, read_table
 
@@ -67,12 +69,8 @@ def write_predictions(
     longer occur go, and a repeated run without rows leaves none. Other runs stay. Without a `run_id` the run is named
     after its time, so every write has the same layout.
     """
-    at = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(as_of)
-    run = run_id or f"{at:%Y%m%d_%H%M%S}"
-    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
-        raise ValueError(f"a run id of letters, digits, '_', '.' and '-' is asked for, not {run!r}")
     day, label = PREDICTION_PARTITIONS
-    folder = f"{path}/{day}={at:%Y-%m-%d}/run_id={run}"
+    folder = _run_folder(path, as_of, run_id)[2]
     return write_partitioned(df.drop(day), folder, (label,), "overwrite", fmt, metrics)
 
 
@@ -85,6 +83,24 @@ def write_summary(summary: DataFrame, path: str) -> None:
     summary.coalesce(1).write.mode("overwrite").json(path)
 
 
+def _run_folder(path: str, as_of: datetime | str, run_id: str | None) -> tuple[datetime, str, str]:
+    """Time, name and folder of the run at `as_of`. Without a `run_id` it is named after its time."""
+    at = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(as_of)
+    run = run_id or f"{at:%Y%m%d_%H%M%S}"
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+        raise ValueError(f"a run id of letters, digits, '_', '.' and '-' is asked for, not {run!r}")
+    return at, run, f"{path}/{PREDICTION_PARTITIONS[0]}={at:%Y-%m-%d}/run_id={run}"
+
+
+def read_run(spark: SparkSession, path: str, as_of: datetime | str, run_id: str | None = None, fmt: str = FORMAT) -> DataFrame:
+    """The stored predictions of one run; no other folder is listed."""
+    at, run, folder = _run_folder(path, as_of, run_id)
+    stored = StructType([f for f in STORED_PREDICTION.fields if f.name not in (PREDICTION_PARTITIONS[0], "run_id")])
+    rows = read_table(spark, folder, stored, fmt)
+    rows = rows.withColumns({PREDICTION_PARTITIONS[0]: F.lit(at.date()), "run_id": F.lit(run)})
+    return rows.select(*STORED_PREDICTION.names)
+
+
 def register_views(
     spark: SparkSession,
     path: str,
@@ -92,21 +108,44 @@ def register_views(
     database: str | None = None,
     fmt: str = FORMAT,
 ) -> DataFrame:
-    """Name the stored predictions: a temporary view, and an external table if a database is given."""
+    """Name the stored predictions: a temporary view, and an external table if a database is given.
+
+    A new table takes in the runs that are there, which lists all of them once. Later runs come in by `publish_run`.
+    """
     predictions = read_table(spark, path, STORED_PREDICTION, fmt)
     predictions.createOrReplaceTempView(view)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        columns = ""
+        known = spark.catalog.tableExists(f"`{database}`.`{view}`")
+        columns, parts = "", ""
         if fmt != "delta":
             declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in STORED_PREDICTION.fields)
             day, label = PREDICTION_PARTITIONS
             columns = f"({declared})"
             parts = f"PARTITIONED BY (`{day}`, run_id, `{label}`)"
-        else:
-            parts = ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{view}` {columns} USING {fmt} {parts} LOCATION '{path}'")
-        if fmt != "delta":
+        if fmt != "delta" and not known:
             spark.sql(f"MSCK REPAIR TABLE `{database}`.`{view}`")
         spark.sql(f"REFRESH TABLE `{database}`.`{view}`")
     return predictions
+
+
+def publish_run(
+    spark: SparkSession, path: str, as_of: datetime | str, run_id: str | None, database: str, view: str = "viral_predictions"
+) -> None:
+    """Take the run just written into the external table: its partitions by name, without a listing of the table."""
+    at, run, folder = _run_folder(path, as_of, run_id)
+    day, label = PREDICTION_PARTITIONS
+    named = " ".join(
+        f"PARTITION (`{day}` = '{at:%Y-%m-%d}', run_id = '{run}', `{label}` = '{name}') LOCATION '{folder}/{label}={name}'"
+        for name in LABELS
+    )
+    spark.sql(f"ALTER TABLE `{database}`.`{view}` ADD IF NOT EXISTS {named}")
+    spark.sql(f"REFRESH TABLE `{database}`.`{view}`")
+
+
+def write_latest(rows: DataFrame, root: str, run: str, fmt: str = FORMAT) -> str:
+    """Write the snapshot that the run `run` leaves behind, to a folder of its own; return it."""
+    path = f"{root}/run={run}"
+    rows.write.format(fmt).mode("overwrite").save(path)
+    return path

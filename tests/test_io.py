@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from emberline import schemas, session
 from emberline.operators import normalise
 from emberline.plans import views
-from emberline.plans.prediction import latest_predictions
+from emberline.plans.prediction import latest_predictions, update_latest
 from emberline.sinks import tables as sinks
 from emberline.sources import tables as sources
 from tests.conftest import AS_OF, common, listing, values
@@ -189,6 +189,51 @@ def test_views_and_example_sql(spark, tmp_path):
     assert [r["id"] for r in top.collect()] == ["a", "b", "c"]
 
 
+def test_later_runs_are_published_without_a_listing(spark, tmp_path, monkeypatch):
+    path, database = str(tmp_path / "p"), "emberline_published"
+    sinks.write_predictions(predictions(spark, "a", "b"), path, AS_OF, "r1")
+    sinks.register_views(spark, path, "published", database=database)
+    later = AS_OF + dt.timedelta(hours=30)
+    sinks.write_predictions(predictions(spark, "c", at=later), path, later, "r2")
+    table = lambda: values(spark.table(f"{database}.published"), "id", "run_id", "viral_potential_label")
+    asked = []
+    plain = spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **b: asked.append(text) or plain(text, *a, **b))
+    for _ in range(2):  # a repeated run finds its partitions there
+        sinks.publish_run(spark, path, later, "r2", database, "published")
+        assert table() == [("a", "r1", "HIGH"), ("b", "r1", "LOW"), ("c", "r2", "LOW")]
+    sinks.register_views(spark, path, "published", database=database)
+    assert not any("MSCK" in text for text in asked)
+
+
+def test_snapshot_reads_one_run_and_the_snapshot_before(spark, tmp_path):
+    path, root, before = str(tmp_path / "p"), str(tmp_path / "latest"), None
+    runs = [("r1", AS_OF, "abc"), ("r2", AS_OF + dt.timedelta(hours=1), "bd"), ("r3", AS_OF + dt.timedelta(hours=30), "ae")]
+    for run, at, ids in runs:
+        sinks.write_predictions(predictions(spark, *ids, at=at), path, at, run)
+        for _ in range(2):
+            place = update_latest(spark, path, root, at, run, before)
+        before = run
+    stored = sources.read_table(spark, place, schemas.STORED_PREDICTION)
+    assert values(stored, "id", "run_id") == [("a", "r3"), ("b", "r2"), ("c", "r1"), ("d", "r2"), ("e", "r3")]
+    every = latest_predictions(sources.read_table(spark, path, schemas.STORED_PREDICTION))
+    assert values(stored, *schemas.STORED_PREDICTION.names) == values(every, *schemas.STORED_PREDICTION.names)
+    at = runs[1][1]
+    assert len(sinks.read_run(spark, path, at, "r2").inputFiles()) == 1
+    assert schemas.mismatches(sinks.read_run(spark, path, at, "r2").schema, schemas.STORED_PREDICTION) == []
+
+
+def test_days_are_counted_in_the_footers(spark, tmp_path):
+    path = str(tmp_path / "s")
+    rows = spark.range(100).selectExpr("cast(id as string) as id", "date_add(date'2024-01-01', cast(id % 3 as int)) as processing_date")
+    rows.repartition(4).write.partitionBy("processing_date").parquet(path)
+    found = sources.stored_days(spark, path, rows.schema)
+    assert [n for _, n in values(found, "processing_date", "posts")] == [34, 33, 33]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in text and "PushedGroupBy: [processing_date]" in text
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
 def test_summary_is_json_and_hidden_from_reads(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(3).write.parquet(path)
