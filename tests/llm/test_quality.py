@@ -4,6 +4,7 @@ from collections import Counter
 
 from emberline.llm import quality
 from emberline.llm.queries import op8_quality_rules
+from emberline.session import stage
 from tests.llm.conftest import blank_words, texts
 
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -82,11 +83,11 @@ def test_no_cutoff_is_fixed(spark):
 
 def test_quartiles_of_the_sketch(spark):
     """Fences of a large group against exact quartiles of its values above 0."""
-    rows = [(i, f"{prose(i)} " + "$" * (i % 40 if i % 4 else 0), "en", "s") for i in range(2000)]
-    measured = quality.measures(texts(spark, rows, SCHEMA))
-    got = quality.fences(measured).first()
+    rows = [(i, f"{prose(i)} " + "$" * (i % 40 if i % 4 else 0), "en", "s") for i in range(600)]
+    measured = stage(quality.measures(texts(spark, rows, SCHEMA)), "measured")
+    got, held = quality.fences(measured).first(), measured.collect()
     for m in ("symbol_share", "word_length"):
-        values = sorted(r[m] for r in measured.collect() if r[m] > 0)
+        values = sorted(r[m] for r in held if r[m] > 0)
         q1, q3 = values[len(values) // 4], values[3 * len(values) // 4]
         assert abs(got[f"high_{m}"] - (q3 + 4 * (q3 - q1))) < 0.1 * (q3 + 4 * (q3 - q1))
     assert got["high_dup_line_share"] is None
