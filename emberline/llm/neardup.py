@@ -3,8 +3,8 @@
 Two sets link if they share a set part of their union. The sizes then bound the n-grams in which they differ, K. The columns
 of the matrix are cut into more than K blocks by hash, so linked rows agree in whole column blocks: a row's content in
 a block is one hash, and rows that agree nowhere are discarded before any product. Rows that agree by a shared passage
-alone are told apart by parities: every n-gram flips one of BITS bits of its row, so linked rows differ in K bits at
-most. What passes both forms clusters, which are cut into row blocks of a set size. The product of two row blocks is
+alone are told apart by parities: every n-gram flips one of the row's bits, which are as many as its n-grams, so linked
+rows differ in K bits at most. What passes both forms clusters, which are cut into row blocks of a set size. The product of two row blocks is
 taken over their shared columns, overlaps add up, and pairs below the bound of their sizes are dropped. What is left
 are the links.
 
@@ -46,9 +46,11 @@ FOLD, BUCKET, BLOCK = 1_000_000, 1_500_000, 1_000_000
 BUCKET_BYTES = 18 * BUCKET
 #: Columns with more rows than this in a row block are multiplied densely.
 DENSE = 32
-#: Parity bits of a row, and the rows that agree in a block up to which each is held against each. More of them are one
-#: cluster at once, which the product then takes apart.
-BITS, LIST = 512, 20_000
+#: Words of parity bits that a row has at least and at most, and the rows that agree in a block up to which each is held
+#: against each. More of them are one cluster at once, which the product then takes apart.
+NARROW, WIDE, LIST = 8, 256, 20_000
+#: Words of parities that are compared at once.
+COMPARED = 1 << 22
 
 
 def linked(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, rule: Rule = RULE) -> np.ndarray:
@@ -61,19 +63,60 @@ def reach(a: np.ndarray, b: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     return (a + b) * (rule.whole - rule.part) // (rule.whole + rule.part)
 
 
-def parities(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """BITS bits of each set, as rows of words: an n-gram flips one. Two rows differ in no more bits than their sets
-    in n-grams."""
-    cell = (mix(grams ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(BITS)).astype(np.int64)
-    out = np.zeros((len(bounds) - 1, BITS // 64), np.uint64)
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    np.bitwise_xor.at(out.reshape(-1), owner * (BITS // 64) + (cell >> 6), np.uint64(1) << (cell & 63).astype(np.uint64))
-    return out
+@dataclass
+class Parities:
+    """Bits of sets, in words: set i has `wide[i]` of them (a power of two) from `first[i]` on. An n-gram flips one."""
 
+    flat: np.ndarray
+    first: np.ndarray
+    wide: np.ndarray
 
-def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Bits in which rows of parities differ."""
-    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+    @classmethod
+    def of(cls, grams: np.ndarray, bounds: np.ndarray) -> "Parities":
+        """Between one and two bits an n-gram, within the bounds."""
+        size = np.diff(bounds)
+        wide = np.clip(1 << np.ceil(np.log2(np.maximum(size, 1) / 64)).clip(0).astype(np.int64), NARROW, WIDE)
+        first = np.cumsum(wide) - wide
+        owner = np.repeat(np.arange(len(size)), size)
+        cell = mix(grams ^ np.uint64(0x2545F4914F6CDD1D)) & (64 * wide[owner] - 1).astype(np.uint64)
+        flat = np.zeros(int(wide.sum()), np.uint64)
+        np.bitwise_xor.at(flat, first[owner] + (cell >> np.uint64(6)).astype(np.int64), np.uint64(1) << (cell & np.uint64(63)))
+        return cls(flat, first, wide)
+
+    @classmethod
+    def joined(cls, parts: list["Parities"]) -> "Parities":
+        base = np.cumsum([0] + [len(p.flat) for p in parts])
+        first = np.concatenate([p.first + b for p, b in zip(parts, base, strict=False)])
+        return cls(np.concatenate([p.flat for p in parts]), first, np.concatenate([p.wide for p in parts]))
+
+    @classmethod
+    def read(cls, rows: list[bytes]) -> "Parities":
+        wide = np.array([len(r) // 8 for r in rows], np.int64)
+        return cls(np.frombuffer(b"".join(rows), np.uint64), np.cumsum(wide) - wide, wide)
+
+    def row(self, i: int) -> bytes:
+        return self.flat[self.first[i] : self.first[i] + self.wide[i]].tobytes()
+
+    def rows(self, at: np.ndarray, width: int) -> np.ndarray:
+        """The sets `at` in `width` words: the bits of a wider one fold onto those of the same place modulo the width."""
+        place = self.first[at][:, None] + np.arange(width)
+        out = self.flat[place]
+        wide = self.wide[at]
+        for part in range(1, int(wide.max(initial=width)) // width):
+            more = np.flatnonzero(wide > part * width)
+            out[more] ^= self.flat[place[more] + part * width]
+        return out
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Bits in which the sets x[i] and y[i] differ, in the narrower one's width: no more than n-grams in which they do."""
+        width = np.minimum(self.wide[x], self.wide[y])
+        out = np.zeros(len(x), np.int64)
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero(width == w)
+            for lo in range(0, len(at), max(1, COMPARED // w)):
+                cut = at[lo : lo + max(1, COMPARED // w)]
+                out[cut] = np.bitwise_count(self.rows(x[cut], w) ^ self.rows(y[cut], w)).sum(1, dtype=np.int64)
+        return out
 
 
 @lru_cache(maxsize=8)
@@ -177,7 +220,7 @@ def _runs(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
 
 
-def fold(key: np.ndarray, row: np.ndarray, node: np.ndarray, size: np.ndarray, parity: np.ndarray, rule: Rule):
+def fold(key: np.ndarray, row: np.ndarray, node: np.ndarray, size: np.ndarray, parity: Parities, rule: Rule):
     """Entries (key, row) that must travel, their slack, and edges for the rest.
 
     Of the rows of one task with the same signature the one of least node speaks for those close to it: they are tied to
@@ -195,7 +238,7 @@ def fold(key: np.ndarray, row: np.ndarray, node: np.ndarray, size: np.ndarray, p
     slack = np.zeros(len(key), np.int64)
     rest = np.flatnonzero(centre != np.arange(len(key)))
     mine, other = row[rest], row[centre[rest]]
-    bits, shift = apart(parity[mine], parity[other]), np.abs(size[mine] - size[other])
+    bits, shift = parity.apart(mine, other), np.abs(size[mine] - size[other])
     bound = reach(size[mine], size[other], rule)
     wide = np.maximum(bits, shift) + reach(shift, shift, rule) + 1
     close = (bits <= bound) & (shift <= bound) & (2 * wide <= bound)
@@ -210,7 +253,8 @@ def _emitter(buckets: int, rule: Rule):
     """Packed signatures by bucket, and edges between close sets of one task that share a signature."""
 
     def packed(keys: list, rows: list, sets: list) -> Iterator[pa.RecordBatch]:
-        node, size, parity = (np.concatenate(p) for p in zip(*sets, strict=True))
+        node, size = (np.concatenate([s[n] for s in sets]) for n in (0, 1))
+        parity = Parities.joined([s[2] for s in sets])
         key, row, slack, a, b = fold(np.concatenate(keys), np.concatenate(rows), node, size, parity, rule)
         if len(a):
             a, b = _stars(a, b)
@@ -241,7 +285,7 @@ def _emitter(buckets: int, rule: Rule):
                 key, owner = signatures(grams, bounds, rule)
                 keys.append(key)
                 rows.append(owner + many)
-                sets.append((set_names(grams, bounds), np.diff(bounds), parities(grams, bounds)))
+                sets.append((set_names(grams, bounds), np.diff(bounds), Parities.of(grams, bounds)))
                 many += len(texts)
                 held += len(key)
                 if held >= FOLD:
@@ -321,10 +365,10 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["list", "node", "slack"])
 
 
-def tied(node: np.ndarray, size: np.ndarray, parity: np.ndarray, slack: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that hold together what may be linked, directly or over others: a search from node to node, each against
-    those not reached yet."""
-    left, a, b = np.arange(len(node)), [], []
+def tied(own: np.ndarray, node: np.ndarray, size: np.ndarray, parity: Parities, slack: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that hold together those of the sets `own` that may be linked, directly or over others: a search from set to
+    set, each against those not reached yet."""
+    left, a, b = own, [], []
     while len(left) > 1:
         ahead, left = [left[0]], left[1:]
         while ahead and len(left):
@@ -332,7 +376,7 @@ def tied(node: np.ndarray, size: np.ndarray, parity: np.ndarray, slack: np.ndarr
             bound = reach(size[left], size[at], rule) + slack[left] + slack[at]
             # The cheap test first.
             near = np.flatnonzero(np.abs(size[left] - size[at]) <= bound)
-            near = near[apart(parity[left[near]], parity[at]) <= bound[near]]
+            near = near[parity.apart(left[near], np.full(len(near), at)) <= bound[near]]
             if len(near):
                 found = left[near]
                 a.append(node[found])
@@ -348,17 +392,17 @@ def tied(node: np.ndarray, size: np.ndarray, parity: np.ndarray, slack: np.ndarr
 def _tier(rule: Rule):
     """Edges of each list. Rows (list, node, n, parity, slack) come sorted by list."""
 
-    def close(lists, node, size, parity, slack) -> Iterator[pa.RecordBatch]:
+    def close(lists, node, size, rows, slack) -> Iterator[pa.RecordBatch]:
+        parity = Parities.read(rows.tolist())
         first = _runs(lists)
         many = np.diff(np.append(first, len(lists)))
         # Lists of two at once, the others one by one.
         two = first[many == 2]
         bound = reach(size[two], size[two + 1], rule) + slack[two] + slack[two + 1]
-        near = (np.abs(size[two] - size[two + 1]) <= bound) & (apart(parity[two], parity[two + 1]) <= bound)
+        near = (np.abs(size[two] - size[two + 1]) <= bound) & (parity.apart(two, two + 1) <= bound)
         a, b = [node[two[near]]], [node[two[near] + 1]]
         for lo, n in zip(first[many > 2].tolist(), many[many > 2].tolist(), strict=True):
-            own = slice(lo, lo + n)
-            x, y = tied(node[own], size[own], parity[own], slack[own], rule)
+            x, y = tied(np.arange(lo, lo + n), node, size, parity, slack, rule)
             a.append(x)
             b.append(y)
         a, b = np.concatenate(a), np.concatenate(b)
@@ -368,17 +412,19 @@ def _tier(rule: Rule):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
+        many = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             lists, node, size, slack = (batch.column(c).to_numpy() for c in (0, 1, 2, 4))
-            parity = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(-1, BITS // 64)
-            held.append([lists, node, size, parity, slack.astype(np.int64)])
-            if sum(len(h[0]) for h in held) >= 10 * LIST:
+            rows = batch.column(3).to_numpy(zero_copy_only=False)  # bytes
+            held.append([lists, node, size, rows, slack.astype(np.int64)])
+            many += batch.column(3).nbytes
+            if many >= 8 * COMPARED:
                 whole = [np.concatenate(c) for c in zip(*held, strict=True)]
                 cut = _runs(whole[0])[-1]  # the last list may go on
                 yield from close(*[c[:cut] for c in whole])
-                held = [[c[cut:] for c in whole]]
+                held, many = [[c[cut:] for c in whole]], 0
         if held:
             yield from close(*[np.concatenate(c) for c in zip(*held, strict=True)])
 
@@ -530,7 +576,8 @@ def near_groups(docs: DataFrame, rule: Rule = RULE) -> DataFrame:
         grams, bounds = shingle_sets(words(texts, fold=True), rule.shingle)
         size = np.diff(bounds)
         level = (np.searchsorted(levels(rule), size, side="right") - 1).tolist()
-        return [size.tolist(), set_names(grams, bounds).tolist(), level, [p.tobytes() for p in parities(grams, bounds)]]
+        parity = Parities.of(grams, bounds)
+        return [size.tolist(), set_names(grams, bounds).tolist(), level, [parity.row(i) for i in range(len(size))]]
 
     keyed = docs.withColumn("key", F.xxhash64("text"))
     fields = [

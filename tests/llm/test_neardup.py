@@ -113,7 +113,26 @@ def random_sets(rng, n, size):
     return out
 
 
-@pytest.mark.parametrize("size", [8, 40, 300])
+def test_parities_bound_the_difference_and_tell_strangers_apart():
+    """Sets of any two sizes: never more bits than differing n-grams; sets that share half are far beyond the bound."""
+    rng = np.random.default_rng(9)
+    sizes = (1, 5, 60, 500, 520, 1100, 5000, 20_000)
+    shared = rng.integers(0, 2**62, max(sizes)).astype(np.uint64)
+    grams = [np.concatenate((shared[: n // 2], rng.integers(0, 2**62, n - n // 2).astype(np.uint64))) for n in sizes for _ in range(2)]
+    bounds = np.concatenate(([0], np.cumsum([len(g) for g in grams])))
+    parity = neardup.Parities.of(np.concatenate(grams), bounds)
+    x, y = (a.ravel() for a in np.indices((len(grams), len(grams))))
+    bits = parity.apart(x, y)
+    differ = np.array([len(np.setxor1d(grams[i], grams[j])) for i, j in zip(x, y, strict=True)])
+    assert (bits <= differ).all() and (bits[x == y] == 0).all()
+    size = np.diff(bounds)
+    near = (x != y) & (size[x] == size[y]) & (size[x] >= 60)
+    assert (bits[near] > neardup.reach(size[x], size[y], neardup.Rule(5, 80))[near]).all()
+    again = neardup.Parities.read([parity.row(i) for i in range(len(grams))])
+    assert (again.apart(x, y) == bits).all() and max(parity.wide) == neardup.WIDE and min(parity.wide) == neardup.NARROW
+
+
+@pytest.mark.parametrize("size", [8, 40, 300, 700])
 def test_folding_and_parities_keep_linked_sets_tied(size):
     """Whatever task a set is in, linked sets that share a signature end up in one cluster."""
     rng = np.random.default_rng(size)
@@ -121,13 +140,13 @@ def test_folding_and_parities_keep_linked_sets_tied(size):
         grams = random_sets(rng, 24, size)
         bounds = np.concatenate(([0], np.cumsum([len(g) for g in grams])))
         flat = np.concatenate(grams)
-        n, parity, node = np.diff(bounds), neardup.parities(flat, bounds), neardup.set_names(flat, bounds)
+        n, parity, node = np.diff(bounds), neardup.Parities.of(flat, bounds), neardup.set_names(flat, bounds)
         links = [
             (i, j) for i in range(24) for j in range(i)
             if neardup.linked(np.array([len(np.intersect1d(grams[i], grams[j]))]), n[[i]], n[[j]])[0]
         ]
         for i, j in links:
-            assert neardup.apart(parity[i], parity[j]) <= neardup.reach(n[i], n[j])
+            assert parity.apart(np.array([i]), np.array([j]))[0] <= neardup.reach(n[i], n[j])
         task = rng.integers(0, 3, 24)
         a, b, rest = [], [], []
         for t in range(3):
@@ -136,8 +155,9 @@ def test_folding_and_parities_keep_linked_sets_tied(size):
             a.append(x)
             b.append(y)
             rest += list(zip(row.tolist(), slack.tolist(), strict=True))
-        row, slack = (np.array(c) for c in zip(*rest, strict=True))
-        x, y = neardup.tied(node[row], n[row], parity[row], slack, neardup.RULE)
+        row, slack = np.array([r for r, _ in rest]), np.zeros(24, np.int64)
+        slack[row] = [w for _, w in rest]
+        x, y = neardup.tied(row, node, n, parity, slack, neardup.RULE)
         nodes, roots = array_components(np.concatenate([*a, x, node]), np.concatenate([*b, y, node]))
         root = dict(zip(nodes.tolist(), roots.tolist(), strict=True))
         assert all(root[int(node[i])] == root[int(node[j])] for i, j in links)
