@@ -33,8 +33,9 @@ class Training:
     rounds: int = 300
     l2: float = 1e-4
     seed: int = 7
-    # A text is ambiguous if the best codeword's probability is below this.
-    least_score: float = 0.4
+    # A text is ambiguous if the two nearest codewords lie less than this apart, in weighted loss a bit: halves of two
+    # languages do as a rule, a text in one language with words of another does not.
+    least_gap: float = 0.45
 
 
 @dataclass(frozen=True)
@@ -143,15 +144,14 @@ def fit(texts: list[str], labels: list[str], settings: Training = Training()) ->
 
 
 def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best language by loss-weighted decoding, its probability, and that of the runner-up."""
+    """Best language by loss-weighted decoding, its probability, and how much farther the next codeword is, a bit."""
     loss = np.logaddexp(0, -model.codes[None] * margins[:, None, :])
     loss = (loss * model.trust[None]).sum(2)
-    odds = np.exp(-(loss - loss.min(1, keepdims=True)))
-    odds /= odds.sum(1, keepdims=True)
-    best = odds.argmax(1)
-    top = odds[np.arange(len(best)), best]
-    odds[np.arange(len(best)), best] = 0
-    return best, top, odds.max(1)
+    best = loss.argmin(1)
+    least = loss[np.arange(len(best)), best]
+    odds = np.exp(-(loss - least[:, None]))
+    loss[np.arange(len(best)), best] = np.inf
+    return best, 1 / odds.sum(1), (loss.min(1) - least) / model.codes.shape[1]
 
 
 def predict(model: Model, texts: list[str | None]) -> list[list]:
@@ -162,11 +162,11 @@ def predict(model: Model, texts: list[str | None]) -> list[list]:
     for at in range(0, len(texts), 256):  # bounds the feature rows
         part = texts[at : at + 256]
         x, known = features(part, model.settings.buckets)
-        best, top, _ = decode(model, (x @ model.weights + model.bias).astype(float))
+        best, top, gap = decode(model, (x @ model.weights + model.bias).astype(float))
         for i in np.flatnonzero(known):
             langs[at + i] = model.languages[best[i]]
             scores[at + i] = float(min(1.0, top[i]))
-            unsure[at + i] = bool(top[i] < model.settings.least_score)
+            unsure[at + i] = bool(gap[i] < model.settings.least_gap)
     return [langs, scores, unsure]
 
 

@@ -41,7 +41,7 @@ class Rule:
 #: The rule of op 9.
 RULE = Rule()
 #: Signatures that a task folds at once and that a bucket holds, and n-grams (1,000 a row at least) of a row block.
-FOLD, BUCKET, BLOCK = 1_000_000, 1_500_000, 1_000_000
+FOLD, BUCKET, BLOCK = 600_000, 800_000, 1_000_000
 #: A bucket per so many bytes of text, at six bytes an n-gram and a signature for every third.
 BUCKET_BYTES = 18 * BUCKET
 #: Columns with more rows than this in a row block are multiplied densely.
@@ -50,7 +50,7 @@ DENSE = 32
 #: against each. More of them are one cluster at once, which the product then takes apart.
 NARROW, WIDE, LIST = 8, 256, 20_000
 #: Words of parities that are compared at once.
-COMPARED = 1 << 22
+COMPARED = 1 << 18
 
 
 def linked(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, rule: Rule = RULE) -> np.ndarray:

@@ -42,8 +42,8 @@ blocked {ip:141.30.77.5}%%% since### then***
 hosts {ip:203.0.113.9} {ip:198.51.100.77} answered
 version 4.0 of the licence, section 3.2.1 applies
 release 2.11.4 came after 2.9.1.
-Licensed under CC BY-NC 4.0.
-General Public License, version 3.
+Offered under OD-XY 4.0.
+Common Reading Terms, edition 3.
 paid with {card:4111111111111111} yesterday
 card {card:4111 1111 1111 1111} was refused
 his number {card:5500-0000-0000-0004} expired

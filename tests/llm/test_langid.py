@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -28,8 +29,34 @@ def test_nearest_codeword_survives_a_wrong_bit():
     for row in range(3):
         margins = 3 * model.codes[[row]].copy()
         margins[0, 0] *= -0.5
-        best, top, second = langid.decode(model, margins)
-        assert best[0] == row and top[0] > second[0]
+        best, top, gap = langid.decode(model, margins)
+        assert best[0] == row and top[0] > 0.5 and gap[0] > 0
+
+
+def test_decoding_by_plain_loops():
+    model, rng = trained(), np.random.default_rng(2)
+    margins = rng.normal(0, 2, (50, model.codes.shape[1]))
+    best, top, gap = langid.decode(model, margins.copy())
+    for m, b, p, g in zip(margins, best, top, gap, strict=True):
+        loss = [sum(t * math.log(1 + math.exp(-c * x)) for c, t, x in zip(code, trust, m, strict=True)) for code, trust in zip(model.codes, model.trust, strict=True)]
+        order = sorted(range(len(loss)), key=loss.__getitem__)
+        assert b == order[0] and math.isclose(p, 1 / sum(math.exp(loss[b] - v) for v in loss))
+        assert math.isclose(g, (loss[order[1]] - loss[b]) / len(m))
+
+
+def test_halves_of_two_languages_are_ambiguous(spark, documents):
+    """Of texts in one language almost none is flagged, of texts that change the language in the middle most are."""
+    rows = [r for r in documents.collect() if r["lang"] and len((r["text"] or "").split()) >= 60]
+    model = langid.train(documents)
+    _, _, unsure = langid.predict(model, [r["text"] for r in rows])
+    assert sum(unsure) <= 0.02 * len(rows)
+    words = {}
+    for r in rows:
+        words.setdefault(r["lang"], []).append(r["text"].split())
+    langs = sorted(words)
+    mixed = [" ".join(words[a][i][:30] + words[b][i][:30]) for a in langs for b in langs if a < b for i in range(min(10, len(words[a]), len(words[b])))]
+    _, _, unsure = langid.predict(model, mixed)
+    assert sum(unsure) >= 0.5 * len(mixed)
 
 
 def test_edges(spark):

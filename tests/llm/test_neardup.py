@@ -10,16 +10,16 @@ from emberline.llm.queries import op9_ngram_jaccard
 from tests.llm.conftest import blank_words, clash, rows_of, texts
 
 
-def sets_of(docs):
+def sets_of(docs, width=4):
     out = []
     for _, text in docs:
         w = blank_words(text, fold=True)
-        out.append({tuple(w[i : i + 4]) for i in range(max(1 if w else 0, len(w) - 3))})
+        out.append({tuple(w[i : i + width]) for i in range(max(1 if w else 0, len(w) - width + 1))})
     return out
 
 
-def brute(docs, part=85):
-    sets = sets_of(docs)
+def brute(docs, part=85, width=4):
+    sets = sets_of(docs, width)
     root = list(range(len(docs)))
 
     def find(x):

@@ -23,7 +23,7 @@ def test_stages_against_brute_force(spark, documents):
     kept = [r for r, lang, bad in zip(rows, langs, unsure, strict=True) if lang != "und" and not bad]
     assert plain(known) == sorted(map(tuple, kept), key=str) and len(kept) >= 0.98 * len(rows)
 
-    groups = test_neardup.brute([(r["doc_id"], r["text"]) for r in kept])
+    groups = test_neardup.brute([(r["doc_id"], r["text"]) for r in kept], pipeline.NEAR.part, pipeline.NEAR.shingle)
     first = {d for d, _, root in groups if d == root}
     kept = [r for r in kept if r["doc_id"] in first]
     single = step("ngram_jaccard", spark, known)
