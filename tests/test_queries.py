@@ -1,5 +1,9 @@
 """Registered queries against their SQL on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -25,6 +29,14 @@ def test_every_query_has_its_sql():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_queries_stay_without_a_library_of_the_optional_part():
+    """A module that cannot be imported takes the optional queries away, and no other."""
+    code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as e; print(*e.queries()); print(*e.oracle_sql())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(entry.__file__).parent, capture_output=True, text=True, check=True)
+    names, sql = (set(line.split()) for line in done.stdout.splitlines()[-2:])
+    assert names == set(registered()) and sql == set(oracle())
+
+
 @pytest.mark.parametrize("name", sorted(registered()))
 def test_query(spark, engine, name):
     found = entry.queries()[name](spark, SF_DIR)
