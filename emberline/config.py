@@ -33,7 +33,7 @@ class Settings:
     listing_limit: int = 50
     title_limit: int | None = 500
     body_limit: int | None = 2000
-    stream_delay: str = "1 hour"
+    remember_days: int = 2
     # A listing writes a missing author as the text "None"; fold it into the deleted marker on demand.
     fold_missing_author: bool = False
 
