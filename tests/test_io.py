@@ -125,6 +125,26 @@ def test_hot_folder_is_split_and_small_ones_are_not(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 40000
 
 
+def test_large_folders_are_written_where_their_rows_are(spark, tmp_path):
+    """No row of a large folder crosses an exchange; the others are rebalanced, null folders included."""
+    rows = spark.range(4000).selectExpr(
+        "id", "case when id % 10 < 6 then 'hot' when id % 10 < 9 then concat('s', id % 10) end as subreddit",
+        "date'2024-01-31' as fetch_date", "sha2(cast(id as string), 512) as text")
+    spread = sinks._spread(rows, schemas.BRONZE_PARTITIONS, 1000)
+    plan = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RebalancePartitions") == 1 and "Union" in plan
+    every = sinks._spread(rows.filter("subreddit = 'hot'"), schemas.BRONZE_PARTITIONS, 1000)
+    assert values(every, "id") == values(rows.filter("subreddit = 'hot'"), "id")
+    for large in (1, 1000, 5000):
+        place = str(tmp_path / f"t{large}")
+        seen = sinks.write_partitioned(
+            rows, place, schemas.BRONZE_PARTITIONS, "overwrite", metrics=[F.count(F.lit(1)).alias("n")], large=large)
+        assert seen == {"n": 4000}
+        assert values(spark.read.schema(rows.schema).parquet(place), *rows.columns) == values(rows, *rows.columns)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert all(".zstd." in f.name for f in tmp_path.rglob("part-*.parquet"))
+
+
 def test_landing_files(spark, tmp_path):
     rows = listing(spark, dict(id="a"), dict(id="b", author=None)).withColumn("listing", F.lit("s"))
     rows.write.json(str(tmp_path / "in"))

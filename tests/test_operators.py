@@ -83,6 +83,20 @@ def test_tie_goes_to_the_later_row(spark):
     assert values(dedup.dedup(df), "title") == ["new"]
 
 
+def test_only_rows_of_keys_above_the_limit_are_ranked(spark):
+    """The same rows as a ranking of all, null keys included; the rest of the rows stays where it is."""
+    rows = [(k, at, f"{k}{at}") for k, n in (("a", 1), ("b", 3), (None, 2), ("c", 2), ("d", 1)) for at in range(n)]
+    df = spark.createDataFrame(rows, "id string, at int, text string")
+    for n in (1, 2, 5):
+        wanted = values(dedup.first_n(df, n, ["id"], ["at asc"]), *df.columns)
+        for few in (0, 1, 100):
+            assert values(dedup.first_n_in_place(df, n, "id", ["at asc"], few), *df.columns) == wanted
+    plan = dedup.first_n_in_place(df, 5, "id", ["at asc"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    plan = dedup.first_n_in_place(df, 1, "id", ["at asc"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("BroadcastHashJoin") == 2
+
+
 def test_first_seen(spark):
     df = spark.createDataFrame([("a", 3, 1), ("a", 1, 9), ("b", 3, 2)], "id string, source_pos int, listing_pos int")
     assert values(dedup.first_seen(df), "id", "source_pos") == [("a", 1), ("b", 3)]
