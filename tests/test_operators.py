@@ -123,6 +123,32 @@ def test_old_best_copy_hides_the_recent_one(spark):
     assert values(selection.recent(history, AS_OF), "id") == ["b"]
 
 
+def test_texts_cross_the_merge_once(spark):
+    """Hot copies take the texts of their stream copy if these are the same, and bring their own otherwise; a stored
+    cleaned text that is not what cleaning gives is kept. All ways to ship them give the same rows."""
+    stream = silver(
+        spark, dict(id="a", score=1, text_combined="stored otherwise"), dict(id="b", score=9, text_combined="stored otherwise"),
+        dict(id="c", score=1, title=None, selftext="x"), dict(id="d", score=1), dict(id="d", score=0, title="Another"),
+        dict(id="e", score=9, text_combined="a long enough title body"), dict(id=None, score=1), dict(id="g", score=9, text_combined=None),
+    )
+    at = "2024-01-30T22:00:00"
+    hot = bronze(
+        spark, *[dict(id=i, score=5, fetch_timestamp=at) for i in ("a", "b", "d", "e", "f", "g")],
+        dict(id="c", score=5, title="x", selftext=None, fetch_timestamp=at), dict(id=None, score=5, title="T", fetch_timestamp=at),
+    )
+    slim = normalise.mark_stream(stream), normalise.harmonise_hot(hot, Settings(), False)
+    assert values(dedup.texts_apart(*slim), "_key") == sorted(["c", "d", "f", None], key=str)
+    whole = "A long enough title", "body", "a long enough title body"
+    wanted = [("a", *whole), ("b", *whole[:2], "stored otherwise"), ("c", "x", None, "x"), ("d", *whole), ("e", *whole),
+              ("f", *whole), ("g", *whole[:2], None), (None, "T", "body", "t body")]
+    for few in (0, 3, 100):
+        merged = dedup.merge_sources(stream, hot, few=few)
+        assert values(merged, "id", "title", "selftext", "text_combined") == sorted(wanted, key=lambda r: str(r))
+        lengths = [(r[0], len(r[1] or ""), len(r[3] or "")) for r in wanted if r[0] not in ("b", "e", "g")]
+        hot_rows = merged.filter("data_source = 'hot_api'").select("id", F.coalesce("title_length", F.lit(0)), "text_length")
+        assert values(hot_rows, *hot_rows.columns) == sorted(lengths, key=str)
+
+
 def test_history_merge_equals_full_merge(spark):
     """Random copies: the slim history gives the same recent rows and the same number of winners."""
     copies = spark.range(4000).selectExpr(
