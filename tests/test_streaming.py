@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberline.config import Settings
+from emberline.operators.dedup import dedup
+from emberline.operators.normalise import normalise_event, silver_columns
 from emberline.schemas import EVENT, SILVER, mismatches
 from emberline.streaming import counters, intake, posts
 from tests.conftest import values
@@ -103,6 +105,35 @@ def test_a_hot_id_leaves_a_task_as_one_row(spark):
     assert text.count("WindowGroupLimit") == 2 and text.count("Exchange hashpartitioning(id") == 1
 
 
+def test_bounded_texts_are_staged_and_whole_ones_decide(spark):
+    """Copies that differ behind the bounds only: the same one is stored as by an order of the whole texts."""
+    cfg = Settings(title_limit=4, body_limit=6)
+    lines = [message(id=f"p{i % 7}", title=f"same{i}", selftext=f"bodies{i * 5 % 11}", url=f"u{i}") for i in range(60)]
+    lines += [message(id="q", title=None, selftext=None), message(id="q", title="same", selftext="b" * 50)]
+    df = spark.createDataFrame([(v, None) for v in lines], "value string, timestamp timestamp")
+    events = intake.parsed(df).select(*EVENT.names)
+    slim = intake.bounded(events, cfg)
+    assert max(values(slim, F.length(F.coalesce("selftext", F.lit("")))), default=0) == 6
+    assert max(values(slim, F.length(F.coalesce("title", F.lit(""))))) == 4
+    whole = normalise_event(dedup(events, "id", intake.BEST_COPY), cfg)
+    assert values(intake.survivors(events, cfg), *SILVER.names) == values(silver_columns(whole, cfg), *SILVER.names)
+
+
+def test_silver_columns_are_made_behind_the_last_exchange(spark, tmp_path, monkeypatch):
+    land(tmp_path / "in", "1.jsonl", LINES)
+    written, whole = [], intake.write_partitioned
+
+    def seen(df, *args, **options):
+        written.append(df.columns)
+        return whole(df, *args, **options)
+
+    monkeypatch.setattr(intake, "write_partitioned", seen)
+    rows = spark.read.text(str(tmp_path / "in")).withColumn("timestamp", F.current_timestamp())
+    intake.take_batch(rows, 0, *[str(tmp_path / n) for n in ("silver", "bad", "ckpt")], Settings(), 2)
+    assert written == [[*EVENT.names, "processing_date", "batch_id"]]
+    assert values(intake.read_silver(spark, str(tmp_path / "silver")), "id") == ["a", "b"]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     lines = [message(id=f"p{i % 70}", score=i % 70, title=f"Title, {i % 70}") for i in range(200)]
     for part in range(4):
