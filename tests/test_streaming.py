@@ -105,6 +105,17 @@ def test_a_hot_id_leaves_a_task_as_one_row(spark):
     assert text.count("WindowGroupLimit") == 2 and text.count("Exchange hashpartitioning(id") == 1
 
 
+def test_files_of_one_moment_come_in_the_order_of_their_names(spark, tmp_path):
+    for part in (3, 1, 0, 2):
+        land(tmp_path / "in", f"{part}.jsonl", [message(id="a", score=part)])
+        os.utime(tmp_path / "in" / f"{part}.jsonl", (1_700_000_000,) * 2)
+    for hidden in ("_SUCCESS", ".x", "9.jsonl._COPYING_"):
+        land(tmp_path / "in", hidden, [message(id="hidden")])
+    assert values(take(spark, tmp_path), "id", "score") == [("a", 0)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        posts.read_post_stream(spark, str(tmp_path / "none"))
+
+
 def test_bounded_texts_are_staged_and_whole_ones_decide(spark):
     """Copies that differ behind the bounds only: the same one is stored as by an order of the whole texts."""
     cfg = Settings(title_limit=4, body_limit=6)
