@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES
+from emberline.plans import queries
 from emberline.plans.oracle import oracle
 from emberline.plans.queries import registered
 
@@ -48,3 +49,12 @@ def test_query(spark, engine, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_the_stored_stream_table_is_compressed_by_zstandard(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    rows = spark.sql("SELECT 'a' AS id, date'2024-01-30' AS processing_date")
+    monkeypatch.setattr(queries.testbed, "silver", lambda spark, sf_dir: rows)
+    monkeypatch.setattr(queries, "stored_days", lambda spark, path, schema: spark.read.parquet(path))
+    assert queries.silver_days(spark, "").count() == 1
+    assert [".zstd." in f.name for f in tmp_path.rglob("part-*")] == [True]
