@@ -114,3 +114,13 @@ def test_weights_sum_to_one():
     cfg = Settings()
     for weights in (cfg.engagement_weights, cfg.viral_weights, cfg.similarity_weights):
         assert math.isclose(sum(weights), 1.0)
+
+
+def test_cleaning_looks_single_characters_up(spark):
+    """The class is spelled out, which is one table lookup a character, and means ASCII letters, digits and space."""
+    from emberline.functions.text import NOT_PLAIN
+
+    assert "-" not in NOT_PLAIN and "\\" not in NOT_PLAIN
+    chars = spark.range(1, 0x3000).selectExpr("char(id) as c").unionByName(spark.sql("SELECT '\U0001F600' as c"))
+    odd = chars.filter(F.regexp_replace("c", NOT_PLAIN, " ") != F.regexp_replace("c", r"[^\p{Alnum} ]", " "))
+    assert odd.isEmpty()
