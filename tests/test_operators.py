@@ -78,6 +78,20 @@ def test_latest_fetch_wins(spark):
     assert values(dedup.latest_hot(bronze(spark, *rows)), "id", "score") == [("a", 10)]
 
 
+def test_columns_made_of_texts_cross_the_exchange_in_their_place(spark):
+    """Whole texts decide between copies that agree in all else, and their digests are all that is sent."""
+    rows = [dict(id=f"i{n % 9}", selftext=f"body {n * 7919 % 100}") for n in range(60)]
+    copies = bronze(spark, *rows)
+    wanted = values(dedup.latest_hot(copies).select("id", F.md5("selftext").alias("body")), "id", "body")
+    found = dedup.latest_hot(copies, body=F.md5("selftext")).select("id", "body")
+    assert values(found, "id", "body") == wanted and len(wanted) == 9
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("md5(") == 1 and plan.index("md5(") > plan.index("Exchange hashpartitioning(id")
+    with pytest.raises(ValueError, match="selftext"):
+        dedup.latest_hot(copies, selftext=F.md5("selftext"))
+
+
 def test_tie_goes_to_the_later_row(spark):
     df = common(spark, dict(processed_ts=hours_before(5), title="old"), dict(processed_ts=hours_before(1), title="new"))
     assert values(dedup.dedup(df), "title") == ["new"]
