@@ -125,6 +125,20 @@ def test_hot_folder_is_split_and_small_ones_are_not(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 40000
 
 
+def test_rows_of_a_written_table_stay_in_their_tasks_if_files_come_out_fair(spark, tmp_path, monkeypatch):
+    """Two tasks read 40 rows of one folder and 4 of each of two others: all, the first one's or none stay."""
+    rows = spark.range(0, 48, 1, 2).selectExpr("id", "case id % 12 when 0 then 'b' when 1 then null else 'a' end as folder")
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.schema(rows.schema).parquet(str(tmp_path / "rows"))
+    assert stored.rdd.getNumPartitions() == 2
+    for fair, files in ((2, 6), (3, 4), (100, 3)):
+        monkeypatch.setattr(sinks, "FAIR_FILE", fair)
+        place = str(tmp_path / f"t{fair}")
+        seen = sinks.write_partitioned(stored, place, ["folder"], "overwrite", metrics=[F.count(F.lit(1)).alias("n")], as_read=True)
+        assert seen["n"] == 48 and len(list((tmp_path / f"t{fair}").glob("*/*.parquet"))) == files
+        assert values(spark.read.schema(rows.schema).parquet(place), "id", "folder") == values(rows, "id", "folder")
+
+
 def test_large_folders_are_written_where_their_rows_are(spark, tmp_path):
     """No row of a large folder crosses an exchange; the others are rebalanced, null folders included."""
     rows = spark.range(4000).selectExpr(

@@ -92,6 +92,20 @@ def test_columns_made_of_texts_cross_the_exchange_in_their_place(spark):
         dedup.latest_hot(copies, selftext=F.md5("selftext"))
 
 
+def test_rows_of_a_written_table_are_chosen_in_place(spark, tmp_path):
+    """Several files, more rows in one than a bitmap has bits; none, some and all rows chosen; null keys included."""
+    path = str(tmp_path / "rows")
+    rows = spark.range(0, 150_000, 1, 3).selectExpr("if(id % 4 = 0, null, id div 2) as key", "id as at", "concat('text ', id) as text")
+    rows.write.parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    for n in (0, 1, 200_000):
+        wanted = values(dedup.first_n(stored, n, ["key"], ["at desc"]), *stored.columns)
+        found = dedup.chosen_in_place(stored, ["key", "at"], lambda narrow: dedup.first_n(narrow, n, ["key"], ["at desc"]))
+        assert found.columns == stored.columns and values(found, *stored.columns) == wanted
+        assert len(wanted) == {0: 0, 1: 75_001, 200_000: 150_000}[n]
+        assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_tie_goes_to_the_later_row(spark):
     df = common(spark, dict(processed_ts=hours_before(5), title="old"), dict(processed_ts=hours_before(1), title="new"))
     assert values(dedup.dedup(df), "title") == ["new"]

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -147,6 +148,18 @@ def test_fetch_from_a_landing_folder(spark, tmp_path):
     assert values(read_batches(spark, str(tmp_path / "bronze")), "id") == ["a", "b"]
 
 
+def test_a_fetch_leaves_no_staged_rows_and_a_summary_that_can_be_read(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = {n for n in os.listdir(shared) if n.startswith("fetched-")}
+    rows = listing(spark, dict(id="a"), dict(id="a"), dict(id="b")).selectExpr(
+        "*", "'s' as listing", "0 as source_pos", "monotonically_increasing_id() as listing_pos", "false as stickied"
+    )
+    summary = intake.run_hot_fetch(rows, spark.createDataFrame([("s",), ("t",)], "listing string"), str(tmp_path), AS_OF)
+    assert {n for n in os.listdir(shared) if n.startswith("fetched-")} == before
+    row = summary.first()
+    assert (row["total_posts"], row["duplicates_removed"], row["fetch_stats"]) == (3, 1, {"s": 3, "t": 0})
+
+
 def test_equal_keys_have_one_winner_in_any_layout(spark):
     rows = [dict(id=f"i{n % 20}", title=f"title {n}", url=f"u{n * 7919 % 100}") for n in range(100)]
     kept = [values(dedup.dedup(common(spark, *rows).repartition(n)), "id", "title") for n in (1, 7)]

@@ -145,6 +145,27 @@ def test_silver_columns_are_made_behind_the_last_exchange(spark, tmp_path, monke
     assert values(intake.read_silver(spark, str(tmp_path / "silver")), "id") == ["a", "b"]
 
 
+def test_texts_of_a_batch_cross_no_exchange_and_its_table_goes(spark, tmp_path, monkeypatch):
+    """Ids that Silver holds are left out in the same way, and the batch's staged table is removed behind it."""
+    plans, whole = [], intake.write_partitioned
+
+    def seen(df, *args, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return whole(df, *args, **options)
+
+    monkeypatch.setattr(intake, "write_partitioned", seen)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = {n for n in os.listdir(shared) if n.startswith("intake-")}
+    places = [str(tmp_path / n) for n in ("silver", "bad", "ckpt")]
+    for batch, ids in enumerate(("aab", "bcc")):
+        land(tmp_path / f"in{batch}", "1.jsonl", [message(id=i, score=n) for n, i in enumerate(ids)])
+        rows = spark.read.text(str(tmp_path / f"in{batch}")).withColumn("timestamp", F.current_timestamp())
+        intake.take_batch(rows, batch, *places, Settings(), 2)
+    assert len(plans) == 2 and not any("Exchange hashpartitioning" in plan for plan in plans)
+    assert values(intake.read_silver(spark, places[0]), "id", "score") == [("a", 1), ("b", 2), ("c", 2)]
+    assert {n for n in os.listdir(shared) if n.startswith("intake-")} == before
+
+
 def test_stream_equals_batch(spark, tmp_path):
     lines = [message(id=f"p{i % 70}", score=i % 70, title=f"Title, {i % 70}") for i in range(200)]
     for part in range(4):
