@@ -164,16 +164,23 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.
         at = to
 
 
+#: Python workers outlive their tasks: arrays of this size and beyond, Arrow's included, go back to the system at once.
+GIVE_BACK = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "4194304", "MALLOC_ARENA_MAX": "1", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def reach_package(spark: SparkSession) -> None:
-    """Let the session's Python workers import this package from where the driver has it.
+    """Let the session's Python workers import this package from where the driver has it, and keep no freed memory.
 
-    It matters where the package is on the driver's path alone; installed on all nodes, it is found anyway.
+    The path matters where the package is on the driver's path alone; installed on all nodes, it is found anyway.
+    Settings that the session has already stay.
     """
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), root])
+    for name, value in GIVE_BACK.items():
+        environment.setdefault(name, value)
 
 
 class Known:
