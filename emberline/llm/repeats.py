@@ -73,9 +73,11 @@ def _smallest(hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     order = np.argsort(hashes, kind="stable")
     ordered = hashes[order]
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else order
-    least = np.minimum.reduceat(ids[order], first) if len(first) else ids
+    del ordered
+    ids = ids[order]
+    least = np.minimum.reduceat(ids, first) if len(first) else ids
     later = np.zeros(len(hashes), bool)
-    later[order] = ids[order] > np.repeat(least, np.diff(np.append(first, len(ordered))))
+    later[order] = ids > np.repeat(least, np.diff(np.append(first, len(ids))))
     return later
 
 
@@ -93,6 +95,7 @@ def _emitter(k: int, buckets: int):
 
     def fold(parts, ids, keys) -> Iterator[pa.RecordBatch]:
         hashes, row, place = (np.concatenate(p) for p in zip(*parts, strict=True))
+        parts.clear()  # from here on the windows are held once
         ids, keys = np.concatenate(ids), np.concatenate(keys)
         later = _smallest(hashes, ids[row])
         rows: dict[str, list] = {f.split()[0]: [] for f in PACKED.split(", ")}
@@ -119,8 +122,8 @@ def _emitter(k: int, buckets: int):
                 keys.append(batch.column(1).slice(at, len(texts)).to_numpy(zero_copy_only=False).astype(np.int64))
                 if len(inside):
                     hashes = found.window_hashes(k)
-                    row = np.repeat(np.arange(len(texts)), np.maximum(found.counts - k + 1, 0))
-                    place = inside - found.bounds[row]
+                    row = np.repeat(np.arange(len(texts), dtype=np.int32), np.maximum(found.counts - k + 1, 0))
+                    place = (inside - found.bounds[row]).astype(np.int32)
                     for lo in range(0, len(inside), FOLD):  # a very long text is folded piece by piece
                         cut = slice(lo, lo + FOLD)
                         parts.append((hashes[inside[cut]], row[cut] + docs, place[cut]))
@@ -212,10 +215,13 @@ def _finder(deals: int):
             return
         base = np.cumsum([0] + [len(h[1]) for h in held])
         ids, keys = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
-        row = np.concatenate([h[3] + b for h, b in zip(held, base, strict=False)])
-        later = np.flatnonzero(_smallest(np.concatenate([h[0] for h in held]), ids[row]))
+        row = np.concatenate([h[3] + b for h, b in zip(held, base.tolist(), strict=False)])
+        hashes, place = (np.concatenate([h[n] for h in held]) for n in (0, 4))
+        held.clear()  # from here on the windows are held once
+        later = np.flatnonzero(_smallest(hashes, ids[row]))
+        del hashes
         if len(later):
-            yield _dealt(deals, ids, keys, row[later], np.concatenate([h[4] for h in held])[later])
+            yield _dealt(deals, ids, keys, row[later], place[later])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None  # rows come sorted by bucket: a bucket is held until it is complete

@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from emberline.llm import repeats
@@ -94,3 +96,23 @@ def test_empty_table_and_other_columns(spark):
 def test_registered_query(spark, documents):
     docs = [tuple(r) for r in documents.select("doc_id", "text").collect()]
     assert rows_of(op3_substring_dedup(spark, "/root/testdata/sf0.001")) == brute(docs)
+
+
+def test_a_task_holds_its_windows_once():
+    """Bytes that a fold and a bucket take for each window at most."""
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            return list(work), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    docs = [" ".join(map(str, range(i * 300, i * 300 + 300))) for i in range(3000)]
+    windows, ids = 3000 * 251, pa.array(np.arange(3000))
+    docs = pa.RecordBatch.from_arrays([ids, ids, pa.array(docs)], names=["doc_id", "key", "text"])
+    folded, held = peak(repeats._emitter(50, 1)(iter([docs])))
+    assert held < 155 * windows
+    twice = pa.RecordBatch.from_pylist(sum((f.to_pylist() for f in folded), []) * 2, schema=folded[0].schema)
+    dealt, held = peak(repeats._finder(4)(iter([twice])))
+    assert dealt == [] and held < 80 * 2 * windows
