@@ -2,8 +2,8 @@
 
 Every window of `k` consecutive words gets a Rabin-Karp hash. A task folds its own windows first: of equal ones only
 those of its smallest doc_id travel on, the others are repeats already. What is left is dealt by hash to buckets of a
-set size, packed as sorted runs of bytes, and each bucket finds the smallest doc_id of each hash. The windows that lie
-in a later document go back to it as word places; there they merge into maximal intervals, and the rest is kept.
+set size, a partition each, packed as runs of bytes, and each bucket finds the smallest doc_id of each hash. The windows
+that lie in a later document go back to it as word places; there they merge into maximal intervals, and the rest is kept.
 """
 
 from collections.abc import Iterator
@@ -173,7 +173,7 @@ def _dealt(deals: int, ids, keys, row, place) -> pa.RecordBatch:
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row of places for each document. Rows come sorted by deal: a deal is held until it is complete."""
+    """One row of places for each document. A partition holds one deal, or several in a row: a deal is held until it is complete."""
 
     def close(held: list) -> Iterator[pa.RecordBatch]:
         if not held:
@@ -224,7 +224,7 @@ def _finder(deals: int):
             yield _dealt(deals, ids, keys, row[later], place[later])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None  # rows come sorted by bucket: a bucket is held until it is complete
+        held, now = [], None  # a partition holds one bucket, or several in a row: a bucket is held until it is complete
         for batch in batches:
             for i in range(batch.num_rows):
                 nth = batch.column(0)[i].as_py()
@@ -291,14 +291,16 @@ def cut_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
     size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
     buckets = int(max(-(-size // BUCKET_BYTES), spark.sparkContext.defaultParallelism))
-    dealt = rows.mapInArrow(_emitter(k, buckets), PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    # A bucket is a partition by its number, so its rows need no sort, which would hold them in the executor's heap.
+    dealt = rows.mapInArrow(_emitter(k, buckets), PACKED).repartitionById(buckets, "bucket")
     # A document's places come from all buckets; they travel packed, and meet as one row.
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = dealt.mapInArrow(_finder(width), DEALT).repartition(width, "deal").sortWithinPartitions("deal")
+    found = dealt.mapInArrow(_finder(width), DEALT).repartitionById(width, "deal")
     marks = found.mapInArrow(_gather, MARKS).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("places").alias("marks"))
     small = rows.mapInArrow(_squeeze, "doc_id long, key long, small binary")
     same = (F.coalesce("doc_id", F.lit(int(LAST))) == F.col("_id")) & (F.col("key") == F.col("_key"))
-    joined = small.join(marks, same, "left").select("doc_id", "small", "marks")
+    # As many tasks as buckets: more would write files too small to be worth their cost, whatever the shuffle's width.
+    joined = small.join(marks, same, "left").select("doc_id", "small", "marks").coalesce(buckets)
     span = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
     fields = [StructField("n_words", LongType(), False), StructField("cuts", ArrayType(span), False), StructField("kept", StringType(), False)]
     return add_columns(joined, "small", fields, _cutter(k), ("marks",)).drop("small", "marks")

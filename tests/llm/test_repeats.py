@@ -116,3 +116,27 @@ def test_a_task_holds_its_windows_once():
     twice = pa.RecordBatch.from_pylist(sum((f.to_pylist() for f in folded), []) * 2, schema=folded[0].schema)
     dealt, held = peak(repeats._finder(4)(iter([twice])))
     assert dealt == [] and held < 80 * 2 * windows
+
+
+def test_files_and_partitions_follow_the_text_and_not_the_shuffle(spark, tmp_path):
+    """A few small texts make a few files, however wide the shuffle is, and a bucket is a partition without a sort."""
+    settings = {
+        "spark.sql.shuffle.partitions": "60",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    rng = random.Random(5)
+    docs = [(i % 90, " ".join(rng.choice("ab") for _ in range(rng.randint(0, 60)))) for i in range(200)]
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = repeats.cut_repeats(texts(spark, docs).repartition(7), 5)
+        found.write.parquet(str(tmp_path / "out"))
+        assert 1 <= len(list((tmp_path / "out").glob("part-*"))) <= spark.sparkContext.defaultParallelism
+        assert report(spark.read.parquet(str(tmp_path / "out"))) == brute(docs, 5)
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert "Sort [bucket" not in plan and "Sort [deal" not in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
