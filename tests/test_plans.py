@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import random
 from pathlib import Path
 
 import pytest
@@ -14,6 +15,7 @@ from emberline.operators.similarity import candidates
 from emberline.plans import extraction, intake, prediction, queries
 from emberline.plans.extraction import run_extraction
 from emberline.schemas import ARCHETYPE, PREDICTION, SILVER, mismatches
+from emberline.sinks.tables import write_bronze
 from emberline.sources import testbed
 from emberline.sources.tables import NoRows, read_batches, read_table
 from tests.conftest import AS_OF, common, hours_before, listing, silver, values
@@ -308,3 +310,38 @@ def test_preview_reports(spark):
     assert [r["id"] for r in reports.archetype_preview(arch).collect()] == [str(i) for i in range(10)]
     assert reports.archetype_leaders(arch).count() == 5
     assert extraction.recent_window(arch, AS_OF).count() == 20
+
+
+def test_the_stored_extraction_reads_its_winners_where_they_lie(spark, tmp_path):
+    """Same posts as the merge of whole rows, in place, and no text is staged but those of the archetypes."""
+    rng = random.Random(8)
+
+    def text():
+        return " ".join(f"{rng.getrandbits(60):x}" for _ in range(400))
+
+    posts = [
+        dict(id=rng.choice([None, *(f"p{i}" for i in range(40))]), title=text()[:90], selftext=text(), text_combined=text(),
+             score=50 + n, processed_ts=rng.choice([None, *map(hours_before, (1, 20, 40, 60, 200))]))
+        for n in range(90)
+    ]
+    for p in posts:
+        p["processing_date"] = p["processed_ts"] and p["processed_ts"].date()
+    silver(spark, *posts).repartition(3).write.partitionBy("processing_date").parquet(str(tmp_path / "silver"))
+    for at in (hours_before(60), hours_before(2)):
+        rows = listing(spark, *[dict(id=f"p{i}", selftext=text(), score=100 + rng.randint(0, 60)) for i in range(0, 50, 2)])
+        rows = rows.withColumn("fetch_timestamp", F.lit(f"{at:%Y-%m-%dT%H:%M:%S}"))
+        write_bronze(normalise.add_bronze_derived(rows, at), str(tmp_path / "bronze"), at)
+    stored = read_table(spark, str(tmp_path / "silver"), SILVER)
+    batches = read_batches(spark, str(tmp_path / "bronze"), places=True)
+    whole, counted = extraction.stage_recent(stored, batches.drop(*dedup.PLACE), AS_OF)
+    narrow, merged, completed = extraction.stage_recent_in_place(dedup.placed(stored), batches, AS_OF)
+    assert values(completed(narrow), *whole.columns) == values(whole, *whole.columns) and whole.count() > 20
+    assert merged.get["rows"] == counted.get["rows"] > whole.count()
+    assert not set(extraction.LONG) & set(narrow.columns)
+    # The run itself: what it leaves in the shared folder holds no texts but those of the archetypes.
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    summary = run_extraction(spark, *(str(tmp_path / n) for n in ("silver", "bronze", "arch", "emb")), AS_OF, Settings(top_n=3))
+    assert summary.first()["archetypes_extracted"] == 3
+    left = [f.stat().st_size for d in set(shared.iterdir()) - before for f in d.rglob("*.parquet")]
+    assert 0 < sum(left) < 60_000 < sum(Path(f.removeprefix("file://")).stat().st_size for f in whole.inputFiles())
