@@ -177,6 +177,32 @@ def test_texts_cross_the_merge_once(spark):
         assert values(hot_rows, *hot_rows.columns) == sorted(lengths, key=str)
 
 
+def test_columns_made_of_texts_cross_the_merge_in_their_place(spark):
+    """Rows as made of the whole merge, equal copies that the hash of all columns tells apart included; no text is sent."""
+    stream = silver(
+        spark, *[dict(id=f"i{n % 9}", selftext=f"body {n * 7919 % 100}", text_combined="stored otherwise") for n in range(60)],
+        dict(id="s", score=61), dict(id="t", score=9, selftext=None, text_combined=None), dict(id=None, score=1),
+    )
+    at = "2024-01-30T22:00:00"
+    hot = bronze(
+        spark, *[dict(id=f"i{n % 9}", score=60 + n % 2, selftext=f"hot {n * 31 % 100}", fetch_timestamp=at) for n in range(60)],
+        dict(id="s", score=5), dict(id="t", score=10, selftext=None), dict(id="h", title="T!"), dict(id=None, title=None),
+    )
+    digests = {name: F.md5(name) for name in ("selftext", "text_combined")}
+    wanted = values(dedup.merge_sources(stream, hot).withColumns(digests), *COMMON.names)
+    found = dedup.merge_sources(stream, hot, made=digests)
+    assert found.columns == COMMON.names and values(found, *COMMON.names) == wanted and len(wanted) == 13
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+    behind, ahead = plan.split("Exchange hashpartitioning(id")
+    assert "md5(" in ahead and "md5(" not in behind and "regexp_replace" in ahead and "regexp_replace" not in behind
+    some = dedup.merge_sources(stream, hot, columns=["id", "selftext"], made={"text_combined": F.md5("text_combined")})
+    assert some.columns == ["id", "selftext", "text_combined"]
+    assert values(some.withColumn("selftext", F.md5("selftext")), *some.columns) == values(found, *some.columns)
+    with pytest.raises(ValueError, match="score"):
+        dedup.merge_sources(stream, hot, made={"score": F.col("score") + 1})
+
+
 def test_history_merge_equals_full_merge(spark):
     """Random copies: the slim history gives the same recent rows and the same number of winners."""
     copies = spark.range(4000).selectExpr(
