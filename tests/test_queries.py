@@ -58,3 +58,12 @@ def test_the_stored_stream_table_is_compressed_by_zstandard(spark, monkeypatch,
     monkeypatch.setattr(queries, "stored_days", lambda spark, path, schema: spark.read.parquet(path))
     assert queries.silver_days(spark, "").count() == 1
     assert [".zstd." in f.name for f in tmp_path.rglob("part-*")] == [True]
+
+
+def test_scores_of_the_whole_history_send_no_text(spark, monkeypatch):
+    """The length of the cleaned text is taken ahead of the merge's exchange, behind which nothing is cleaned."""
+    staged = []
+    monkeypatch.setattr(queries, "stage", lambda df, name: staged.append(df) or df)
+    assert queries.viral_scores_all(spark, SF_DIR).columns[0] == "id"
+    behind, _, ahead = staged[0]._jdf.queryExecution().executedPlan().toString().partition("Exchange hashpartitioning(id")
+    assert "regexp_replace" in ahead and "regexp_replace" not in behind and "selftext" not in behind
