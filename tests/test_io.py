@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -289,3 +291,28 @@ def test_gold_overwrite(spark, tmp_path):
     for n in (3, 2):
         sinks.write_gold(spark.range(n), path)
     assert sources.read_table(spark, path, spark.range(1).schema).count() == 2
+
+
+def test_days_are_written_without_a_sort(tmp_path):
+    """In a session whose sorts spill beyond 50 rows nothing is spilled, and every row is in the folder of its day."""
+    code = f"""
+from emberline.session import build_session
+from emberline.sinks.tables import write_days
+spark = build_session("days", **{{
+    "spark.master": "local[1]", "spark.shuffle.spill.numElementsForceSpillThreshold": "50",
+    "spark.eventLog.enabled": "true", "spark.eventLog.dir": "{tmp_path}", "spark.eventLog.compress": "false",
+    "spark.eventLog.rolling.enabled": "false", "spark.driver.host": "127.0.0.1",
+}})
+day = "if(id % 7 = 0, null, date_add(date'2024-01-01', cast(id % 7 as int))) as processing_date"
+write_days(spark.range(0, 3000, 1, 1).selectExpr("concat('p', id) as id", "repeat('text ', 50) as selftext", day), "{tmp_path}/days")
+print("ROWS", sorted((str(r[0]), r[1]) for r in spark.read.parquet("{tmp_path}/days").groupBy("processing_date").count().collect()))
+print("SETTING", spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+spark.stop()
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], capture_output=True, text=True, check=True)
+    days = sorted([("None", 429), *((f"2024-01-0{d + 1}", 429 if d < 4 else 428) for d in range(1, 7))])
+    assert f"ROWS {days}" in done.stdout and "SETTING 0" in done.stdout
+    (log,) = [f for f in tmp_path.iterdir() if f.is_file() and not f.name.startswith(".")]
+    ended = [json.loads(line) for line in log.read_text().splitlines() if '"SparkListenerTaskEnd"' in line]
+    assert ended and sum(e["Task Metrics"]["Disk Bytes Spilled"] for e in ended) == 0
+    assert len([f for f in (tmp_path / "days").rglob("part-*.zstd.parquet")]) == 7
