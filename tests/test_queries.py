@@ -12,6 +12,8 @@ from check import TABLES
 from emberline.plans import queries
 from emberline.plans.oracle import oracle
 from emberline.plans.queries import registered
+from emberline.schemas import SILVER
+from emberline.sinks.tables import write_days
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -67,3 +69,10 @@ def test_scores_of_the_whole_history_send_no_text(spark, monkeypatch):
     assert queries.viral_scores_all(spark, SF_DIR).columns[0] == "id"
     behind, _, ahead = staged[0]._jdf.queryExecution().executedPlan().toString().partition("Exchange hashpartitioning(id")
     assert "regexp_replace" in ahead and "regexp_replace" not in behind and "selftext" not in behind
+
+
+def test_the_extraction_reads_a_stream_table_written_unsorted(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(queries, "write_days", lambda df, path: written.append(path) or write_days(df, path))
+    assert spark.read.parquet(queries.stored_gold(spark, SF_DIR)).count() > 0
+    assert len(written) == 1 and spark.read.schema(SILVER).parquet(written[0]).count() > 0
