@@ -162,6 +162,26 @@ def test_a_fetch_leaves_no_staged_rows_and_a_summary_that_can_be_read(spark, tmp
     assert (row["total_posts"], row["duplicates_removed"], row["fetch_stats"]) == (3, 1, {"s": 3, "t": 0})
 
 
+def test_texts_of_a_fetched_frame_go_straight_to_the_batch(spark, tmp_path, monkeypatch):
+    """What is counted is staged alone; batch and summary are those of the same rows landed as lines and staged whole."""
+    wide = [dict(id=f"i{n % 9}" if n % 4 else None, title=f"title {n}", subreddit="ab"[n % 2]) for n in range(24)]
+    rows = listing(spark, *wide, dict(id="pin")).withColumns(
+        {"listing": F.when(F.col("id") == "i3", "all").otherwise(F.col("subreddit")), "source_pos": F.lit(0), "stickied": F.col("id") == "pin",
+         "listing_pos": F.xxhash64("title")}
+    ).filter("id IS NOT NULL")
+    rows.coalesce(1).write.json(str(tmp_path / "in"))
+    sources, names, made = spark.createDataFrame([("a",), ("b",), ("all",)], "listing string"), [], []
+    kept = intake.staged
+    monkeypatch.setattr(intake, "staged", lambda df, name: names.append(df.columns) or kept(df, name))
+    for listings in (rows, str(tmp_path / "in")):
+        root = str(tmp_path / f"bronze{len(made)}")
+        summary = intake.run_hot_fetch(listings, sources, root, AS_OF, Settings(listing_limit=7)).first()
+        batch = read_batches(spark, root)
+        made.append((summary["total_posts"], summary["unique_posts"], summary["fetch_stats"], values(batch, *batch.columns)))
+    assert made[0] == made[1] and len(made[0][3]) == made[0][1] < made[0][0]
+    assert names[0] == ["id", "listing"] and "selftext" in names[1]
+
+
 def test_equal_keys_have_one_winner_in_any_layout(spark):
     rows = [dict(id=f"i{n % 20}", title=f"title {n}", url=f"u{n * 7919 % 100}") for n in range(100)]
     kept = [values(dedup.dedup(common(spark, *rows).repartition(n)), "id", "title") for n in (1, 7)]
